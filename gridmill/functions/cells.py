@@ -1,30 +1,29 @@
 """64-bit quadtree cell ids for web map tiles, as native bit expressions.
 
 A cell id holds a fixed header, the zoom, and the interleaved bits of x and y, padded with ones.
-The steps are chained projections: each step uses its input twice, so nesting them in one
-expression would make it 2**5 times larger.
+Bits are spread and gathered four at a time through 16-entry tables. The usual shift-and-mask
+steps use their input twice each, so a filter on a cell that Spark pushes below them would grow
+2**5 times and leave generated code.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The cell layout and the bit-spreading steps (shift, mask after the step).
+# The cell layout.
 CELL_HEADER = 0x4800000000000000
 ZOOM_SHIFT = 52
 LOW_BITS = (1 << 52) - 1
-SPREAD_STEPS = (
-    (16, 0x0000FFFF0000FFFF),
-    (8, 0x00FF00FF00FF00FF),
-    (4, 0x0F0F0F0F0F0F0F0F),
-    (2, 0x3333333333333333),
-    (1, 0x5555555555555555),
-)
 MAX_ZOOM = 26
 
+# Four bits with zeros put between them, and the even bits of four taken out.
+SPREAD = [sum((n >> b & 1) << 2 * b for b in range(4)) for n in range(16)]
+GATHER = [n & 1 | (n >> 2 & 1) << 1 for n in range(16)]
+
 
 def shift_left(value: Column, by: Column) -> Column:
     return F.call_function("shiftleft", value, by.cast("int"))
@@ -38,25 +37,40 @@ def power_of_two(exponent: Column) -> Column:
     return shift_left(F.lit(1).cast("long"), exponent)
 
 
-def with_cell(df: DataFrame, x: str, y: str, z: str | int, out: str = "block") -> DataFrame:
-    """Add the cell id of tile (x, y) at zoom z."""
-    zoom = F.lit(z) if isinstance(z, int) else F.col(z)
-    df = df.withColumns({"__cx": F.col(x).cast("long"), "__cy": F.col(y).cast("long")})
-    for shift, mask in SPREAD_STEPS:
-        df = df.withColumns(
-            {
-                c: F.col(c).bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask))
-                for c in ("__cx", "__cy")
-            }
-        )
-    digits = F.col("__cx").bitwiseOR(F.shiftleft("__cy", 1))
-    cell = (
+def _by_fours(value: Column, table: list[int], bits: int, step: int) -> Column:
+    """Map each four bits of a value through a table; results lie ``step`` bits apart."""
+    entries = F.array(*[F.lit(n).cast("long") for n in table])
+    parts = [
+        F.shiftleft(F.get(entries, F.shiftright(value, 4 * i).bitwiseAND(F.lit(15))), step * i)
+        for i in range(-(-bits // 4))
+    ]
+    return reduce(Column.bitwiseOR, parts)
+
+
+def spread(value: Column, bits: int = MAX_ZOOM) -> Column:
+    return _by_fours(value.cast("long"), SPREAD, bits, 8)
+
+
+def gather(value: Column, bits: int = 2 * MAX_ZOOM) -> Column:
+    return _by_fours(value, GATHER, bits, 2)
+
+
+def tile_cell(x: Column, y: Column, z: Column | int) -> Column:
+    """The cell id of tile (x, y) at zoom z."""
+    bits = max(z, 1) if isinstance(z, int) else MAX_ZOOM
+    zoom = F.lit(z) if isinstance(z, int) else z
+    digits = spread(x, bits).bitwiseOR(F.shiftleft(spread(y, bits), 1))
+    return (
         F.lit(CELL_HEADER)
-        .bitwiseOR(shift_left(zoom.cast("long"), F.lit(ZOOM_SHIFT)))
+        .bitwiseOR(F.shiftleft(zoom.cast("long"), ZOOM_SHIFT))
         .bitwiseOR(shift_left(digits, 52 - 2 * zoom))
         .bitwiseOR(shift_right(F.lit(LOW_BITS), 2 * zoom))
     )
-    return df.withColumn(out, cell).drop("__cx", "__cy")
+
+
+def with_cell(df: DataFrame, x: str, y: str, z: str | int, out: str = "block") -> DataFrame:
+    """Add the cell id of tile (x, y) at zoom z."""
+    return df.withColumn(out, tile_cell(F.col(x), F.col(y), z if isinstance(z, int) else F.col(z)))
 
 
 def cell_zoom(cell: str | Column) -> Column:
@@ -66,24 +80,10 @@ def cell_zoom(cell: str | Column) -> Column:
 
 def with_tile(df: DataFrame, cell: str = "block", x="tile_x", y="tile_y", z="z") -> DataFrame:
     """Add the tile (x, y, z) of a cell id."""
-    df = df.withColumn(z, cell_zoom(cell))
-    digits = shift_right(F.col(cell).bitwiseAND(F.lit(LOW_BITS)), 52 - 2 * F.col(z))
-    df = df.withColumn("__d", digits).withColumns(
-        {
-            x: F.col("__d").bitwiseAND(F.lit(0x5555555555555555)),
-            y: F.shiftright("__d", 1).bitwiseAND(F.lit(0x5555555555555555)),
-        }
-    )
-    # Gather the spread bits: the spreading steps backwards.
-    masks = [mask for _, mask in SPREAD_STEPS][-2::-1] + [0x00000000FFFFFFFF]
-    for i, mask in enumerate(masks):
-        df = df.withColumns(
-            {
-                c: F.col(c).bitwiseOR(F.shiftright(c, 1 << i)).bitwiseAND(F.lit(mask))
-                for c in (x, y)
-            }
-        )
-    return df.drop("__d")
+    zoom = cell_zoom(cell)
+    digits = shift_right(F.col(cell).bitwiseAND(F.lit(LOW_BITS)), 52 - 2 * zoom)
+    df = df.withColumns({z: zoom, "__d": digits})
+    return df.withColumns({x: gather(F.col("__d")), y: gather(F.shiftright("__d", 1))}).drop("__d")
 
 
 def with_point_tile(df: DataFrame, lon: str, lat: str, z: str | int, x="tile_x", y="tile_y"):

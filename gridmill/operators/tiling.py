@@ -62,7 +62,9 @@ def on_levels(pixels: DataFrame, raster: Raster, base: bool = True, pyramid: boo
             "level", F.explode(F.when(level.isNull(), F.array(F.lit(0))).otherwise(both))
         )
     elif base:
-        out = pixels.withColumn("level", F.lit(0))
+        return pixels.withColumns(
+            {"level": F.lit(0), "gx": global_x(raster), "gy": global_y(raster)}
+        )
     else:
         out = pixels.withColumn("level", level).where(F.col("level").isNotNull())
     shift = F.col("level")
@@ -366,7 +368,7 @@ def with_rank(blocks: DataFrame, cell: str = "block", out: str = "rank") -> Data
     place = F.row_number().over(Window.partitionBy("__slice").orderBy(cell)) - 1
     return (
         sliced.withColumn("__place", place)
-        .join(offsets, "__slice")
+        .join(offsets, "__slice", "left")  # an inner join would filter on a costly expression
         .withColumn(out, F.col("__offset") + F.col("__place"))
         .drop("__slice", "__place", "__offset")
     )

@@ -18,7 +18,8 @@ DTYPES = (
 )
 
 # The pixel plane of the line items: 512 pixels wide, as high as the table is long.
-GRID_WIDTH = 512
+GRID_BITS = 9
+GRID_WIDTH = 1 << GRID_BITS
 ZOOM, TILE_X0, TILE_Y0, EDGE = 18, 133120, 97280, 64
 SEED = 42
 
@@ -58,7 +59,7 @@ def grid(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     return (
         table(spark, sf, "lineitem")
-        .groupBy((k % GRID_WIDTH).alias("px"), F.floor(k / GRID_WIDTH).alias("py"))
+        .groupBy((k % GRID_WIDTH).alias("px"), F.shiftright(k, GRID_BITS).alias("py"))
         .agg(
             F.max(F.col("l_quantity").cast("int")).alias("b1"),
             F.max(F.round(F.col("l_discount") * 100).cast("int")).alias("b2"),
@@ -83,7 +84,7 @@ def strips(spark: SparkSession, sf: str) -> DataFrame:
     """One raster per row of tiles: ``strip, width, height``; the last may be lower."""
     return (
         grid(spark, sf)
-        .groupBy(F.floor(F.col("py") / EDGE).alias("strip"))
+        .groupBy(F.shiftright("py", 6).alias("strip"))
         .agg((F.max("px") + 1).alias("width"), (F.max("py") % EDGE + 1).alias("height"))
     )
 
@@ -132,7 +133,7 @@ def array_tiles(spark: SparkSession, sf: str) -> DataFrame:
     """Embeddings as 8 x 8 tiles of a float32 band, 32 tiles in a row."""
     return table(spark, sf, "embeddings").select(
         (TILE_X0 + F.col("vec_id") % 32).alias("tile_x"),
-        (TILE_Y0 + F.floor(F.col("vec_id") / 32)).alias("tile_y"),
+        (TILE_Y0 + F.shiftright("vec_id", 5)).alias("tile_y"),
         F.col("embedding").alias("band_1"),
     )
 
