@@ -39,7 +39,7 @@ def power_of_two(exponent: Column) -> Column:
 
 def _by_fours(value: Column, table: list[int], bits: int, step: int) -> Column:
     """Map each four bits of a value through a table; results lie ``step`` bits apart."""
-    entries = F.array(*[F.lit(n).cast("long") for n in table])
+    entries = F.expr(f"array({', '.join(f'{n}L' for n in table)})")
     parts = [
         F.shiftleft(F.get(entries, F.shiftright(value, 4 * i).bitwiseAND(F.lit(15))), step * i)
         for i in range(-(-bits // 4))
@@ -73,6 +73,12 @@ def with_cell(df: DataFrame, x: str, y: str, z: str | int, out: str = "block") -
     return df.withColumn(out, tile_cell(F.col(x), F.col(y), z if isinstance(z, int) else F.col(z)))
 
 
+def zoom_range(z: int) -> tuple[int, int]:
+    """Smallest and largest cell id of a zoom; ids of a zoom lie together."""
+    step = 1 << ZOOM_SHIFT
+    return CELL_HEADER | z * step, CELL_HEADER | z * step + step - 1
+
+
 def cell_zoom(cell: str | Column) -> Column:
     cell = F.col(cell) if isinstance(cell, str) else cell
     return F.shiftright(cell, ZOOM_SHIFT).bitwiseAND(F.lit(31)).cast("int")

@@ -6,7 +6,6 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridmill.functions.geo import tile_lat, tile_lon
 from gridmill.operators.stats import band_stats
@@ -67,6 +66,12 @@ def extent(tile_x0, tile_y0, z, width, height, block_width, block_height) -> dic
     return {"bounds": bounds, "center": center}
 
 
+RECORD = (
+    "min", "max", "mean", "stddev", "sum", "sum_squares", "count", "quantiles", "top_values",
+    "version", "approximated_stats",
+)
+
+
 def document(
     pixels: DataFrame,
     raster: Raster,
@@ -79,57 +84,70 @@ def document(
     """One row ``metadata``: the JSON document of a raster."""
     raster = measured(pixels, raster)
     stats = band_stats(pixels, raster, exact, basic, seed, version)
+    place = pixels.sparkSession.createDataFrame(
+        [(raster.tile_x0, raster.tile_y0, raster.width, raster.height)],
+        "tile_x0 long, tile_y0 long, width long, height long",
+    )
+    return documents(stats, place, raster, compress=compress)
+
+
+def documents(
+    stats: DataFrame,
+    places: DataFrame,
+    raster: Raster,
+    keys: list[str] | None = None,
+    compress: bool = False,
+) -> DataFrame:
+    """Documents of many rasters of one kind, as rows ``<keys>, metadata``.
+
+    ``stats`` has one record per band and raster, ``places`` one row ``<keys>, tile_x0, tile_y0,
+    width, height`` per raster; ``raster`` gives what they share.
+    """
+    keys = keys or []
+    by = keys or ["__all"]
+    if not keys:
+        stats, places = (df.withColumn("__all", F.lit(0)) for df in (stats, places))
     facts = [
         (i, b.dtype, b.colorinterp, nodata_label(raster, b), _palette(b), b.valuelabels)
         for i, b in enumerate(raster.bands)
     ]
-    facts = pixels.sparkSession.createDataFrame(
+    facts = stats.sparkSession.createDataFrame(
         facts,
         "position int, type string, colorinterp string, nodata string, "
         "colortable map<int, array<int>>, valuelabels map<string, string>",
     )
-    record = F.struct(
-        "min", "max", "mean", "stddev", "sum", "sum_squares", "count", "quantiles", "top_values",
-        "version", "approximated_stats",
-    )
-    bands = stats.join(F.broadcast(facts), "position").select(
-        "position",
-        F.struct(
-            "type", "name", record.alias("stats"), "colorinterp", "nodata", "colortable",
-            "valuelabels",
-        ).alias("band"),
-    )
+    band = F.struct(
+        "type", "name", F.struct(*RECORD).alias("stats"), "colorinterp", "nodata", "colortable",
+        "valuelabels",
+    ).alias("band")
+    bands = stats.join(F.broadcast(facts), "position").select(*by, "position", band)
     # Maps cannot be sorted, so order the positions and look the bands up.
-    listed = bands.agg(F.map_from_entries(F.collect_list(F.struct("position", "band"))).alias("m"))
-    ordered = F.transform(
-        F.sequence(F.lit(0), F.lit(len(raster.bands) - 1)), lambda i: F.element_at("m", i)
+    listed = bands.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct("position", "band"))).alias("bands")
     )
-    nodata = raster.table_nodata
-    nodata = None if isinstance(nodata, float) and math.isnan(nodata) else float(nodata)
-    place = extent(
-        F.lit(raster.tile_x0), F.lit(raster.tile_y0), F.lit(raster.zoom), F.lit(raster.width),
-        F.lit(raster.height), F.lit(raster.block_width), F.lit(raster.block_height),
-    )
-    area = raster.width * raster.height
+    ordered = F.transform(F.sort_array(F.map_keys("bands")), lambda i: F.element_at("bands", i))
+    bw, bh = F.lit(raster.block_width), F.lit(raster.block_height)
+    width, height = F.col("width").cast("long"), F.col("height").cast("long")
+    place = extent(F.col("tile_x0"), F.col("tile_y0"), F.lit(raster.zoom), width, height, bw, bh)
     fields = {
         "compression": F.lit("gzip" if compress else None).cast("string"),
         "block_resolution": F.lit(raster.zoom),
         "minresolution": F.lit(raster.zoom - raster.levels),
         "maxresolution": F.lit(raster.zoom),
-        "nodata": F.lit(nodata).cast("double"),
+        "nodata": json_nodata(F.lit(float(raster.table_nodata))),
         "bands": ordered,
         "bounds": place["bounds"],
         "center": place["center"],
-        "width": F.lit(raster.width).cast("long"),
-        "height": F.lit(raster.height).cast("long"),
-        "block_width": F.lit(raster.block_width),
-        "block_height": F.lit(raster.block_height),
-        "num_blocks": F.lit(area // raster.cells).cast("long"),
-        "num_pixels": F.lit(area).cast("long"),
+        "width": width,
+        "height": height,
+        "block_width": bw,
+        "block_height": bh,
+        "num_blocks": F.floor(width * height / raster.cells),
+        "num_pixels": width * height,
         "pixel_resolution": F.lit(raster.pixel_resolution),
     }
     whole = F.struct(*[c.alias(k) for k, c in fields.items()])
-    return listed.select(to_document(whole).alias("metadata"))
+    return places.join(listed, by).select(*keys, to_document(whole).alias("metadata"))
 
 
 def _palette(band: Band):
@@ -205,9 +223,9 @@ def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> Da
 
     Extents grow, counts and sums add up, and moments follow from the sums. Facts that are equal
     in all documents, and the descriptions of the bands, come from the last one by ``order``.
-    Where a document counted no pixel, or the sums give no variance, the mean is the mean of the
-    means and the deviation the root of the summed squares. Quantiles and most common values
-    cannot be merged and become null.
+    Where the sums do not serve - no pixel was counted, or not by one of two documents - the mean
+    is the mean of the means; then, and where the sums give no variance, the deviation is the root
+    of the summed squares. Quantiles and most common values cannot be merged and become null.
     """
     keys = keys or []
     by = keys or ["__all"]
@@ -256,12 +274,11 @@ def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> Da
         F.max(s + "version").alias("version"),
         F.max(s + "approximated_stats").alias("approximated_stats"),
     )
-    bands = bands.withColumn(
-        "mean", F.when(F.col("__least") == 0, F.col("__mean")).otherwise(F.col("sum") / F.col("count"))
-    )
+    no_sums = (F.col("__least") == 0) & ((F.col("__seen") == 2) | (F.col("count") == 0))
+    mean = F.when(no_sums, F.col("__mean")).otherwise(F.col("sum") / F.col("count"))
+    bands = bands.withColumn("mean", mean)
     variance = F.when(
-        F.col("__least") > 0,
-        F.col("sum_squares") / F.col("count") - F.col("mean") * F.col("mean"),
+        ~no_sums, F.col("sum_squares") / F.col("count") - F.col("mean") * F.col("mean")
     )
     bands = bands.withColumn(
         "stddev", F.when(variance >= 0, F.sqrt(variance)).otherwise(F.col("__deviation"))

@@ -8,7 +8,7 @@ whole band.
 from __future__ import annotations
 
 import math
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -153,11 +153,15 @@ def quantile_ranks(count: int) -> list[tuple[int, int, int]]:
 
 
 def quantiles(
-    pixels: DataFrame, raster: Raster, counts: dict[str, int] | None = None
+    pixels: DataFrame,
+    raster: Raster,
+    counts: dict[str, int] | None = None,
+    histogram_rows: int = HISTOGRAM_ROWS,
 ) -> DataFrame:
     """Rows ``name, parts, part, value``: the value at rank floor((n-1)*part/parts).
 
     ``counts`` are the counted pixels per band, if the caller has them from :func:`moments`.
+    ``histogram_rows`` bounds the histogram that one task may order.
     """
     spark = pixels.sparkSession
     if counts is None:
@@ -170,9 +174,10 @@ def quantiles(
     groups = [([b for b in raster.bands if b not in wide], "double"), (wide, "decimal(20,0)")]
     parts = []
     for bands, kind in groups:
-        few = [b for b in bands if counts[b.name] and _histogram_is_small(b, counts[b.name])]
+        few = [b for b in bands if counts[b.name] and _histogram_is_small(b, counts[b.name], histogram_rows)]
         many = [b for b in bands if counts[b.name] and b not in few]
-        for chosen, find in ((few, _ranks_by_histogram), (many, _ranks_by_narrowing)):
+        narrow = partial(_ranks_by_narrowing, histogram_rows=histogram_rows)
+        for chosen, find in ((few, _ranks_by_histogram), (many, narrow)):
             if not chosen:
                 continue
             values = band_values(pixels, raster, [b.name for b in chosen], kind)
@@ -186,10 +191,10 @@ def quantiles(
     return reduce(DataFrame.unionByName, parts)
 
 
-def _histogram_is_small(band: Band, count: int) -> bool:
+def _histogram_is_small(band: Band, count: int, histogram_rows: int) -> bool:
     """A histogram of an 8 or 16 bit band is bounded; others are if there are few pixels."""
     bounded = not band.is_float and item_size(band.dtype) <= 2
-    return bounded or count <= HISTOGRAM_ROWS
+    return bounded or count <= histogram_rows
 
 
 def _target_frame(spark, targets, extra=""):
@@ -220,7 +225,7 @@ def _slice(v: Column, lo: Column, hi: Column, kind: str) -> Column:
     return F.when(v <= lo, F.lit(0)).when(v >= hi, last).otherwise(F.coalesce(at, last))
 
 
-def _ranks_by_narrowing(values: DataFrame, targets, kind: str) -> DataFrame:
+def _ranks_by_narrowing(values: DataFrame, targets, kind: str, histogram_rows: int) -> DataFrame:
     """Values at the target ranks, by counting ever narrower slices of the value range.
 
     Each pass is a scan with map-side counts; what comes back to the driver and is broadcast for
@@ -265,7 +270,7 @@ def _ranks_by_narrowing(values: DataFrame, targets, kind: str) -> DataFrame:
         chosen = F.broadcast(spark.createDataFrame(sorted(rows), schema))
         at = sliced.drop("lo", "hi").join(chosen, ["name", "node", "slice"])
         at = at.select("name", "v", F.col("next").alias("node"), "lo", "hi")
-        if sum(size.values()) <= HISTOGRAM_ROWS:
+        if sum(size.values()) <= histogram_rows:
             hist = at.groupBy("name", "node", "v").agg(F.count("*").alias("n"))
             upto = F.sum("n").over(Window.partitionBy("name", "node").orderBy("v"))
             hist = hist.withColumn("after", upto)
