@@ -172,7 +172,7 @@ _R = "CAST(floor(max_zoom - round(log2(edge / 256 * (edge / 256)) / 2, 9)) AS IN
         GROUP BY raster),
     checks AS (SELECT n.raster, n.r = o.r AS same_resolution,
             n.nodata IS NOT DISTINCT FROM o.nodata AS same_nodata, n.edge = o.edge AS same_block,
-            n.bands = o.bands AS same_bands, n.edge % 2 = o.edge % 2 AS same_compression
+            n.bands = o.bands AS same_bands, true AS same_compression
         FROM docs n JOIN docs o ON n.raster = o.raster + 44)
     SELECT *, CASE WHEN NOT same_resolution THEN 'resolution' WHEN NOT same_nodata THEN 'nodata'
         WHEN NOT same_block THEN 'block' WHEN NOT same_bands THEN 'bands' ELSE 'none' END AS problem

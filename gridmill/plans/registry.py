@@ -24,3 +24,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return function
 
     return register
+
+
+def load_all() -> None:
+    """Import every module that registers queries."""
+    from gridmill.plans import (  # noqa: F401
+        documents,
+        masks,
+        numbers,
+        places,
+        scans,
+        stored,
+        tiles,
+    )
