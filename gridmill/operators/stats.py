@@ -8,6 +8,7 @@ whole band.
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -124,7 +125,13 @@ def band_values(pixels: DataFrame, raster: Raster, names=None, kind="double") ->
 
 def whole_kind(bands) -> str:
     """The Spark type that holds the whole-number values of all these bands."""
-    return "decimal(20,0)" if any(b.dtype == "uint64" for b in bands) else "long"
+    return "decimal(20,0)" if any(item_size(b.dtype) == 8 for b in bands) else "long"
+
+
+def histogram(pixels: DataFrame, raster: Raster, bands: list[Band], kind: str) -> DataFrame:
+    """Rows ``name, v, n``: how many counted pixels of a band have each value."""
+    values = band_values(pixels, raster, [b.name for b in bands], kind)
+    return values.groupBy("name", "v").agg(F.count("*").alias("n"))
 
 
 def top_values(pixels: DataFrame, raster: Raster, n: int = TOP_VALUES_EXACT) -> DataFrame:
@@ -132,8 +139,7 @@ def top_values(pixels: DataFrame, raster: Raster, n: int = TOP_VALUES_EXACT) ->
     bands = [b for b in raster.bands if not b.is_float]
     if not bands:
         raise ValueError("Most common values need a whole-number band")
-    values = band_values(pixels, raster, [b.name for b in bands], whole_kind(bands))
-    hist = values.groupBy("name", "v").agg(F.count("*").alias("count"))
+    hist = histogram(pixels, raster, bands, whole_kind(bands)).withColumnRenamed("n", "count")
     # Spark cuts each task's list to n rows before the shuffle (group limit).
     order = Window.partitionBy("name").orderBy(F.desc("count"), "v")
     ranked = hist.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
@@ -152,42 +158,53 @@ def quantile_ranks(count: int) -> list[tuple[int, int, int]]:
     return [(i, j, math.floor((count - 1) * (j / i))) for i, j in quantile_pairs()]
 
 
+def band_ranges(pixels: DataFrame, raster: Raster) -> dict[str, tuple]:
+    """Count, smallest and largest value of each band's counted pixels, in the band's own type."""
+    cells = []
+    for name in raster.names:
+        value = F.when(counted(raster, name), F.col(name))
+        cells.append(F.struct(F.count(value), F.min(value), F.max(value)).alias(name))
+    return {name: tuple(cell) for name, cell in pixels.agg(*cells).first().asDict().items()}
+
+
 def quantiles(
     pixels: DataFrame,
     raster: Raster,
-    counts: dict[str, int] | None = None,
+    ranges: dict[str, tuple] | None = None,
     histogram_rows: int = HISTOGRAM_ROWS,
 ) -> DataFrame:
     """Rows ``name, parts, part, value``: the value at rank floor((n-1)*part/parts).
 
-    ``counts`` are the counted pixels per band, if the caller has them from :func:`moments`.
-    ``histogram_rows`` bounds the histogram that one task may order.
+    ``ranges`` are those of :func:`band_ranges`, if the caller has them. ``histogram_rows`` bounds
+    the histogram that one task may order.
     """
-    spark = pixels.sparkSession
-    if counts is None:
-        row = pixels.agg(
-            *[F.count(F.when(counted(raster, n), F.lit(1))).alias(n) for n in raster.names]
-        ).first()
-        counts = row.asDict()
-    wide = [b for b in raster.bands if b.dtype in ("int64", "uint64")]
-    # Two groups, so that 64-bit whole numbers stay exact and all others fit a double.
-    groups = [([b for b in raster.bands if b not in wide], "double"), (wide, "decimal(20,0)")]
+    ranges = ranges or band_ranges(pixels, raster)
+    whole = [b for b in raster.bands if not b.is_float]
+    real = [b for b in raster.bands if b.is_float]
     parts = []
-    for bands, kind in groups:
-        few = [b for b in bands if counts[b.name] and _histogram_is_small(b, counts[b.name], histogram_rows)]
-        many = [b for b in bands if counts[b.name] and b not in few]
-        narrow = partial(_ranks_by_narrowing, histogram_rows=histogram_rows)
-        for chosen, find in ((few, _ranks_by_histogram), (many, narrow)):
-            if not chosen:
-                continue
-            values = band_values(pixels, raster, [b.name for b in chosen], kind)
-            targets = [
-                (b.name, i, j, rank) for b in chosen for i, j, rank in quantile_ranks(counts[b.name])
-            ]
-            found = find(values, targets, kind)
-            parts.append(found.withColumn("value", F.col("value").cast("double")))
+    for bands, kind in ((whole, whole_kind(whole)), (real, "double")):
+        few, many = [], []
+        for band in bands:
+            count = ranges[band.name][0]
+            if count:
+                small = _histogram_is_small(band, count, histogram_rows)
+                (few if small else many).append(band)
+        targets = {
+            b.name: [(b.name, *t) for t in quantile_ranks(ranges[b.name][0])] for b in few + many
+        }
+        if few:
+            # The most common values are read off the same histogram; Spark shuffles it once.
+            hist = histogram(pixels, raster, few if many else bands, kind)
+            parts.append(_ranks_by_histogram(hist, sum((targets[b.name] for b in few), [])))
+        if many:
+            values = band_values(pixels, raster, [b.name for b in many], kind)
+            edges = [(b.name, *ranges[b.name][1:]) for b in many]
+            wanted = sum((targets[b.name] for b in many), [])
+            parts.append(_ranks_by_narrowing(values, edges, wanted, kind, histogram_rows))
+    parts = [p.withColumn("value", F.col("value").cast("double")) for p in parts]
     if not parts:
-        return spark.createDataFrame([], "name string, parts int, part int, value double")
+        schema = "name string, parts int, part int, value double"
+        return pixels.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -198,18 +215,30 @@ def _histogram_is_small(band: Band, count: int, histogram_rows: int) -> bool:
 
 
 def _target_frame(spark, targets, extra=""):
+    """At most 170 targets per band: a bounded frame to broadcast."""
     schema = f"name string, {extra}parts int, part int, rank long"
     return F.broadcast(spark.createDataFrame(targets, schema))
 
 
-def _ranks_by_histogram(values: DataFrame, targets, kind: str) -> DataFrame:
+def _running(hist: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Add the ranks a row covers: from ``before`` up to, without, ``after``."""
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy(order))
+    return hist.withColumn("after", upto).withColumn("before", F.col("after") - F.col("n"))
+
+
+HIT = "rank >= before AND rank < after"
+
+
+def _ranks_by_histogram(hist: DataFrame, targets) -> DataFrame:
     """Values at the target ranks, by a running count over the value histogram of each band."""
-    hist = values.groupBy("name", "v").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("name").orderBy("v"))
-    hist = hist.withColumn("after", upto).withColumn("before", F.col("after") - F.col("n"))
-    ranks = _target_frame(values.sparkSession, targets)
-    hit = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("after"))
-    return hist.join(ranks, "name").where(hit).select("name", "parts", "part", F.col("v").alias("value"))
+    # Ranks fall into about a thousand slots; a row meets only the targets in its own slots.
+    shift = max(0, max(t[-1] for t in targets).bit_length() - 10)
+    covered = F.sequence(F.shiftright("before", shift), F.shiftright(F.col("after") - 1, shift))
+    ranked = _running(hist, ["name"], "v").withColumn("slot", F.explode(covered))
+    slotted = [(name, rank >> shift, i, j, rank) for name, i, j, rank in targets]
+    wanted = _target_frame(hist.sparkSession, slotted, "slot long, ")
+    found = ranked.join(wanted, ["name", "slot"]).where(HIT)
+    return found.select("name", "parts", "part", F.col("v").alias("value"))
 
 
 def _slice(v: Column, lo: Column, hi: Column, kind: str) -> Column:
@@ -225,7 +254,9 @@ def _slice(v: Column, lo: Column, hi: Column, kind: str) -> Column:
     return F.when(v <= lo, F.lit(0)).when(v >= hi, last).otherwise(F.coalesce(at, last))
 
 
-def _ranks_by_narrowing(values: DataFrame, targets, kind: str, histogram_rows: int) -> DataFrame:
+def _ranks_by_narrowing(
+    values: DataFrame, edges, targets, kind: str, histogram_rows: int
+) -> DataFrame:
     """Values at the target ranks, by counting ever narrower slices of the value range.
 
     Each pass is a scan with map-side counts; what comes back to the driver and is broadcast for
@@ -233,12 +264,7 @@ def _ranks_by_narrowing(values: DataFrame, targets, kind: str, histogram_rows: i
     that hold a target, their histogram settles the rest.
     """
     spark = values.sparkSession
-    edges = values.groupBy("name").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-    ranges = [(r.name, 0, r.lo, r.hi) for r in edges]
-    at = values.join(
-        F.broadcast(spark.createDataFrame(ranges, f"name string, node int, lo {kind}, hi {kind}")),
-        "name",
-    )
+    at = values.join(F.broadcast(_edge_frame(spark, edges, kind)), "name")
     open_targets = [(name, 0, i, j, rank) for name, i, j, rank in targets]
     done = []
     while open_targets:
@@ -246,42 +272,42 @@ def _ranks_by_narrowing(values: DataFrame, targets, kind: str, histogram_rows: i
         counts = sliced.groupBy("name", "node", "slice").agg(
             F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
         )
-        upto = F.sum("n").over(Window.partitionBy("name", "node").orderBy("slice"))
-        counts = counts.withColumn("after", upto)
-        counts = counts.withColumn("before", F.col("after") - F.col("n"))
-        ranks = _target_frame(spark, open_targets, "node int, ")
-        hit = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("after"))
-        hits = counts.join(ranks, ["name", "node"]).where(hit).collect()
+        wanted = _target_frame(spark, open_targets, "node int, ")
+        counts = _running(counts, ["name", "node"], "slice")
+        hits = counts.join(wanted, ["name", "node"]).where(HIT).collect()
 
         done += [(h.name, h.parts, h.part, h.lo) for h in hits if h.lo == h.hi]
-        left = [h for h in hits if h.lo != h.hi]
-        nodes = {key: k for k, key in enumerate(sorted({(h.name, h.node, h.slice) for h in left}))}
-        size = {(h.name, h.node, h.slice): h.n for h in left}
-        rows = {
-            (h.name, h.node, h.slice, nodes[h.name, h.node, h.slice], h.lo, h.hi) for h in left
-        }
+        left = {(h.name, h.node, h.slice): h for h in hits if h.lo != h.hi}
+        number = {key: k for k, key in enumerate(sorted(left))}
         open_targets = [
-            (h.name, nodes[h.name, h.node, h.slice], h.parts, h.part, h.rank - h.before)
-            for h in left
+            (h.name, number[h.name, h.node, h.slice], h.parts, h.part, h.rank - h.before)
+            for h in hits
+            if h.lo != h.hi
         ]
         if not open_targets:
             break
         schema = f"name string, node int, slice int, next int, lo {kind}, hi {kind}"
-        chosen = F.broadcast(spark.createDataFrame(sorted(rows), schema))
+        rows = [(*key, number[key], h.lo, h.hi) for key, h in left.items()]
+        chosen = F.broadcast(spark.createDataFrame(rows, schema))
         at = sliced.drop("lo", "hi").join(chosen, ["name", "node", "slice"])
         at = at.select("name", "v", F.col("next").alias("node"), "lo", "hi")
-        if sum(size.values()) <= histogram_rows:
+        if sum(h.n for h in left.values()) <= histogram_rows:
             hist = at.groupBy("name", "node", "v").agg(F.count("*").alias("n"))
-            upto = F.sum("n").over(Window.partitionBy("name", "node").orderBy("v"))
-            hist = hist.withColumn("after", upto)
-            hist = hist.withColumn("before", F.col("after") - F.col("n"))
-            ranks = _target_frame(spark, open_targets, "node int, ")
-            settled = hist.join(ranks, ["name", "node"]).where(hit)
-            settled = settled.select("name", "parts", "part", F.col("v").alias("value"))
+            wanted = _target_frame(spark, open_targets, "node int, ")
+            settled = _running(hist, ["name", "node"], "v").join(wanted, ["name", "node"])
+            settled = settled.where(HIT).select("name", "parts", "part", F.col("v").alias("value"))
             return settled.unionByName(_found_frame(spark, done, kind))
     return _found_frame(spark, done, kind)
 
 
+def _edge_frame(spark, edges, kind):
+    def number(value):
+        return {"double": float, "long": int}.get(kind, Decimal)(value)
+
+    rows = [(name, 0, number(lo), number(hi)) for name, lo, hi in edges]
+    return spark.createDataFrame(rows, f"name string, node int, lo {kind}, hi {kind}")
+
+
 def _found_frame(spark, rows, kind):
     return spark.createDataFrame(rows, f"name string, parts int, part int, value {kind}")
 
@@ -437,7 +463,10 @@ def band_stats(
     whole = [b.name for b in raster.bands if not b.is_float]
     sample = None
     if exact:
+        # One row per band: kept as a local frame, so that the pixels are read for it once.
         record = moments(pixels, raster)
+        rows = record.collect()
+        record = pixels.sparkSession.createDataFrame(rows, record.schema)
     else:
         sample = drawn_sample(pixels, raster, seed)
         totals = sample_sums(sample, raster)
@@ -457,7 +486,10 @@ def band_stats(
         )
     else:
         if exact:
-            lists = quantile_lists(quantiles(pixels, raster))
+            ranges = {r.name: (r["count"], r.min, r.max) for r in rows}
+            if any(not b.is_float and item_size(b.dtype) == 8 for b in raster.bands):
+                ranges = None  # as doubles, the ends of 64-bit ranges are not exact
+            lists = quantile_lists(quantiles(pixels, raster, ranges))
             tops = top_lists(top_values(pixels, raster)) if whole else None
         else:
             lists = quantile_lists(sample_quantiles(sample, raster))
