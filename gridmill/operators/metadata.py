@@ -290,8 +290,9 @@ def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> Da
         "version", "approximated_stats",
     ).alias("stats")
     entry = F.struct("type", "name", stats, "colorinterp", "nodata", "colortable", "valuelabels")
+    key = F.struct("position", "name")
     lists = bands.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("position", entry))).alias("__bands"),
+        F.map_from_entries(F.collect_list(F.struct(key, entry))).alias("__bands"),
         F.min("__seen").alias("__seen"),
         F.max("__seen").alias("__most"),
     )

@@ -13,7 +13,6 @@ from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridmill.functions.nodata import finite, valid, valid_in_all
 from gridmill.operators.tiling import pixel_level
@@ -422,29 +421,10 @@ def approximate_moments(pixels: DataFrame, raster: Raster) -> DataFrame:
 
 # -- whole records -----------------------------------------------------------------
 
-STATS_TYPE = T.StructType(
-    [
-        T.StructField("min", T.DoubleType()),
-        T.StructField("max", T.DoubleType()),
-        T.StructField("mean", T.DoubleType()),
-        T.StructField("stddev", T.DoubleType()),
-        T.StructField("sum", T.DoubleType()),
-        T.StructField("sum_squares", T.DoubleType()),
-        T.StructField("count", T.LongType()),
-        T.StructField("quantiles", T.MapType(T.IntegerType(), T.ArrayType(T.DoubleType()))),
-        T.StructField("top_values", T.MapType(T.LongType(), T.LongType())),
-        T.StructField("version", T.StringType()),
-        T.StructField("approximated_stats", T.BooleanType()),
-    ]
-)
-
-
 def top_lists(ranked: DataFrame) -> DataFrame:
     """Rows ``name, top_values MAP`` in rank order."""
     entries = F.sort_array(F.collect_list(F.struct("rank", "value", "count")))
-    pairs = F.transform(
-        entries, lambda e: F.struct(e.value.cast("decimal(20,0)").alias("k"), e["count"].alias("v"))
-    )
+    pairs = F.transform(entries, lambda e: F.struct(e.value, e["count"]))
     return ranked.groupBy("name").agg(F.map_from_entries(pairs).alias("top_values"))
 
 
@@ -475,8 +455,8 @@ def band_stats(
             {c: F.coalesce(c, F.lit(0.0)) for c in ("sum", "sum_squares")}
             | {"count": F.coalesce("count", F.lit(0).cast("long"))}
         )
-    quantile_type = STATS_TYPE["quantiles"].dataType
-    top_type = T.MapType(T.DecimalType(20, 0), T.LongType())
+    quantile_type = "map<int, array<double>>"
+    top_type = f"map<{whole_kind(b for b in raster.bands if not b.is_float)}, long>"
     if basic:
         record = record.withColumns(
             {

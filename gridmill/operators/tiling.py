@@ -252,23 +252,39 @@ def encode_arrays(
     compression_level: int = 6,
     drop_nan: bool = False,
 ) -> DataFrame:
-    """Tiles ``block, <bands ARRAY>`` to block rows, with no shuffle."""
+    """Tiles ``block, <bands ARRAY>`` to block rows, with no shuffle.
+
+    Masked cells take the table's nodata as in :func:`tile_pixels`.
+    """
     nodata = raster.table_nodata
     level = compression_level if compress else None
     dtypes = {b.name: b.dtype for b in raster.bands}
     names = list(dtypes)
+    alpha = raster.alpha.name if raster.alpha is not None else None
+    stated = {b.name: raster.stated_nodata(b) for b in raster.bands}
+
+    def hide(tile, band, hidden):
+        """Fill the cells that alpha, or else a nodata other than the table's, hides."""
+        if band == alpha:
+            return tile
+        if hidden is None and stated[band] is not None and stated[band] != nodata:
+            hidden = tile == stated[band]
+        return tile if hidden is None else np.where(hidden, tile.dtype.type(nodata), tile)
 
     def run(batches):
         for batch in batches:
             ids = batch.column("block").to_numpy()
             encoded, live = {}, np.zeros(len(ids), dtype=bool)
+            masks = [None] * len(ids)
+            if alpha is not None:
+                masks = [c.values.to_numpy(zero_copy_only=False) == 0 for c in batch.column(alpha)]
             for b in names:
                 column = batch.column(b)
                 given = column.is_valid().to_numpy(zero_copy_only=False)
                 out = [None] * len(ids)
                 for i in np.flatnonzero(given):
                     tile = codec.to_numpy(column[int(i)].values, dtypes[b])
-                    tile = tile.astype(codec.wire_dtype(dtypes[b]))
+                    tile = hide(tile.astype(codec.wire_dtype(dtypes[b])), b, masks[i])
                     blank = bool((tile == nodata).all())
                     if drop_nan and tile.dtype.kind == "f":
                         blank = blank or bool(np.isnan(tile).all())

@@ -70,6 +70,13 @@ def grid(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def staged(pixels: DataFrame) -> DataFrame:
+    """The pixels as a stored table, so that the passes of a load scan files, not their origin."""
+    folder = scratch(pixels.sparkSession)
+    pixels.write.parquet(folder)
+    return pixels.sparkSession.read.schema(pixels.schema).parquet(folder)
+
+
 def coloured(spark: SparkSession, sf: str) -> DataFrame:
     return grid(spark, sf).withColumn("c1", F.col("b1") % 5)
 

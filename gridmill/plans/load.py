@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from gridmill.operators.metadata import document
-from gridmill.operators.overviews import overview_count
+from gridmill.operators.overviews import blocks_of_tiles, overview_count
 from gridmill.operators.tiling import blocks
-from gridmill.sources.pixels import measured
+from gridmill.sources import tiff
+from gridmill.sources.pixels import measured, pixels_of_tiles
 from gridmill.sources.tables import BlockTable
 from gridmill.spec import Raster, check_names
 
@@ -31,18 +32,53 @@ def load_raster(
 
     The refusal of an existing table and the compatibility check come before any row is written.
     """
-    check_names(raster.names)
-    if mode == "error" and not table.is_empty():
-        raise FileExistsError(f"Table {table.path} already exists and is not empty")
     raster = measured(pixels, raster)
-    text = document(
-        pixels, raster, exact_stats, basic_stats, compress, seed, version
-    ).first().metadata
     rows = blocks(
         pixels, raster, compress=compress, compression_level=compression_level, in_order=True,
         partitions=parallelism,
     )
-    load = table.write(rows, text, mode, load, chunk_size, is_clustered=True)
+    return _load(
+        pixels, rows, raster, table, mode, load, exact_stats, basic_stats, compress, chunk_size,
+        None, True, seed, version,
+    )
+
+
+def load_tiff(
+    path: str,
+    table: BlockTable,
+    names: list[str] | None = None,
+    mode: str = "error",
+    load: str | None = None,
+    exact_stats: bool = False,
+    basic_stats: bool = False,
+    compress: bool = False,
+    compression_level: int = 6,
+    chunk_size: int | None = None,
+    parallelism: int | None = None,
+    seed: int = 0,
+    version: str = "0.1.0",
+) -> dict:
+    """Load one tiled TIFF file. Base tiles are encoded as they are read, without a pixel shuffle."""
+    spark = table.spark
+    profile = tiff.profiles(spark, path).first()
+    raster = tiff.raster_of(profile, names)
+    tiles = tiff.tiles(spark, path, raster)
+    rows = blocks_of_tiles(tiles, raster, compress=compress, compression_level=compression_level)
+    return _load(
+        pixels_of_tiles(tiles, raster), rows, raster, table, mode, load, exact_stats, basic_stats,
+        compress, chunk_size, parallelism, False, seed, version,
+    )
+
+
+def _load(
+    pixels, rows, raster, table, mode, load, exact, basic, compress, chunk_size, parallelism,
+    is_clustered, seed, version,
+):
+    check_names(raster.names)
+    if mode == "error" and not table.is_empty():
+        raise FileExistsError(f"Table {table.path} already exists and is not empty")
+    text = document(pixels, raster, exact, basic, compress, seed, version).first().metadata
+    load = table.write(rows, text, mode, load, chunk_size, parallelism, is_clustered)
     expected = raster.tiles_wide * raster.tiles_high + overview_count(raster)
     written = table.load_rows(load)
     return {"expected": expected, "written": written, "empty": expected - written}

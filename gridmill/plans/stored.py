@@ -20,7 +20,8 @@ RASTER = fx.plane(fx.B1, levels=3)
 def loaded(spark, sf, **options) -> BlockTable:
     """The plane loaded into a new table."""
     table = BlockTable(spark, fx.scratch(spark))
-    load_raster(fx.grid(spark, sf), RASTER, table, exact_stats=True, basic_stats=True, **options)
+    pixels = fx.staged(fx.grid(spark, sf).select("px", "py", "b1"))
+    load_raster(pixels, RASTER, table, exact_stats=True, basic_stats=True, **options)
     return table
 
 
@@ -122,7 +123,7 @@ def append_result(spark, sf):
     """The left half loaded, the right half appended: one table, merged metadata."""
     from dataclasses import replace
 
-    pixels = fx.grid(spark, sf)
+    pixels = fx.staged(fx.grid(spark, sf).select("px", "py", "b1"))
     raster = fx.plane(fx.B1)
     height = pixels.agg(F.max("py") + 1).first()[0]
     half = fx.GRID_WIDTH // 2

@@ -54,13 +54,16 @@ def measured(pixels: DataFrame, raster: Raster) -> Raster:
 
 
 def pixels_of_tiles(tiles: DataFrame, raster: Raster) -> DataFrame:
-    """Pixel rows of tiles ``tile_x, tile_y, <bands ARRAY>``."""
+    """Pixel rows of tiles ``tile_x, tile_y, <bands ARRAY>``, without the padding of edge tiles."""
     bw, bh = raster.block_width, raster.block_height
     cells = F.posexplode(F.arrays_zip(*raster.names)).alias("pos", "cell")
-    return tiles.select("tile_x", "tile_y", cells).select(
+    out = tiles.select("tile_x", "tile_y", cells).select(
         ((F.col("tile_x") - raster.tile_x0) * bw + F.col("pos") % bw).cast("long").alias("px"),
         ((F.col("tile_y") - raster.tile_y0) * bh + F.floor(F.col("pos") / bw))
         .cast("long")
         .alias("py"),
         *[F.col("cell")[n].alias(n) for n in raster.names],
     )
+    if raster.width is not None and raster.height is not None:
+        out = out.where((F.col("px") < raster.width) & (F.col("py") < raster.height))
+    return out
