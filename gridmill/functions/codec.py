@@ -53,3 +53,15 @@ def value_column(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     if pa.types.is_decimal(kind):
         return pa.array(values).cast(pa.decimal128(20, 0))
     return pa.array(values).cast(kind)
+
+
+def byte_offsets(column: pa.Array) -> np.ndarray:
+    """Where each value of a binary column without nulls begins in its data, and the end."""
+    offsets = np.frombuffer(column.buffers()[1], dtype="<i4")
+    return offsets[column.offset : column.offset + len(column) + 1]
+
+
+def raw_values(column: pa.Array, dtype) -> np.ndarray:
+    """All bytes of a binary column without nulls, in row order, as values of a type."""
+    ends = byte_offsets(column)
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]].view(dtype)

@@ -1,8 +1,8 @@
 """Pixels to tiles and back.
 
-Tiles are assembled with one shuffle: pixels of the base and of every pyramid level are sent to
-the partition of their cell and sorted by it, and each task fills dense arrays batch by batch. A
-task holds a bounded number of tiles at a time, however many pixels its partition has.
+Tiles are assembled with one shuffle: pixels of the base and of every pyramid level are packed per
+cell, sent to the partition of their cell and sorted by it, and each task fills dense arrays batch
+by batch. A task holds a bounded number of pixels and tiles at a time, however many it is sent.
 """
 
 from __future__ import annotations
@@ -20,10 +20,15 @@ from pyspark.sql.pandas.types import to_arrow_type
 from gridmill.functions import codec
 from gridmill.functions.cells import cell_zoom, with_cell, with_parent, with_tile
 from gridmill.functions.nodata import filled
-from gridmill.spec import Raster
+from gridmill.spec import Raster, item_size
 
 # Cells a task fills at once; bounds its memory when pixels are sparse.
 DENSE_CELLS = 1 << 22
+# Pixels a task packs at once before the shuffle.
+PACK_ROWS = 1 << 19
+# Cells, in bytes, of an output partition, and sampled ids per partition to find its range.
+PARTITION_BYTES = 64 << 20
+SPLIT_SAMPLES = 1000
 
 
 # -- pixel coordinates -------------------------------------------------------
@@ -140,41 +145,142 @@ def assemble(
     block with no band left is dropped, unless ``keep_empty``. Comparing with NaN is false, so
     all-NaN bands stay unless ``drop_nan``. ``in_order`` spreads blocks by range, which makes the
     output ready for a clustered write with no further shuffle.
-    """
-    how_many = [] if partitions is None else [partitions]
-    spread = rows.repartitionByRange if in_order else rows.repartition
-    clustered = spread(*how_many, "block").sortWithinPartitions("block")
 
+    Before the shuffle each task packs the pixels it has of a block into one row of raw bytes. A
+    pixel then takes its own size and two or four bytes of position, not a whole Spark row.
+    """
     nodata = raster.table_nodata
+    dtypes = {b.name: b.dtype for b in raster.bands}
     fills = {b.name: (0 if b == raster.alpha else nodata) for b in raster.bands}
-    # 64-bit unsigned values travel as their signed bit pattern; Arrow decimals are slow.
+    binary = [T.StructField(n, T.BinaryType()) for n in raster.names]
+    stored = T.StructType([T.StructField("block", T.LongType(), False), *binary])
+    packed = T.StructType(
+        [
+            T.StructField("block", T.LongType(), False),
+            T.StructField("part", T.IntegerType(), False),
+            T.StructField("pos", T.BinaryType()),
+            *binary,
+        ]
+    )
+    splits = None
+    if in_order:
+        partitions = partitions or _partitions(rows, raster)
+        splits = _splits(rows, raster, partitions)
+    pack = _packer(dtypes, raster.cells, splits)
+    fill = _filler(
+        dtypes, fills, nodata, raster.cells, compression_level if compress else None, drop_nan,
+        keep_empty,
+    )
+    chunks = _signed(rows, raster).mapInArrow(pack, packed)
+    if in_order:
+        spread = chunks.repartitionById(partitions, "part")
+    elif partitions:
+        spread = chunks.repartition(partitions, "block")
+    else:
+        spread = chunks.repartition("block")
+    return spread.drop("part").sortWithinPartitions("block").mapInArrow(fill, stored)
+
+
+def _signed(rows: DataFrame, raster: Raster) -> DataFrame:
+    """64-bit unsigned values travel as their signed bit pattern; Arrow decimals are slow."""
     half, full = F.lit(Decimal(1 << 63)), F.lit(Decimal(1 << 64))
     for band in raster.bands:
         if band.dtype == "uint64":
             value = F.col(band.name)
             signed = F.when(value >= half, value - full).otherwise(value).cast("long")
-            clustered = clustered.withColumn(band.name, signed)
-    dtypes = {b.name: b.dtype for b in raster.bands}
-    fill = _filler(
-        dtypes, fills, nodata, raster.cells, compression_level if compress else None,
-        drop_nan, keep_empty,
-    )
-    schema = T.StructType(
-        [T.StructField("block", T.LongType(), False)]
-        + [T.StructField(n, T.BinaryType()) for n in raster.names]
-    )
-    return clustered.mapInArrow(fill, schema)
+            rows = rows.withColumn(band.name, signed)
+    return rows
+
+
+def _partitions(rows: DataFrame, raster: Raster) -> int:
+    """Output partitions of about 64 MB of cells; for small rasters, what cores there are."""
+    session = rows.sparkSession
+    if raster.width is None or raster.height is None:
+        return int(session.conf.get("spark.sql.shuffle.partitions"))
+    size = raster.width * raster.height * sum(item_size(b.dtype) for b in raster.bands)
+    at_64_mb = -(-size // PARTITION_BYTES)
+    at_1_mb = -(-size // (1 << 20))
+    return max(at_64_mb, min(session.sparkContext.defaultParallelism, at_1_mb), 1)
+
+
+def _splits(rows: DataFrame, raster: Raster, partitions: int) -> list[int]:
+    """Block ids that cut the rows into ranges of about equal size, from a sample of the ids.
+
+    The sampling pass reads the coordinates only. Blocks of one id never part.
+    """
+    if partitions == 1:
+        return []
+    blocks = rows.select("block")
+    if raster.width is not None and raster.height is not None:
+        wanted = SPLIT_SAMPLES * partitions / (raster.width * raster.height)
+        if wanted < 0.5:
+            blocks = blocks.sample(wanted, seed=0)
+    at = [i / partitions for i in range(1, partitions)]
+    found = blocks.approxQuantile("block", at, 0.1 / partitions)
+    return sorted({int(v) for v in found})
+
+
+def _position_type(cells: int) -> str:
+    return "<u2" if cells <= 1 << 16 else "<i4"
+
+
+def _packer(dtypes, cells, splits):
+    """The task function that packs pixels of a block into one row, as bytes per column."""
+    names = list(dtypes)
+    position = np.dtype(_position_type(cells))
+    edges = np.array(splits or [], dtype=np.int64)
+
+    def flush(held):
+        blocks = np.concatenate([h["block"] for h in held])
+        order = np.argsort(blocks, kind="stable")
+        blocks = blocks[order]
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(blocks)) + 1])
+        ends = np.append(starts, len(blocks))
+        ids = blocks[starts]
+
+        def chunked(column, dtype):
+            values = np.concatenate([h[column] for h in held])[order].astype(dtype, copy=False)
+            offsets = pa.py_buffer((ends * values.itemsize).astype("<i4"))
+            return pa.Array.from_buffers(
+                pa.binary(), len(ids), [None, offsets, pa.py_buffer(np.ascontiguousarray(values))]
+            )
+
+        parts = np.searchsorted(edges, ids, side="right").astype(np.int32)
+        columns = [pa.array(ids), pa.array(parts), chunked("pos", position)]
+        columns += [chunked(b, codec.wire_dtype(dtypes[b])) for b in names]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "part", "pos", *names])
+
+    def values_of(batch, band):
+        values = batch.column(band)
+        if dtypes[band] == "uint64":
+            return values.to_numpy().view("uint64")
+        return codec.to_numpy(values, dtypes[band])
+
+    def run(batches):
+        held, count = [], 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            one = {c: batch.column(c).to_numpy() for c in ("block", "pos")}
+            held.append(one | {b: values_of(batch, b) for b in names})
+            count += batch.num_rows
+            if count >= PACK_ROWS:
+                yield flush(held)
+                held, count = [], 0
+        if held:
+            yield flush(held)
+
+    return run
 
 
 def _filler(dtypes, fills, nodata, cells, gzip_level, drop_nan, keep_empty):
-    """The task function of :func:`assemble`: batches sorted by block in, encoded blocks out."""
+    """The task function that fills tiles: packed rows sorted by block in, encoded blocks out."""
     names = list(dtypes)
+    position = _position_type(cells)
     at_once = max(1, DENSE_CELLS // cells)
 
     def empty_tiles(n):
-        return {
-            b: np.full((n, cells), fills[b], dtype=codec.wire_dtype(dtypes[b])) for b in names
-        }
+        return {b: np.full((n, cells), fills[b], dtype=codec.wire_dtype(dtypes[b])) for b in names}
 
     def is_empty(tiles):
         blank = (tiles == nodata).all(axis=1)
@@ -189,24 +295,26 @@ def _filler(dtypes, fills, nodata, cells, gzip_level, drop_nan, keep_empty):
         columns += [codec.binary_column(tiles[b][live], keep[b][live], gzip_level) for b in names]
         return pa.RecordBatch.from_arrays(columns, names=["block", *names])
 
-    def values_of(batch, band):
-        values = batch.column(band)
-        if dtypes[band] == "uint64":
-            return values.to_numpy().view("uint64")
-        return codec.to_numpy(values, dtypes[band])
+    def bounded(batches):
+        """Slices of batches with a bounded number of packed pixels, or one row."""
+        for batch in batches:
+            sizes = np.diff(codec.byte_offsets(batch.column("pos")))
+            upto = np.cumsum(sizes) // (DENSE_CELLS * np.dtype(position).itemsize)
+            cuts = np.flatnonzero(np.diff(upto)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if hi > lo:
+                    yield batch.slice(lo, hi - lo)
 
     def run(batches):
         open_block, open_tile = None, None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            blocks = batch.column("block").to_numpy()
-            pos = batch.column("pos").to_numpy()
-            values = {b: values_of(batch, b) for b in names}
+        for batch in bounded(batches):
+            sizes = np.diff(codec.byte_offsets(batch.column("pos")))
+            blocks = np.repeat(
+                batch.column("block").to_numpy(), sizes // np.dtype(position).itemsize
+            )
+            pos = codec.raw_values(batch.column("pos"), position)
+            values = {b: codec.raw_values(batch.column(b), codec.wire_dtype(dtypes[b])) for b in names}
             starts = np.concatenate([[0], np.flatnonzero(np.diff(blocks)) + 1])
-            if open_block is not None and open_block != blocks[0]:
-                yield encode(np.array([open_block]), open_tile)
-                open_block, open_tile = None, None
             for lo in range(0, len(starts), at_once):
                 first = starts[lo : lo + at_once]
                 ids = blocks[first]

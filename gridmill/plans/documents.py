@@ -138,7 +138,7 @@ def metadata_merge(spark, sf):
     sql=f"""
     SELECT strip, CAST(NULL AS VARCHAR) AS compression, {fx.ZOOM} AS block_resolution,
         {fx.ZOOM} AS minresolution, {fx.ZOOM} AS maxresolution, 0.0::DOUBLE AS nodata,
-        (x1 - x0) * 64 AS width, 64 AS height, n AS num_blocks, n * 4096 AS num_pixels,
+        (x1 - x0) * 64 AS width, 64::BIGINT AS height, n AS num_blocks, n * 4096 AS num_pixels,
         24 AS pixel_resolution,
         {bounds_sql("x0", f"strip + {fx.TILE_Y0}", "x1", f"strip + 1 + {fx.TILE_Y0}")},
         s.* EXCLUDE (strip), 'uint8' AS type, '0.0' AS band_nodata

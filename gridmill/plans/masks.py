@@ -129,8 +129,8 @@ def mask_dispatch(spark, sf):
 @query(
     "fill_nodata",
     sql="""
-    SELECT px, py, CASE WHEN a1 = 0 THEN 9 ELSE b1 END AS b1,
-        CASE WHEN a1 = 0 THEN 9 ELSE b2 END AS b2, a1
+    SELECT px, py, CAST(CASE WHEN a1 = 0 THEN 9 ELSE b1 END AS SMALLINT) AS b1,
+        CAST(CASE WHEN a1 = 0 THEN 9 ELSE b2 END AS SMALLINT) AS b2, CAST(a1 AS SMALLINT) AS a1
     FROM v_grid""",
 )
 def fill_nodata(spark, sf):

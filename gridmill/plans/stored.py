@@ -61,7 +61,7 @@ def metadata_read(spark, sf):
 )
 def get_records(spark, sf):
     """The first ten rows of a written table."""
-    rows = loaded(spark, sf).records(10)
+    rows = loaded(spark, sf).records(10, ordered=True)
     return rows.select(
         "block", F.col("metadata").isNotNull().alias("has_metadata"), F.hex("b1").alias("b1")
     )

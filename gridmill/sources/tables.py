@@ -112,8 +112,17 @@ class BlockTable:
     def is_empty(self) -> bool:
         return not self.exists() or self.data().isEmpty()
 
-    def records(self, limit: int = 10) -> DataFrame:
-        return self.read().orderBy("block").limit(limit)
+    def records(self, limit: int = 10, ordered: bool = False) -> DataFrame:
+        """Some rows of the table, or the first by block.
+
+        For the first, their ids are found from the block column alone, and bands are then read
+        only where files and row groups may hold them.
+        """
+        rows = self.read()
+        if not ordered:
+            return rows.limit(limit)
+        last = rows.select("block").orderBy("block").limit(limit).agg(F.max("block")).first()[0]
+        return rows.where(F.col("block") <= last).orderBy("block").limit(limit)
 
     def describe(self) -> DataFrame:
         """Rows ``column, type, rows, non_null`` for every column, in one pass."""

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridmill.plans.load import load_raster
@@ -15,21 +18,25 @@ def append_stream(
     raster: Raster,
     table: BlockTable,
     checkpoint: str,
-    name: str = "stream",
+    name: str | None = None,
     trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
     """Load each micro-batch of a streaming pixel table as one raster.
 
-    ``raster`` places pixel (0, 0); a batch may hold any part of the pixel plane. The batch number
-    names the load, so a batch that is run again after a failure replaces its own rows.
+    ``raster`` places pixel (0, 0); a batch may hold any part of the pixel plane. Stream and batch
+    number name the load, so a batch that is run again after a failure replaces its own rows. The
+    stream is named by the id in its checkpoint, unless ``name`` is given; give one only to let a
+    stream with a new checkpoint replace what an earlier one loaded.
     """
 
     def load_batch(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
+        context = batch.sparkSession.sparkContext
+        stream = name or context.getLocalProperty("sql.streaming.queryId")
         part, moved = window_of(batch, raster)
-        load_raster(moved, part, table, mode="append", load=f"{name}-{number}", **options)
+        load_raster(moved, part, table, mode="append", load=f"{stream}-{number}", **options)
 
     writer = pixels.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -37,13 +44,12 @@ def append_stream(
 
 def window_of(batch: DataFrame, raster: Raster) -> tuple[Raster, DataFrame]:
     """The tile-aligned part of the raster that a batch covers, and its pixels moved to it."""
-    from dataclasses import replace
-
-    from pyspark.sql import functions as F
-
     bw, bh = raster.block_width, raster.block_height
     edges = batch.agg(
-        F.min("px").alias("x0"), F.max("px").alias("x1"), F.min("py").alias("y0"), F.max("py").alias("y1")
+        F.min("px").alias("x0"),
+        F.max("px").alias("x1"),
+        F.min("py").alias("y0"),
+        F.max("py").alias("y1"),
     ).first()
     left, top = edges.x0 // bw, edges.y0 // bh
     part = replace(

@@ -44,15 +44,28 @@ def test_micro_batches_equal_one_load(spark, tmp_path):
     assert abs(mine["stddev"] - other["stddev"]) < 1e-9
 
 
+def start(spark, arriving, table, progress, **options):
+    source = spark.readStream.schema(pixels(spark, 0, 1).schema).parquet(arriving)
+    append_stream(
+        source, RASTER, table, progress, exact_stats=True, basic_stats=True, **options
+    ).awaitTermination()
+
+
 def test_a_batch_run_again_replaces_itself(spark, tmp_path):
-    """A lost progress log makes the stream start over: same names, same rows."""
+    """A named stream that lost its progress starts over: same loads, same rows."""
     arriving = str(tmp_path / "arriving")
     pixels(spark, 0, 1).coalesce(1).write.parquet(arriving)
     table = BlockTable(spark, str(tmp_path / "stream"))
     for attempt in ("one", "two"):
-        source = spark.readStream.schema(pixels(spark, 0, 1).schema).parquet(arriving)
-        append_stream(
-            source, RASTER, table, str(tmp_path / attempt), exact_stats=True, basic_stats=True
-        ).awaitTermination()
+        start(spark, arriving, table, str(tmp_path / attempt), name="mine")
     assert table.data().count() == 4
     assert json.loads(table.read().where("block = 0").first().metadata)["num_blocks"] == 4
+
+
+def test_streams_do_not_replace_each_other(spark, tmp_path):
+    table = BlockTable(spark, str(tmp_path / "stream"))
+    for part in range(2):
+        arriving = str(tmp_path / f"arriving{part}")
+        pixels(spark, part, part + 1).coalesce(1).write.parquet(arriving)
+        start(spark, arriving, table, str(tmp_path / f"progress{part}"))
+    assert table.data().count() == 8 and table.metadata()["num_blocks"] == 8

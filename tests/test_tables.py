@@ -38,7 +38,8 @@ def test_load_and_read(spark, pixels, table):
     assert table.metadata_rows().first().num_pixels == 64 * 48
     back = tiling.decode(table.data(), RASTER, compressed=True).where("z = 10")
     assert back.where("v = ((gy - 64) * 64 + (gx - 64)) % 500").count() == 64 * 48
-    first = table.records(3).collect()
+    assert table.records(3).count() == 3 and table.records().count() == 10
+    first = table.records(3, ordered=True).collect()
     assert [r.block for r in first] == sorted(r.block for r in first) and first[0].metadata
     facts = {r.column: (r.type, r.rows, r.non_null) for r in table.describe().collect()}
     assert facts == {

@@ -217,4 +217,4 @@ def test_one_shuffle_for_the_whole_pyramid(spark):
     for in_order in (False, True):
         plan = tiling.blocks(pixels, raster, in_order=in_order)
         text = plan._jdf.queryExecution().executedPlan().toString()
-        assert text.count("Exchange") == 1
+        assert text.count("Exchange") == 1, text
