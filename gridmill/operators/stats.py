@@ -323,7 +323,8 @@ def quantile_lists(found: DataFrame) -> DataFrame:
 
 
 def sample_hash(seed: int) -> Column:
-    return F.md5(F.concat_ws(":", F.col("px").cast("string"), F.col("py").cast("string"), F.lit(str(seed))))
+    place = [F.col(c).cast("string") for c in ("px", "py")]
+    return F.md5(F.concat_ws(":", *place, F.lit(str(seed))))
 
 
 def sample_pixels(

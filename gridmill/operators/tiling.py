@@ -313,7 +313,9 @@ def _filler(dtypes, fills, nodata, cells, gzip_level, drop_nan, keep_empty):
                 batch.column("block").to_numpy(), sizes // np.dtype(position).itemsize
             )
             pos = codec.raw_values(batch.column("pos"), position)
-            values = {b: codec.raw_values(batch.column(b), codec.wire_dtype(dtypes[b])) for b in names}
+            values = {
+                b: codec.raw_values(batch.column(b), codec.wire_dtype(dtypes[b])) for b in names
+            }
             starts = np.concatenate([[0], np.flatnonzero(np.diff(blocks)) + 1])
             for lo in range(0, len(starts), at_once):
                 first = starts[lo : lo + at_once]

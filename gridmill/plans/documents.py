@@ -35,7 +35,10 @@ def shown(documents, *keys: str):
         F.round(F.col("d.center")[1], 7).alias("center_lat"),
         F.col("b.name").alias("name"), F.col("b.type").alias("type"),
         F.col("b.nodata").alias("band_nodata"),
-        *[F.round(f"b.stats.{c}", 6).alias(c) for c in ("min", "max", "mean", "sum", "sum_squares")],
+        *[
+            F.round(f"b.stats.{c}", 6).alias(c)
+            for c in ("min", "max", "mean", "sum", "sum_squares")
+        ],
         F.round("b.stats.stddev", 4).alias("stddev"),
         F.col("b.stats.count").alias("count"),
     )
@@ -67,7 +70,8 @@ _STATS_SQL = """min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean, sum(v) A
         CASE name WHEN 'b2' THEN 'none' END AS label_of_0, 17 AS quantile_groups
     FROM v_size, (SELECT name, {_STATS_SQL} FROM ({_values("b1", "b2")}) GROUP BY name) s
     JOIN (SELECT name, arg_max(CAST(v AS VARCHAR), n) AS top FROM
-        (SELECT name, CAST(v AS BIGINT) AS v, count(*) AS n FROM ({_values("b1", "b2")}) GROUP BY 1, 2)
+        (SELECT name, CAST(v AS BIGINT) AS v, count(*) AS n
+            FROM ({_values("b1", "b2")}) GROUP BY 1, 2)
         GROUP BY name) USING (name)""",
 )
 def metadata_doc(spark, sf):
@@ -206,8 +210,9 @@ def append_check(spark, sf):
     new = docs.select("raster", metadata.to_document(whole).alias("new"))
     old = new.select((F.col("raster") + 44).alias("raster"), F.col("new").alias("old"))
     checked = metadata.check(new.join(old, "raster"))
-    words = F.regexp_extract(F.coalesce("problem", F.lit("none")), r"(resolution|nodata|block|bands|none)", 1)
-    first = F.when(F.col("problem").contains("resolution"), F.lit("resolution")).otherwise(words)
+    text = F.coalesce("problem", F.lit("none"))
+    word = F.regexp_extract(text, r"(resolution|nodata|block|bands|none)", 1)
+    first = F.when(text.contains("resolution"), F.lit("resolution")).otherwise(word)
     return checked.select(
         "raster", "same_resolution", "same_nodata", "same_block", "same_bands",
         "same_compression", first.alias("problem"),
@@ -256,8 +261,9 @@ def value_labels(spark, sf):
     entries = F.collect_list(F.struct(F.col("n_nationkey").cast("string"), "n_name"))
     text = F.to_json(F.map_from_entries(entries))
     given = fx.table(spark, sf, "nation").agg(text.alias("b1"), F.lit("None").alias("b2"))
-    given = given.select(F.explode(F.create_map(F.lit("b1"), "b1", F.lit("b2"), "b2")).alias("name", "text"))
-    labels = given.select("name", F.explode(metadata.value_labels(F.col("text"))).alias("key", "label"))
+    texts = F.explode(F.create_map(F.lit("b1"), "b1", F.lit("b2"), "b2")).alias("name", "text")
+    entry = F.explode(metadata.value_labels(F.col("text"))).alias("key", "label")
+    labels = given.select(texts).select("name", entry)
     labels = labels.select("name", F.col("key").cast("long").alias("value"), "label")
     raster = fx.plane(fx.B1, Band("b2", nodata=0), Band("a1"))
     tops = stats.top_values(fx.grid(spark, sf), raster)

@@ -9,7 +9,7 @@ from gridmill.operators.overviews import blocks_of_tiles, overview_count
 from gridmill.operators.tiling import blocks
 from gridmill.sources import tiff
 from gridmill.sources.pixels import measured, pixels_of_tiles
-from gridmill.sources.tables import BlockTable
+from gridmill.sources.tables import MODES, BlockTable
 from gridmill.spec import Raster, check_names
 
 
@@ -32,6 +32,7 @@ def load_raster(
 
     The refusal of an existing table and the compatibility check come before any row is written.
     """
+    _admit(table, mode, raster)
     raster = measured(pixels, raster)
     rows = blocks(
         pixels, raster, compress=compress, compression_level=compression_level, in_order=True,
@@ -58,10 +59,11 @@ def load_tiff(
     seed: int = 0,
     version: str = "0.1.0",
 ) -> dict:
-    """Load one tiled TIFF file. Base tiles are encoded as they are read, without a pixel shuffle."""
+    """Load one tiled TIFF file. Base tiles are encoded as they are read, not shuffled as pixels."""
     spark = table.spark
     profile = tiff.profiles(spark, path).first()
     raster = tiff.raster_of(profile, names)
+    _admit(table, mode, raster)
     tiles = tiff.tiles(spark, path, raster)
     rows = blocks_of_tiles(tiles, raster, compress=compress, compression_level=compression_level)
     return _load(
@@ -70,13 +72,19 @@ def load_tiff(
     )
 
 
+def _admit(table: BlockTable, mode: str, raster: Raster) -> None:
+    """Refuse what can be refused before any pixel is read."""
+    check_names(raster.names)
+    if mode not in MODES:
+        raise ValueError(f"Invalid write mode {mode}")
+    if mode == "error" and not table.is_empty():
+        raise FileExistsError(f"Table {table.path} already exists and is not empty")
+
+
 def _load(
     pixels, rows, raster, table, mode, load, exact, basic, compress, chunk_size, parallelism,
     is_clustered, seed, version,
 ):
-    check_names(raster.names)
-    if mode == "error" and not table.is_empty():
-        raise FileExistsError(f"Table {table.path} already exists and is not empty")
     text = document(pixels, raster, exact, basic, compress, seed, version).first().metadata
     load = table.write(rows, text, mode, load, chunk_size, parallelism, is_clustered)
     expected = raster.tiles_wide * raster.tiles_high + overview_count(raster)

@@ -107,7 +107,8 @@ def mask_alpha(spark, sf):
 @query(
     "mask_dispatch",
     sql="""
-    SELECT px, py, true AS alpha_itself, a1 <> 0 AS under_alpha, true AS unstated, b2 <> 0 AS single,
+    SELECT px, py, true AS alpha_itself, a1 <> 0 AS under_alpha, true AS unstated,
+        b2 <> 0 AS single,
         NOT isnan(g1) AS real, NOT (b1 % 5 = 0 AND b2 = 0 AND b3 = 0) AS colour
     FROM v_gappy""",
 )

@@ -51,14 +51,14 @@ def _split(columns: str) -> list[str]:
     SELECT {_SHOWN}, quantile_groups, quantile_sum, top_count
     FROM (SELECT name, {_MOMENTS} FROM ({_values(*MASKS)}) GROUP BY name)
     JOIN (SELECT name, 17 AS quantile_groups, round(sum(q), 2) AS quantile_sum FROM (
-        SELECT name, list_sort(list(v))[1 + CAST(floor((count(*) - 1) * (j::DOUBLE / i)) AS BIGINT)]
-            AS q
+        SELECT name,
+            list_sort(list(v))[1 + CAST(floor((count(*) - 1) * (j::DOUBLE / i)) AS BIGINT)] AS q
         FROM ({_values(*MASKS)}),
             (SELECT i, unnest(range(1, i)) AS j FROM (SELECT unnest(range(3, 20)) AS i))
         GROUP BY name, i, j) GROUP BY name) USING (name)
     LEFT JOIN (SELECT name, CAST(sum(n) AS BIGINT) AS top_count FROM (
-        SELECT name, count(*) AS n FROM ({_values("b1", "b2", "a1")}) GROUP BY name, v) GROUP BY name)
-        USING (name)""",
+        SELECT name, count(*) AS n FROM ({_values("b1", "b2", "a1")}) GROUP BY name, v)
+        GROUP BY name) USING (name)""",
 )
 def band_stats_exact(spark, sf):
     """The whole exact record of each band."""

@@ -106,7 +106,8 @@ def cell_parent(spark, sf):
 )
 def cell_children(spark, sf):
     raster = px.measured(fx.grid(spark, sf), fx.plane(fx.B1))
-    return cells.with_children(tiling.block_grid(spark, raster), "block", 2).select("block", "child")
+    grid = tiling.block_grid(spark, raster)
+    return cells.with_children(grid, "block", 2).select("block", "child")
 
 
 @query(
@@ -131,7 +132,8 @@ def block_id(spark, sf):
 @query(
     "norm_lon",
     sql="""
-    SELECT id, round(CASE WHEN w > 180 THEN w - 360 WHEN w <= -180 THEN w + 360 ELSE w END, 9) AS lon
+    SELECT id,
+        round(CASE WHEN w > 180 THEN w - 360 WHEN w <= -180 THEN w + 360 ELSE w END, 9) AS lon
     FROM (SELECT id, lon * 2 AS w FROM v_points)""",
 )
 def norm_lon(spark, sf):
@@ -143,8 +145,8 @@ def norm_lon(spark, sf):
 
 _RING_SQL = """
     SELECT strip, row_number() OVER (PARTITION BY strip ORDER BY side, i) - 1 AS point,
-        CASE side WHEN 0 THEN width * i / nx WHEN 1 THEN width WHEN 2 THEN width + (0 - width) * i / nx
-            ELSE 0 END::DOUBLE AS x,
+        CASE side WHEN 0 THEN width * i / nx WHEN 1 THEN width
+            WHEN 2 THEN width + (0 - width) * i / nx ELSE 0 END::DOUBLE AS x,
         CASE side WHEN 0 THEN height WHEN 1 THEN height + (0 - height) * i / ny WHEN 2 THEN 0
             ELSE height * i / ny END::DOUBLE AS y
     FROM (SELECT *, unnest(range(CASE WHEN side % 2 = 0 THEN nx ELSE ny END + 1)) AS i
@@ -191,7 +193,8 @@ def bounds_ring(spark, sf):
     "ring_clean",
     sql=_DEGREES_SQL
     + """
-    SELECT strip, count(*) AS points, first(lon ORDER BY point) = last(lon ORDER BY point) AS closed,
+    SELECT strip, count(*) AS points,
+        first(lon ORDER BY point) = last(lon ORDER BY point) AS closed,
         round(min(lon), 7) AS west, round(max(lat), 7) AS north, false AS whole_earth,
         true AS globe_is_whole
     FROM clean GROUP BY strip""",

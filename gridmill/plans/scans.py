@@ -73,7 +73,8 @@ def raster_profile(spark, sf):
 def band_sizes(spark, sf):
     bits = F.regexp_extract("dtype", "([0-9]+)", 1).cast("int")
     size = F.col("width") * F.col("height") * bits / 8 / 1024 / 1024
-    return fx.catalog(spark, sf).select("raster", "band", "dtype", F.round(size, 9).alias("size_mb"))
+    shown = F.round(size, 9).alias("size_mb")
+    return fx.catalog(spark, sf).select("raster", "band", "dtype", shown)
 
 
 @query("band_select", sql='SELECT px, py, b2 AS "BAND_2", b1 AS "QUANTITY" FROM v_grid')

@@ -188,7 +188,8 @@ def batch_assign(spark, sf):
     """Blocks numbered into batches of a thousand."""
     raster = fx.plane(fx.B1, edge=2)
     placed = tiling.with_position(tiling.on_levels(fx.grid(spark, sf), raster), raster)
-    blocks = with_cell(placed.select("tile_x", "tile_y").distinct(), "tile_x", "tile_y", raster.zoom)
+    placed = placed.select("tile_x", "tile_y").distinct()
+    blocks = with_cell(placed, "tile_x", "tile_y", raster.zoom)
     return tiling.with_batch(blocks.select("block"), 1000).select("block", "batch")
 
 
@@ -200,7 +201,8 @@ def batch_assign(spark, sf):
     sql="""
     SELECT raster, NOT (broken AND levels > 0) AS factors_ok, shapes = 1 AS shapes_ok
     FROM (SELECT raster, bool_or(broken) AS broken, max(levels) AS levels,
-            count(DISTINCT CASE WHEN band = 2 AND max_zoom = 9 THEN edge + 1 ELSE edge END) AS shapes
+            count(DISTINCT CASE WHEN band = 2 AND max_zoom = 9 THEN edge + 1 ELSE edge END)
+                AS shapes
         FROM v_catalog GROUP BY raster)""",
 )
 def overview_valid(spark, sf):

@@ -18,6 +18,8 @@ from gridmill.errors import IncompatibleTable
 from gridmill.operators import metadata as meta
 from gridmill.spec import check_names
 
+MODES = ("error", "overwrite", "append")
+
 META_SCHEMA = T.StructType(
     [
         T.StructField("block", T.LongType(), False),
@@ -63,7 +65,8 @@ class BlockTable:
 
     def _fs(self, path):
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), target
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return target.getFileSystem(conf), target
 
     def _has(self, part: str) -> bool:
         fs, target = self._fs(f"{self.path}/{part}/_SUCCESS")
@@ -161,12 +164,12 @@ class BlockTable:
         parallelism: int | None = None,
         is_clustered: bool = False,
     ) -> str:
-        """Write a load and return its id. ``mode`` is ``error``, ``overwrite`` or ``append`` if rows exist.
+        """Write a load and return its id.
 
-        A new or overwritten table is built aside and moved into place, so a failure leaves the
+        ``mode`` says what to do if rows exist: ``error``, ``overwrite`` or ``append``. A new or overwritten table is built aside and moved into place, so a failure leaves the
         old one as it was.
         """
-        if mode not in ("error", "overwrite", "append"):
+        if mode not in MODES:
             raise ValueError(f"Invalid write mode {mode}")
         check_names([c for c in blocks.columns if c != "block"])
         if not is_clustered:
@@ -210,10 +213,10 @@ class BlockTable:
 
     def _check(self, document, load):
         """Refuse a document that does not fit those of the other loads, before any write."""
-        others = self._documents().where(F.col("load") != load).limit(1).collect()
-        if not others:
+        other = self._documents().where(F.col("load") != load).select("metadata").first()
+        if other is None:
             return
-        pair = self.spark.createDataFrame([(document, others[0].metadata)], "new string, old string")
+        pair = self.spark.createDataFrame([(document, other.metadata)], "new string, old string")
         problem = meta.check(pair).first().problem
         if problem is not None:
             raise IncompatibleTable(problem)
@@ -226,7 +229,7 @@ class BlockTable:
         docs = self._documents()
         # Loads have no order of their own; the time their document was written is one.
         ordered = docs.withColumn(
-            "written", F.struct(F.col("_metadata.file_modification_time"), F.col("load"))
+            "written", F.struct("_metadata.file_modification_time", "load")
         )
         merged = meta.merge(ordered, "written").first().metadata
         self._write_meta(self.path, merged)
