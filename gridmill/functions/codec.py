@@ -65,3 +65,33 @@ def raw_values(column: pa.Array, dtype) -> np.ndarray:
     """All bytes of a binary column without nulls, in row order, as values of a type."""
     ends = byte_offsets(column)
     return np.frombuffer(column.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]].view(dtype)
+
+
+def blank_rows(tiles: np.ndarray, nodata, drop_nan: bool) -> np.ndarray:
+    """Which tiles hold only nodata. NaN equals nothing, so NaN tiles count only if asked."""
+    blank = (tiles == nodata).all(axis=1)
+    if drop_nan and tiles.dtype.kind == "f":
+        blank |= np.isnan(tiles).all(axis=1)
+    return blank
+
+
+def block_batch(ids, tiles: dict, keep: dict, gzip_level, parts=None) -> pa.RecordBatch:
+    """Block rows of dense tiles; bands that are not kept are null, rows without bands are gone."""
+    live = np.logical_or.reduce(list(keep.values()))
+    columns = {"block": pa.array(ids[live])}
+    if parts is not None:
+        columns["part"] = parts.filter(pa.array(live))
+    for b in tiles:
+        columns[b] = binary_column(tiles[b][live], keep[b][live], gzip_level)
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def dense_rows(column: pa.Array, dtype: str, cells: int, nodata) -> tuple[np.ndarray, np.ndarray]:
+    """A column of arrays as a 2-D array, and which rows had one."""
+    given = column.is_valid().to_numpy(zero_copy_only=False)
+    tiles = np.full((len(column), cells), nodata, dtype=wire_dtype(dtype))
+    values = column.flatten()
+    if values.null_count:
+        values = values.fill_null(pa.scalar(nodata).cast(values.type))
+    tiles[given] = to_numpy(values, dtype).reshape(-1, cells)
+    return tiles, given

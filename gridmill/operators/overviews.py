@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmill.functions.cells import with_cell
-from gridmill.operators.tiling import assemble, encode_arrays, tile_pixels
-from gridmill.sources.pixels import pixels_of_tiles
+from gridmill.operators.tiling import assemble, tile_pixels
 from gridmill.spec import Raster
 
 
@@ -61,20 +60,6 @@ def overview_blocks(pixels: DataFrame, raster: Raster, **options) -> DataFrame:
     return assemble(tile_pixels(pixels, raster, base=False), raster, **options)
 
 
-def blocks_of_tiles(tiles: DataFrame, raster: Raster, **options) -> DataFrame:
-    """Base and pyramid blocks of tiles ``tile_x, tile_y, <bands ARRAY>``.
-
-    Base tiles are encoded where they are; only the pixels the pyramid keeps are shuffled.
-    """
-    base = encode_arrays(
-        with_cell(tiles, "tile_x", "tile_y", raster.zoom), raster, **options
-    )
-    if not raster.levels:
-        return base
-    pyramid = overview_blocks(pixels_of_tiles(tiles, raster), raster, **options)
-    return pyramid.unionByName(base)
-
-
 def counted(profile: DataFrame, raster: Raster) -> DataFrame:
     """One row ``tiles, base_tiles``: the pyramid tiles of a profile, by arithmetic."""
     wide = F.ceil(F.col("width") / raster.block_width)

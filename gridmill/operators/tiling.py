@@ -149,36 +149,65 @@ def assemble(
     Before the shuffle each task packs the pixels it has of a block into one row of raw bytes. A
     pixel then takes its own size and two or four bytes of position, not a whole Spark row.
     """
-    nodata = raster.table_nodata
-    dtypes = {b.name: b.dtype for b in raster.bands}
-    fills = {b.name: (0 if b == raster.alpha else nodata) for b in raster.bands}
-    binary = [T.StructField(n, T.BinaryType()) for n in raster.names]
-    stored = T.StructType([T.StructField("block", T.LongType(), False), *binary])
-    packed = T.StructType(
-        [
-            T.StructField("block", T.LongType(), False),
-            T.StructField("part", T.IntegerType(), False),
-            T.StructField("pos", T.BinaryType()),
-            *binary,
-        ]
-    )
     splits = None
     if in_order:
-        partitions = partitions or _partitions(rows, raster)
-        splits = _splits(rows, raster, partitions)
-    pack = _packer(dtypes, raster.cells, splits)
-    fill = _filler(
-        dtypes, fills, nodata, raster.cells, compression_level if compress else None, drop_nan,
-        keep_empty,
-    )
-    chunks = _signed(rows, raster).mapInArrow(pack, packed)
+        partitions = partitions or output_partitions(rows.sparkSession, raster)
+        splits = split_points(rows.select("block"), raster, partitions)
+    chunks = _signed(rows, raster).mapInArrow(
+        _packer({b.name: b.dtype for b in raster.bands}, raster.cells, splits),
+        packed_schema(raster, part=True),
+    )
     if in_order:
         spread = chunks.repartitionById(partitions, "part")
     elif partitions:
         spread = chunks.repartition(partitions, "block")
     else:
         spread = chunks.repartition("block")
-    return spread.drop("part").sortWithinPartitions("block").mapInArrow(fill, stored)
+    return fill_tiles(
+        spread.drop("part"), raster, compress, compression_level, drop_nan, keep_empty
+    )
+
+
+def packed_schema(raster: Raster, part: bool = False) -> T.StructType:
+    """Rows of packed pixels: positions in a block and the values there, as bytes."""
+    extra = [T.StructField("part", T.IntegerType(), False)] if part else []
+    return T.StructType(
+        [T.StructField("block", T.LongType(), False), *extra, T.StructField("pos", T.BinaryType())]
+        + [T.StructField(n, T.BinaryType()) for n in raster.names]
+    )
+
+
+def stored_schema(raster: Raster, part: bool = False) -> T.StructType:
+    """Block rows, with the output partition they belong to if asked."""
+    extra = [T.StructField("part", T.IntegerType(), False)] if part else []
+    return T.StructType(
+        [T.StructField("block", T.LongType(), False), *extra]
+        + [T.StructField(n, T.BinaryType()) for n in raster.names]
+    )
+
+
+def fill_tiles(
+    chunks: DataFrame,
+    raster: Raster,
+    compress: bool = False,
+    compression_level: int = 6,
+    drop_nan: bool = False,
+    keep_empty: bool = False,
+    splits: list[int] | None = None,
+) -> DataFrame:
+    """Packed rows, all rows of a block in one partition, to block rows.
+
+    ``splits`` adds the range a block falls into as ``part``.
+    """
+    nodata = raster.table_nodata
+    dtypes = {b.name: b.dtype for b in raster.bands}
+    fills = {b.name: (0 if b == raster.alpha else nodata) for b in raster.bands}
+    fill = _filler(
+        dtypes, fills, nodata, raster.cells, compression_level if compress else None, drop_nan,
+        keep_empty, splits,
+    )
+    schema = stored_schema(raster, part=splits is not None)
+    return chunks.sortWithinPartitions("block").mapInArrow(fill, schema)
 
 
 def _signed(rows: DataFrame, raster: Raster) -> DataFrame:
@@ -192,9 +221,8 @@ def _signed(rows: DataFrame, raster: Raster) -> DataFrame:
     return rows
 
 
-def _partitions(rows: DataFrame, raster: Raster) -> int:
+def output_partitions(session: SparkSession, raster: Raster) -> int:
     """Output partitions of about 64 MB of cells; for small rasters, what cores there are."""
-    session = rows.sparkSession
     if raster.width is None or raster.height is None:
         return int(session.conf.get("spark.sql.shuffle.partitions"))
     size = raster.width * raster.height * sum(item_size(b.dtype) for b in raster.bands)
@@ -203,32 +231,38 @@ def _partitions(rows: DataFrame, raster: Raster) -> int:
     return max(at_64_mb, min(session.sparkContext.defaultParallelism, at_1_mb), 1)
 
 
-def _splits(rows: DataFrame, raster: Raster, partitions: int) -> list[int]:
+def split_points(
+    blocks: DataFrame, raster: Raster, partitions: int, rows: int | None = None
+) -> list[int]:
     """Block ids that cut the rows into ranges of about equal size, from a sample of the ids.
 
-    The sampling pass reads the coordinates only. Blocks of one id never part.
+    The sampling pass reads what the ids are made of only. Rows of one block never part. ``rows``
+    is about how many rows there are, if not as many as the raster has pixels.
     """
     if partitions == 1:
         return []
-    blocks = rows.select("block")
-    if raster.width is not None and raster.height is not None:
-        wanted = SPLIT_SAMPLES * partitions / (raster.width * raster.height)
-        if wanted < 0.5:
-            blocks = blocks.sample(wanted, seed=0)
+    if rows is None and raster.width is not None and raster.height is not None:
+        rows = raster.width * raster.height
+    if rows is not None and SPLIT_SAMPLES * partitions < rows / 2:
+        blocks = blocks.sample(SPLIT_SAMPLES * partitions / rows, seed=0)
     at = [i / partitions for i in range(1, partitions)]
     found = blocks.approxQuantile("block", at, 0.1 / partitions)
     return sorted({int(v) for v in found})
 
 
-def _position_type(cells: int) -> str:
+def parts_of(ids: np.ndarray, splits) -> pa.Array:
+    edges = np.array(splits or [], dtype=np.int64)
+    return pa.array(np.searchsorted(edges, ids, side="right").astype(np.int32))
+
+
+def position_type(cells: int) -> str:
     return "<u2" if cells <= 1 << 16 else "<i4"
 
 
 def _packer(dtypes, cells, splits):
     """The task function that packs pixels of a block into one row, as bytes per column."""
     names = list(dtypes)
-    position = np.dtype(_position_type(cells))
-    edges = np.array(splits or [], dtype=np.int64)
+    position = np.dtype(position_type(cells))
 
     def flush(held):
         blocks = np.concatenate([h["block"] for h in held])
@@ -245,8 +279,7 @@ def _packer(dtypes, cells, splits):
                 pa.binary(), len(ids), [None, offsets, pa.py_buffer(np.ascontiguousarray(values))]
             )
 
-        parts = np.searchsorted(edges, ids, side="right").astype(np.int32)
-        columns = [pa.array(ids), pa.array(parts), chunked("pos", position)]
+        columns = [pa.array(ids), parts_of(ids, splits), chunked("pos", position)]
         columns += [chunked(b, codec.wire_dtype(dtypes[b])) for b in names]
         return pa.RecordBatch.from_arrays(columns, names=["block", "part", "pos", *names])
 
@@ -273,27 +306,22 @@ def _packer(dtypes, cells, splits):
     return run
 
 
-def _filler(dtypes, fills, nodata, cells, gzip_level, drop_nan, keep_empty):
+def _filler(dtypes, fills, nodata, cells, gzip_level, drop_nan, keep_empty, splits):
     """The task function that fills tiles: packed rows sorted by block in, encoded blocks out."""
     names = list(dtypes)
-    position = _position_type(cells)
+    position = position_type(cells)
     at_once = max(1, DENSE_CELLS // cells)
 
     def empty_tiles(n):
         return {b: np.full((n, cells), fills[b], dtype=codec.wire_dtype(dtypes[b])) for b in names}
 
-    def is_empty(tiles):
-        blank = (tiles == nodata).all(axis=1)
-        if drop_nan and tiles.dtype.kind == "f":
-            blank |= np.isnan(tiles).all(axis=1)
-        return blank
-
     def encode(blocks, tiles):
-        keep = {b: np.full(len(blocks), True) if keep_empty else ~is_empty(tiles[b]) for b in names}
-        live = np.logical_or.reduce(list(keep.values()))
-        columns = [pa.array(blocks[live])]
-        columns += [codec.binary_column(tiles[b][live], keep[b][live], gzip_level) for b in names]
-        return pa.RecordBatch.from_arrays(columns, names=["block", *names])
+        keep = {b: np.full(len(blocks), True) for b in names}
+        if not keep_empty:
+            keep = {b: ~codec.blank_rows(tiles[b], nodata, drop_nan) for b in names}
+        return codec.block_batch(
+            blocks, tiles, keep, gzip_level, None if splits is None else parts_of(blocks, splits)
+        )
 
     def bounded(batches):
         """Slices of batches with a bounded number of packed pixels, or one row."""
@@ -352,67 +380,6 @@ def blocks(pixels: DataFrame, raster: Raster, **options) -> DataFrame:
     return assemble(tile_pixels(pixels, raster), raster, **options)
 
 
-# -- tiles that are arrays already -------------------------------------------
-
-
-def encode_arrays(
-    tiles: DataFrame,
-    raster: Raster,
-    compress: bool = False,
-    compression_level: int = 6,
-    drop_nan: bool = False,
-) -> DataFrame:
-    """Tiles ``block, <bands ARRAY>`` to block rows, with no shuffle.
-
-    Masked cells take the table's nodata as in :func:`tile_pixels`.
-    """
-    nodata = raster.table_nodata
-    level = compression_level if compress else None
-    dtypes = {b.name: b.dtype for b in raster.bands}
-    names = list(dtypes)
-    alpha = raster.alpha.name if raster.alpha is not None else None
-    stated = {b.name: raster.stated_nodata(b) for b in raster.bands}
-
-    def hide(tile, band, hidden):
-        """Fill the cells that alpha, or else a nodata other than the table's, hides."""
-        if band == alpha:
-            return tile
-        if hidden is None and stated[band] is not None and stated[band] != nodata:
-            hidden = tile == stated[band]
-        return tile if hidden is None else np.where(hidden, tile.dtype.type(nodata), tile)
-
-    def run(batches):
-        for batch in batches:
-            ids = batch.column("block").to_numpy()
-            encoded, live = {}, np.zeros(len(ids), dtype=bool)
-            masks = [None] * len(ids)
-            if alpha is not None:
-                masks = [c.values.to_numpy(zero_copy_only=False) == 0 for c in batch.column(alpha)]
-            for b in names:
-                column = batch.column(b)
-                given = column.is_valid().to_numpy(zero_copy_only=False)
-                out = [None] * len(ids)
-                for i in np.flatnonzero(given):
-                    tile = codec.to_numpy(column[int(i)].values, dtypes[b])
-                    tile = hide(tile.astype(codec.wire_dtype(dtypes[b])), b, masks[i])
-                    blank = bool((tile == nodata).all())
-                    if drop_nan and tile.dtype.kind == "f":
-                        blank = blank or bool(np.isnan(tile).all())
-                    if not blank:
-                        out[i] = codec.binary_column(tile[None], np.array([True]), level)[0].as_py()
-                        live[i] = True
-                encoded[b] = pa.array(out, type=pa.binary())
-            columns = [pa.array(ids), *[encoded[b] for b in names]]
-            record = pa.RecordBatch.from_arrays(columns, names=["block", *names])
-            yield record.filter(pa.array(live))
-
-    schema = T.StructType(
-        [T.StructField("block", T.LongType(), False)]
-        + [T.StructField(n, T.BinaryType()) for n in names]
-    )
-    return tiles.select("block", *names).mapInArrow(run, schema)
-
-
 # -- back to pixels ----------------------------------------------------------
 
 

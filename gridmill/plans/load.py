@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from gridmill.operators.arrays import block_ids, blocks_of_tiles
 from gridmill.operators.metadata import document
-from gridmill.operators.overviews import blocks_of_tiles, overview_count
-from gridmill.operators.tiling import blocks
+from gridmill.operators.overviews import overview_count
+from gridmill.operators.tiling import blocks, output_partitions, split_points
 from gridmill.sources import tiff
 from gridmill.sources.pixels import measured, pixels_of_tiles
 from gridmill.sources.tables import MODES, BlockTable
@@ -40,7 +41,7 @@ def load_raster(
     )
     return _load(
         pixels, rows, raster, table, mode, load, exact_stats, basic_stats, compress, chunk_size,
-        None, True, seed, version,
+        seed, version,
     )
 
 
@@ -65,10 +66,17 @@ def load_tiff(
     raster = tiff.raster_of(profile, names)
     _admit(table, mode, raster)
     tiles = tiff.tiles(spark, path, raster)
-    rows = blocks_of_tiles(tiles, raster, compress=compress, compression_level=compression_level)
+    # The ranges of the output come from the list of tiles, so that no tile is read for them.
+    parts = parallelism or output_partitions(spark, raster)
+    listed = block_ids(tiff.tile_list(tiff.profiles(spark, path)), raster)
+    splits = split_points(listed, raster, parts, rows=raster.tiles_wide * raster.tiles_high)
+    rows = blocks_of_tiles(
+        tiles, raster, splits, compress=compress, compression_level=compression_level
+    )
+    rows = rows.repartitionById(parts, "part").drop("part").sortWithinPartitions("block")
     return _load(
         pixels_of_tiles(tiles, raster), rows, raster, table, mode, load, exact_stats, basic_stats,
-        compress, chunk_size, parallelism, False, seed, version,
+        compress, chunk_size, seed, version,
     )
 
 
@@ -82,11 +90,10 @@ def _admit(table: BlockTable, mode: str, raster: Raster) -> None:
 
 
 def _load(
-    pixels, rows, raster, table, mode, load, exact, basic, compress, chunk_size, parallelism,
-    is_clustered, seed, version,
+    pixels, rows, raster, table, mode, load, exact, basic, compress, chunk_size, seed, version,
 ):
     text = document(pixels, raster, exact, basic, compress, seed, version).first().metadata
-    load = table.write(rows, text, mode, load, chunk_size, parallelism, is_clustered)
+    load = table.write(rows, text, mode, load, chunk_size, is_clustered=True)
     expected = raster.tiles_wide * raster.tiles_high + overview_count(raster)
     written = table.load_rows(load)
     return {"expected": expected, "written": written, "empty": expected - written}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridmill.functions.cells import with_cell
-from gridmill.operators import overviews, tiling
+from gridmill.operators import arrays, overviews, tiling
 from gridmill.plans import fixtures as fx
 from gridmill.plans.registry import query
 from gridmill.sources import pixels as px
@@ -107,7 +107,7 @@ def tile_roundtrip(spark, sf):
 def array_tiles(spark, sf):
     """Float tiles given as arrays: base encoded in place, pyramid from the kept pixels."""
     raster = fx.ARRAY_TILES
-    stored = overviews.blocks_of_tiles(fx.array_tiles(spark, sf), raster, compress=True)
+    stored = arrays.blocks_of_tiles(fx.array_tiles(spark, sf), raster, compress=True)
     out = tiling.decode(stored, raster, compressed=True).where(~F.isnan("band_1"))
     return out.select("z", "gx", "gy", F.round(F.col("band_1").cast("double"), 6).alias("band_1"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridmill import Band, Raster
 from gridmill.functions import nodata
-from gridmill.operators import overviews, tiling
+from gridmill.operators import arrays, overviews, tiling
 from gridmill.sources.pixels import measured, pixels_of_tiles, profile, unique_pixels
 from gridmill.spec import DEFAULT_NODATA
 
@@ -176,10 +176,10 @@ def test_tiles_given_as_arrays(spark):
     raster = Raster((Band("v", "int16"),), 6, 5, 3, 4, 4, overviews=(2, 4))
     values = [[y * 100 + x for x in range(20)] for y in range(16)]
     pixels = frame(spark, values, raster)
-    arrays = tiling.with_tile(tiling.to_arrays(tiling.base_blocks(pixels, raster), raster), "block")
-    again = pixels_of_tiles(arrays, raster)
+    tiles = tiling.with_tile(tiling.to_arrays(tiling.base_blocks(pixels, raster), raster), "block")
+    again = pixels_of_tiles(tiles, raster)
     assert again.exceptAll(pixels).isEmpty() and again.count() == pixels.count()
-    ours = overviews.blocks_of_tiles(arrays.select("tile_x", "tile_y", "v"), raster)
+    ours = arrays.blocks_of_tiles(tiles.select("tile_x", "tile_y", "v"), raster)
     theirs = tiling.blocks(pixels, raster)
     assert ours.exceptAll(theirs).isEmpty() and ours.count() == theirs.count()
 
