@@ -8,6 +8,7 @@ whole band.
 from __future__ import annotations
 
 import math
+import warnings
 from decimal import Decimal
 from functools import partial, reduce
 
@@ -28,6 +29,10 @@ SAMPLE_SIZE = 1000
 HISTOGRAM_ROWS = 2_000_000
 # Slices a value range is cut into per pass.
 RANGE_SLICES = 2048
+# A sampled pixel's hash is two numbers below a prime; how many times n to look for at first.
+HASH_PRIME = 2147483647
+HASH_RANGE = HASH_PRIME * HASH_PRIME
+SAMPLE_MARGIN = 10
 # Pixels an approximate pass should look at, at least.
 APPROXIMATE_PIXELS = 2500
 
@@ -323,21 +328,34 @@ def quantile_lists(found: DataFrame) -> DataFrame:
 
 
 def sample_hash(seed: int) -> Column:
-    place = [F.col(c).cast("string") for c in ("px", "py")]
-    return F.md5(F.concat_ws(":", *place, F.lit(str(seed))))
+    """A number below ``HASH_RANGE`` that looks random, from the place of a pixel and the seed.
+
+    Plain whole-number arithmetic, as every pixel of a raster is hashed.
+    """
+    return _mixed(48271, 69621, seed) * HASH_PRIME + _mixed(40014, 16807, seed + 1)
+
+
+def _mixed(x_factor: int, y_factor: int, seed: int) -> Column:
+    p = F.lit(HASH_PRIME).cast("long")
+    h = (F.col("px") % p * x_factor + F.col("py") % p * y_factor + seed % HASH_PRIME) % p
+    h = (h * (h + 39373) + 1) % p
+    return (h * (h + 52774) + 3) % p
 
 
 def sample_pixels(
-    pixels: DataFrame, raster: Raster, n: int = SAMPLE_SIZE, seed: int = 0
+    pixels: DataFrame, raster: Raster, n: int = SAMPLE_SIZE, seed: int = 0, below: int | None = None
 ) -> DataFrame:
     """A repeatable sample: the n pixels with the smallest hash among those valid in all bands.
 
     The first band of a sampled pixel is always a finite number. Each task keeps n rows at most,
-    so only the winners are moved.
+    so only the winners are moved. ``below`` keeps smaller hashes only, which leaves the sample the
+    same if n pixels have one.
     """
     first = raster.bands[0]
     ok = pixels.where(valid_in_all(raster) & finite(first.name, first))
     ok = ok.select("px", "py", *raster.names, sample_hash(seed).alias("hash"))
+    if below is not None:
+        ok = ok.where(F.col("hash") < below)
     return ok.orderBy("hash", "px", "py").limit(n)
 
 
@@ -490,17 +508,25 @@ def band_stats(
     )
 
 
-def drawn_sample(pixels: DataFrame, raster: Raster, seed: int = 0) -> DataFrame:
-    """The sample as a small local frame, so that each band's statistics reuse it."""
-    import warnings
+def drawn_sample(
+    pixels: DataFrame, raster: Raster, seed: int = 0, n: int = SAMPLE_SIZE
+) -> DataFrame:
+    """The sample as a small local frame, so that each band's statistics reuse it.
 
-    drawn = sample_pixels(pixels, raster, seed=seed)
-    rows = drawn.collect()  # at most SAMPLE_SIZE rows
+    If the size of the raster is known, only hashes so small that some ten times n pixels should
+    have one are looked at first; if too few pixels turn out to, all are.
+    """
+    bound = None
+    if raster.width and raster.height:
+        bound = HASH_RANGE * SAMPLE_MARGIN * n // (raster.width * raster.height)
+    rows = sample_pixels(pixels, raster, n, seed, bound).collect()  # at most n rows
+    if len(rows) < n and bound is not None and bound < HASH_RANGE:
+        rows = sample_pixels(pixels, raster, n, seed).collect()
     if not rows:
         raise ValueError("No valid pixel to sample: the data is too sparse; use exact statistics")
-    if len(rows) < SAMPLE_SIZE:
+    if len(rows) < n:
         warnings.warn(f"Only {len(rows)} valid pixels to sample; statistics may be inaccurate")
-    return pixels.sparkSession.createDataFrame(rows, drawn.schema)
+    return pixels.sparkSession.createDataFrame(rows, sample_pixels(pixels, raster).schema)
 
 
 def band_sizes(raster: Raster) -> list[tuple[str, str, float]]:

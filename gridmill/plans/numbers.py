@@ -146,9 +146,18 @@ def band_top_values(spark, sf):
 
 # -- samples ---------------------------------------------------------------------
 
+
+def _mixed(x_factor: int, y_factor: int, seed: int) -> str:
+    p = 2147483647
+    h = f"((px % {p} * {x_factor} + py % {p} * {y_factor} + {seed}) % {p})"
+    h = f"(({h} * ({h} + 39373) + 1) % {p})"
+    return f"(({h} * ({h} + 52774) + 3) % {p})"
+
+
+_HASH = f"{_mixed(48271, 69621, fx.SEED)} * 2147483647 + {_mixed(40014, 16807, fx.SEED + 1)}"
 _SAMPLE = f"""
     SELECT * FROM v_gappy WHERE b2 <> 0 AND NOT isnan(g1)
-    ORDER BY md5(concat_ws(':', px, py, '{fx.SEED}')), px, py LIMIT 1000"""
+    ORDER BY {_HASH}, px, py LIMIT 1000"""
 
 
 def _sample(spark, sf):

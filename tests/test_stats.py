@@ -154,6 +154,23 @@ def test_sample_rules(spark):
     assert sums["a"]["count"] == 100 and sums["f"]["count"] < 100
 
 
+def test_first_look_gives_the_same_sample(spark):
+    """A sparse raster, where the first look finds too few pixels, and a full one."""
+    for every in (1, 50):
+        pixels = spark.range(200 * 500).selectExpr(
+            "id % 200 AS px", "id div 200 AS py",
+            f"CAST(IF(id % {every} = 0, id % 99 + 1, 0) AS short) AS b",
+        )
+        r = raster(Band("b", nodata=0))
+        direct = stats.sample_pixels(pixels, r, seed=9).collect()
+        drawn = stats.drawn_sample(pixels, r.sized(200, 500), seed=9).collect()
+        assert drawn == direct and len(drawn) == 1000
+        if every == 1:  # the places are spread evenly
+            across, _ = np.histogram([x.px for x in drawn], 4, (0, 200))
+            down, _ = np.histogram([x.py for x in drawn], 5, (0, 500))
+            assert all(200 < n < 300 for n in across) and all(150 < n < 250 for n in down)
+
+
 def test_sums_cut_toward_zero(spark):
     pixels = table(spark, f=("double", [-0.75] * 5))
     r = raster(Band("f", "float64"))
