@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from gridmill import __version__
 from gridmill.operators.arrays import block_ids, blocks_of_tiles
 from gridmill.operators.metadata import document
 from gridmill.operators.overviews import overview_count
@@ -27,7 +28,7 @@ def load_raster(
     chunk_size: int | None = None,
     parallelism: int | None = None,
     seed: int = 0,
-    version: str = "0.1.0",
+    version: str = __version__,
 ) -> dict:
     """Load a pixel table into a block table and report expected, written and empty blocks.
 
@@ -58,7 +59,7 @@ def load_tiff(
     chunk_size: int | None = None,
     parallelism: int | None = None,
     seed: int = 0,
-    version: str = "0.1.0",
+    version: str = __version__,
 ) -> dict:
     """Load one tiled TIFF file. Base tiles are encoded as they are read, not shuffled as pixels."""
     spark = table.spark

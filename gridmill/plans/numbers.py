@@ -23,10 +23,11 @@ def _values(*names: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-# Sums of a float band differ in their last digits with the order of adding; show fewer.
+# Sums of a float band differ in their last digits with the order of adding; show fewer. Prices
+# end in whole cents, so divide by something that keeps sums off the rounding edges.
 _SHOWN = """name, round(min, 6) AS min, round(max, 6) AS max, round(mean, 6) AS mean,
-    round(stddev, 6) AS stddev, round(sum / 1000, 3) AS sum_thousands,
-    round(sum_squares / 1e9, 3) AS sum_squares_billions, count"""
+    round(stddev, 6) AS stddev, round(sum / 997, 3) AS scaled_sum,
+    round(sum_squares / 9.97e8, 3) AS scaled_squares, count"""
 _MOMENTS = """min(v) AS min, max(v) AS max, avg(v) AS mean, stddev_pop(v) AS stddev, sum(v) AS sum,
     sum(v * v) AS sum_squares, count(*) AS count"""
 

@@ -68,13 +68,10 @@ class BlockTable:
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         return target.getFileSystem(conf), target
 
-    def _has(self, part: str) -> bool:
-        fs, target = self._fs(f"{self.path}/{part}/_SUCCESS")
-        return fs.exists(target)
-
     def exists(self) -> bool:
-        fs, target = self._fs(self.path)
-        return fs.exists(target) and self._has("meta")
+        # New tables are moved into place whole, so any part of one will do.
+        fs, target = self._fs(f"{self.path}/docs")
+        return fs.exists(target)
 
     def drop(self) -> None:
         fs, target = self._fs(self.path)
@@ -181,7 +178,7 @@ class BlockTable:
         if filled and mode == "append":
             self._check(document, load)
             self._write_load(self.path, blocks, document, load, chunk_size)
-            self._merge_documents()
+            self.refresh_metadata()
             return load
         aside = f"{self.path}__new_{uuid.uuid4().hex}"
         try:
@@ -204,12 +201,14 @@ class BlockTable:
         if chunk_size:
             writer = writer.option("maxRecordsPerFile", chunk_size)
         writer.parquet(f"{root}/data/load={load}")
-        row = self.spark.createDataFrame([(0, document)], META_SCHEMA)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{root}/docs/load={load}")
+        self._row(document).write.mode("overwrite").parquet(f"{root}/docs/load={load}")
 
     def _write_meta(self, root, document):
-        row = self.spark.createDataFrame([(0, document)], META_SCHEMA)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{root}/meta")
+        self._row(document).write.mode("overwrite").parquet(f"{root}/meta")
+
+    def _row(self, document: str) -> DataFrame:
+        block, text = F.lit(0).cast("long").alias("block"), F.lit(document).alias("metadata")
+        return self.spark.range(0, 1, 1, 1).select(block, text)
 
     def _check(self, document, load):
         """Refuse a document that does not fit those of the other loads, before any write."""
@@ -225,7 +224,8 @@ class BlockTable:
         schema = T.StructType([*META_SCHEMA.fields, T.StructField("load", T.StringType())])
         return self._parquet("docs", schema)
 
-    def _merge_documents(self):
+    def refresh_metadata(self) -> None:
+        """Merge the documents of all loads into the metadata row; also mends a lost row."""
         docs = self._documents()
         # Loads have no order of their own; the time their document was written is one.
         ordered = docs.withColumn(

@@ -68,6 +68,16 @@ def test_append_to_nothing_is_a_new_table(pixels, table):
     assert table.data().count() == 17
 
 
+def test_a_lost_metadata_row_is_mended(pixels, table):
+    load_raster(pixels, RASTER, table, basic_stats=True)
+    doc = table.metadata()
+    fs, target = table._fs(f"{table.path}/meta")
+    fs.delete(target, True)
+    assert table.exists()
+    table.refresh_metadata()
+    assert table.metadata()["bounds"] == doc["bounds"]
+
+
 def test_a_load_written_again_counts_once(pixels, table):
     load_raster(pixels, RASTER, table, load="a", exact_stats=True)
     load_raster(pixels, RASTER, table, mode="append", load="b", exact_stats=True)
