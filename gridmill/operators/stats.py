@@ -516,11 +516,11 @@ def drawn_sample(
     If the size of the raster is known, only hashes so small that some ten times n pixels should
     have one are looked at first; if too few pixels turn out to, all are.
     """
-    bound = None
-    if raster.width and raster.height:
-        bound = HASH_RANGE * SAMPLE_MARGIN * n // (raster.width * raster.height)
+    area = (raster.width or 0) * (raster.height or 0)
+    few = area > SAMPLE_MARGIN * n
+    bound = HASH_RANGE * SAMPLE_MARGIN * n // area if few else None
     rows = sample_pixels(pixels, raster, n, seed, bound).collect()  # at most n rows
-    if len(rows) < n and bound is not None and bound < HASH_RANGE:
+    if len(rows) < n and bound is not None:
         rows = sample_pixels(pixels, raster, n, seed).collect()
     if not rows:
         raise ValueError("No valid pixel to sample: the data is too sparse; use exact statistics")

@@ -165,6 +165,8 @@ def test_first_look_gives_the_same_sample(spark):
         direct = stats.sample_pixels(pixels, r, seed=9).collect()
         drawn = stats.drawn_sample(pixels, r.sized(200, 500), seed=9).collect()
         assert drawn == direct and len(drawn) == 1000
+        small = stats.drawn_sample(pixels.where("py < 20"), r.sized(200, 20), seed=9, n=50)
+        assert small.count() == 50
         if every == 1:  # the places are spread evenly
             across, _ = np.histogram([x.px for x in drawn], 4, (0, 200))
             down, _ = np.histogram([x.py for x in drawn], 5, (0, 500))
