@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import exact, quality, shards
+from gridmill.llm import exact, language, quality, secrets, shards
 from gridmill.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,32 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def _kind(name: str) -> Column:
+    """How many spans are of that kind."""
+    return F.size(F.filter("spans", lambda s: s["kind"] == name)).cast("long")
+
+
+def _listed(spans: Column | str) -> Column:
+    """``kind:start:end`` of each span, comma-joined."""
+    text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return F.array_join(text, ",")
+
+
+def _base(names: list[str]) -> Column:
+    return F.sha2(_listed(F.filter("spans", lambda s: s["kind"].isin(names))), 256)
+
+
+@query("op2_secret_scan")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    base = [rule.name for rule in secrets.BASE]
+    return secrets.find_secrets(documents(spark, folder)).select(
+        "doc_id",
+        *[_kind(name).alias(f"n_{name}") for name in base],
+        _base(base).alias("base_sha256"),
+        _listed("spans").alias("spans"),
+    )
+
+
 @query(
     "op4_exact_dedup",
     """
@@ -99,3 +125,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    rows = language.identify(documents(spark, folder))
+    return rows.select("doc_id", "held_out", "lang_pred", "score")
