@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import exact, language, quality, secrets, shards
-from gridmill.llm.common import documents
+from gridmill.llm import exact, language, quality, secrets, shards, tokens
+from gridmill.llm.common import documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -24,6 +25,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_token_planes")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    out = scratch(spark, "op1")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    tokens.write_tokens(documents(spark, folder), out, tokenizer)
+    return tokens.read_tokens(spark, out)
+
+
 def _kind(name: str) -> Column:
     """How many spans are of that kind."""
     return F.size(F.filter("spans", lambda s: s["kind"] == name)).cast("long")
