@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import exact, language, quality, secrets, shards, tokens
+from gridmill.llm import exact, language, pieces, quality, secrets, shards, tokens
 from gridmill.llm.common import documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,6 +136,22 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = pieces.encode_pieces(documents(spark, folder), model)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.element_at("ends", -1).cast("long").alias("n_bytes"),
+        F.size(F.filter(F.arrays_zip("begins", "ends"), lambda s: s["begins"] == s["ends"]))
+        .cast("long")
+        .alias("n_empty_spans"),
+    )
+
+
 @query("op10_language_id")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     rows = language.identify(documents(spark, folder))
