@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import exact, language, pieces, quality, secrets, shards, tokens
+from gridmill.llm import exact, language, pieces, pii, quality, secrets, shards, tokens
 from gridmill.llm.common import documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,6 +122,63 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Places of matches are sums of the lengths of the gaps and matches before them.
+_OP7_SPANS = """
+    SELECT doc_id, '{kind}' AS kind, {rank} AS rank, found[i] AS f,
+        list_sum([length(x) FOR x IN gaps[1:i]])
+            + coalesce(list_sum([length(x) FOR x IN found[1:i - 1]]), 0) AS start
+    FROM (SELECT doc_id, found, gaps, unnest(range(1, len(found) + 1)) AS i FROM (
+        SELECT doc_id, regexp_extract_all(body, '{pattern}') AS found,
+            string_split_regex(body, '{pattern}') AS gaps FROM texts))"""
+_OP7_KINDS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?",
+}
+_OP7 = (
+    "WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents), spans AS ("
+    + " UNION ALL ".join(
+        _OP7_SPANS.format(kind=k, rank=i, pattern=p) for i, (k, p) in enumerate(_OP7_KINDS.items())
+    )
+    + r"""), digits AS (
+        SELECT *, regexp_replace(f, '[^0-9]', '', 'g') AS d, replace(f, ' ', '') AS s FROM spans),
+    checked AS (
+        SELECT doc_id, kind, rank, start,
+            kind || ':' || start || ':' || (start + length(f)) AS span FROM digits
+        WHERE CASE kind WHEN 'email' THEN true
+            WHEN 'ip' THEN list_max([x::HUGEINT FOR x IN string_split(f, '.')]) <= 255
+            WHEN 'phone' THEN length(d) BETWEEN 9 AND 15
+            WHEN 'card' THEN length(d) BETWEEN 13 AND 19 AND list_sum([
+                CASE WHEN i % 2 = 0 THEN d[length(d) - i]::INT
+                    WHEN d[length(d) - i]::INT > 4 THEN d[length(d) - i]::INT * 2 - 9
+                    ELSE d[length(d) - i]::INT * 2 END FOR i IN range(length(d))]) % 10 = 0
+            ELSE length(s) BETWEEN 15 AND 34 AND list_aggregate([
+                CASE WHEN ord(c) < 65 THEN c ELSE (ord(c) - 55)::VARCHAR END
+                FOR c IN string_split(s[5:] || s[:4], '')], 'string_agg', '')::HUGEINT % 97 = 1
+            END)
+    SELECT doc_id,
+        count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+        count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+        sha256(coalesce(string_agg(span, ',' ORDER BY rank, start) FILTER (rank < 4), ''))
+            AS base_sha256,
+        coalesce(string_agg(span, ',' ORDER BY rank, start) FILTER (kind IS NOT NULL), '') AS spans
+    FROM texts LEFT JOIN checked USING (doc_id) GROUP BY doc_id"""
+)
+
+
+@query("op7_personal_data", _OP7)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    base = [kind.name for kind in pii.BASE]
+    return pii.find_personal_data(documents(spark, folder)).select(
+        "doc_id",
+        *[_kind(name).alias(f"n_{name}") for name in base],
+        _base(base).alias("base_sha256"),
+        _listed("spans").alias("spans"),
+    )
+
+
 @query("op8_sharding")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     rows = shards.assign(documents(spark, folder))
