@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import exact, language, pieces, pii, quality, secrets, shards, tokens
-from gridmill.llm.common import documents, scratch
+from gridmill.llm import exact, language, mixing, pieces, pii, quality, secrets, shards, tokens
+from gridmill.llm.common import documents, scratch, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -59,6 +59,14 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_source_mix")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    rows = stage(mixing.measured(documents(spark, folder)), "op3-rows")
+    return mixing.draw(rows, mixing.make_plan(rows)).select(
+        "doc_id", "size", "source_size", "target", mixing.taken().alias("taken")
+    )
+
+
 @query(
     "op4_exact_dedup",
     """
