@@ -160,17 +160,17 @@ def unique_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id and text digest are in ``kept`` (kept_id, kept_sha), each once."""
-    names = docs.columns
+    """Rows of ``docs`` whose id (and text digest, where given) is in ``kept``, each once.
+
+    ``kept`` has ``kept_id`` and perhaps ``kept_sha``.
+    """
     packed = docs.select(
-        F.col("doc_id").alias("kept_id"),
-        F.sha2(whole("text"), 256).alias("kept_sha"),
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"),
-    )
-    kept = kept.distinct().withColumnsRenamed({"kept_id": "right_id", "kept_sha": "right_sha"})
-    joined = packed.join(
-        kept,
-        same(F.col("kept_id"), F.col("right_id")) & (F.col("kept_sha") == F.col("right_sha")),
-        "left_semi",
+        F.col("doc_id").alias("id"),
+        F.sha2(whole("text"), 256).alias("sha"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
     )
-    return joined.groupBy("kept_id", "kept_sha").agg(F.first("doc").alias("doc")).select("doc.*")
+    match = same(F.col("id"), F.col("kept_id"))
+    if "kept_sha" in kept.columns:
+        match &= F.col("sha") == F.col("kept_sha")
+    joined = packed.join(kept.distinct(), match, "left_semi")
+    return joined.groupBy("id", "sha").agg(F.first("doc").alias("doc")).select("doc.*")

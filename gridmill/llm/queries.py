@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import exact, language, mixing, pieces, pii, quality, secrets, shards, tokens
+from gridmill.llm import exact, language, mixing, near, pieces, pii, quality, secrets, shards, tokens
 from gridmill.llm.common import documents, scratch, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,6 +130,12 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_near_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    match = near.Match(words=3, percent=85)
+    return near.near_duplicates(documents(spark, folder), match).drop("set_id")
+
+
 # Places of matches are sums of the lengths of the gaps and matches before them.
 _OP7_SPANS = """
     SELECT doc_id, '{kind}' AS kind, {rank} AS rank, found[i] AS f,
