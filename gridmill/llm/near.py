@@ -42,7 +42,6 @@ DEEP = 2  # MinHash values in a short hash
 GROUP = 512
 BROADCAST_ROWS = 1_000_000
 SEED = 5
-MOST_WORDS = 500_000  # remembered hashes of words
 ROWS_AT_ONCE = 4096
 
 
@@ -84,14 +83,13 @@ class Shingler:
         self.words = words
         draw = np.random.default_rng(SEED)
         self.weights = draw.integers(1, 2**63, words + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.memory = Memory(lambda parts: [xxhash.xxh3_64_intdigest(p) for p in parts], MOST_WORDS)
+        self.memory = Memory(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words])
 
     def __call__(self, text: bytes) -> np.ndarray:
         words = text.lower().split()
         if not words:
             return np.zeros(0, np.uint64)
-        self.memory.prepare(set(words))
-        hashes = np.fromiter(map(self.memory.__getitem__, words), np.uint64, len(words))
+        hashes = np.fromiter(self.memory.values_of(words), np.uint64, len(words))
         size = min(self.words, len(words))
         count = len(words) - size + 1
         total = np.full(count, self.weights[-1] * np.uint64(size))

@@ -13,6 +13,7 @@ like any others; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +56,7 @@ class Encoder:
         self.memory = Memory(self.merge)
 
     def merge(self, parts: list[str]) -> list[bytes]:
-        return [np.array(x, "<i4").tobytes() for x in self.merger.encode(parts, num_threads=1)]
+        return [array("i", x).tobytes() for x in self.merger.encode(parts, num_threads=1)]
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids, without the end id, and the byte span of each in the original text."""
@@ -63,8 +64,7 @@ class Encoder:
         normal = aligned.text.decode()
         if self.parted:
             parts = _PARTS.findall(normal)
-            self.memory.prepare(set(parts))
-            ids = np.frombuffer(b"".join(map(self.memory.__getitem__, parts)), "<i4")
+            ids = np.frombuffer(b"".join(self.memory.values_of(parts)), "<i4")
         else:
             ids = np.frombuffer(self.merge([normal])[0], "<i4")
         cuts = np.cumsum(self.sizes[ids])

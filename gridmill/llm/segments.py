@@ -1,32 +1,38 @@
-"""Token ids of texts, piece by piece, with the pieces seen before remembered.
+"""What a tokenizer made of a piece of text, remembered while the piece keeps coming.
 
 Both tokenizers cut a text where no merge can cross, so a text's ids are the ids of its pieces one
-after the other, and a piece is given to the library once as long as it is remembered. What is
-remembered is bounded; when it is full, it is begun anew.
+after the other, and a piece is given to the library once as long as it is remembered.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-MOST_REMEMBERED = 400_000
+MOST_REMEMBERED = 300_000
 
 
 class Memory(dict):
-    """The value of each piece; missing ones are made together by ``prepare`` or one by one."""
+    """The value of each piece, made when it is first asked for.
 
-    def __init__(self, make: Callable[[list[str]], list], most: int = MOST_REMEMBERED) -> None:
+    Two generations of at most ``most`` pieces bound the memory: when the younger is full it becomes
+    the older, and what is asked for again moves back.
+    """
+
+    def __init__(self, make: Callable[[list], list], most: int = MOST_REMEMBERED) -> None:
         super().__init__()
         self.make, self.most = make, most
+        self.older: dict = {}
 
-    def __missing__(self, piece: str):
-        value = self[piece] = self.make([piece])[0]
-        return value
-
-    def prepare(self, pieces: set[str]) -> None:
-        """Make the missing ones among ``pieces``, all of which stay at hand afterwards."""
-        missing = [p for p in pieces if p not in self]
-        if len(self) + len(missing) > self.most:
+    def values_of(self, pieces: list) -> Iterator:
+        """The values of the pieces of one text; the missing ones are made together."""
+        if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-            missing = list(pieces)
-        self.update(zip(missing, self.make(missing), strict=True))
+        missing = {p for p in pieces if p not in self}
+        if missing:
+            back = [p for p in missing if p in self.older]
+            self.update(zip(back, map(self.older.__getitem__, back), strict=True))
+            missing.difference_update(back)
+            new = list(missing)
+            self.update(zip(new, self.make(new), strict=True))
+        return map(self.__getitem__, pieces)

@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +42,15 @@ BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 18
 LEVEL = 3
 
-# Where the byte-level splitting rule always cuts: before a single space and around other spaces.
-_PIECES = re.compile(r" ?[^ \t\n\r\v\f]+|[ \t\n\r\v\f]+(?![^ \t\n\r\v\f])|[ \t\n\r\v\f]+")
+# Places where the byte-level splitting rule always cuts: before a single space, around other
+# spaces, and between a word of Latin letters and punctuation, unless an apostrophe is near.
+_SPACES = r" \t\n\r\v\f"
+_LATIN = r"A-Za-zÀ-ÖØ-öø-ÿ"
+_SIGNS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"
+_PIECES = re.compile(
+    rf" ?[{_LATIN}]+(?=[{_SIGNS}{_SPACES}]|\Z)| ?[{_SIGNS}]+(?=[{_SPACES}]|\Z)"
+    rf"| ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
+)
 # Spaces beyond ASCII and added tokens are rare: such texts are encoded as they are.
 _UNUSUAL = re.compile(
     r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
@@ -60,22 +68,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.unusual = re.compile("|".join([_UNUSUAL.pattern, *added]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memory = Memory(self.encode)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            if self.unusual.search(text):
-                yield self.encode([text])[0]
-                continue
-            pieces = _PIECES.findall(text)
-            self.memory.prepare(set(pieces))
-            yield b"".join(map(self.memory.__getitem__, pieces))
+    def ids(self, text: str) -> bytes:
+        if _UNUSUAL.search(text) or any(token in text for token in self.added):
+            return self.encode([text])[0]
+        return b"".join(self.memory.values_of(_PIECES.findall(text)))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -157,7 +160,7 @@ def write_tokens(
             kind_ = batch.column(0).type
             keys = batch.column(0).to_pylist()
             for key_, value in zip(keys, batch.column(1), strict=True):
-                ids = next(encode.ids([value.as_py()])) + end
+                ids = encode.ids(value.as_py()) + end
                 doc_ids.append(key_)
                 parts.append(ids)
                 held += len(ids) // 4
