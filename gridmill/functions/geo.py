@@ -111,7 +111,14 @@ def clean_ring(ring: Column) -> Column:
     )
     first = F.slice(kept, 1, 1)
     body = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
-    return F.when(F.size(kept) > 1, F.concat(body, first)).otherwise(kept)
+    cleaned = F.when(F.size(kept) > 1, F.concat(body, first)).otherwise(kept)
+    # The fold copies its list point by point; it runs only if two neighbours are near at all.
+    crowded = F.exists(
+        F.sequence(F.lit(2), F.size(ring)),
+        lambda i: near(F.element_at(ring, i - 1), F.element_at(ring, i)),
+    )
+    closed = F.concat(F.slice(ring, F.lit(1), F.size(ring) - 1), F.slice(ring, 1, 1))
+    return F.when((F.size(ring) > 1) & ~crowded, closed).otherwise(cleaned)
 
 
 def whole_earth(nw: Column, ne: Column, sw: Column, se: Column) -> Column:
@@ -141,7 +148,7 @@ def polygon_text(ring: Column, format: str) -> Column:
         return polygon_wkt(ring)
     if format == "geojson":
         return polygon_geojson(ring)
-    raise ValueError(f"Invalid geography format {format}")
+    raise ValueError(f"No such text form of a polygon: {format}")
 
 
 # -- resolutions -----------------------------------------------------------

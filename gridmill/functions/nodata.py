@@ -21,7 +21,7 @@ def default_nodata(dtype: Column) -> Column:
     pairs = [F.lit(v) for k, n in DEFAULT_NODATA.items() for v in (k, float(n))]
     found = F.try_element_at(F.create_map(*pairs), dtype)
     known = dtype.isin(*DEFAULT_NODATA)
-    message = F.concat(F.lit("Unsupported data type: "), dtype)
+    message = F.concat(F.lit("No raster type is called "), dtype)
     return F.when(known, found).otherwise(F.raise_error(message))
 
 

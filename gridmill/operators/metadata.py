@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmill.functions.geo import tile_lat, tile_lon
-from gridmill.operators.stats import band_stats
+from gridmill.operators.stats import SAMPLE_SIZE, band_stats
 from gridmill.sources.pixels import measured
 from gridmill.spec import Band, Raster
 
-# JSON object keys are strings, so maps are read with string keys.
+# The names of a document's fields. JSON keys are strings, so maps have string keys.
 STATS_JSON = """struct<min double, max double, mean double, stddev double, sum double,
     sum_squares double, count bigint, quantiles map<string, array<double>>,
     top_values map<string, bigint>, version string, approximated_stats boolean>"""
@@ -66,6 +67,7 @@ def extent(tile_x0, tile_y0, z, width, height, block_width, block_height) -> dic
     return {"bounds": bounds, "center": center}
 
 
+# The fields of a statistics record, in their order.
 RECORD = (
     "min", "max", "mean", "stddev", "sum", "sum_squares", "count", "quantiles", "top_values",
     "version", "approximated_stats",
@@ -80,10 +82,11 @@ def document(
     compress: bool = False,
     seed: int = 0,
     version: str = "",
+    sample_size: int = SAMPLE_SIZE,
 ) -> DataFrame:
     """One row ``metadata``: the JSON document of a raster."""
     raster = measured(pixels, raster)
-    stats = band_stats(pixels, raster, exact, basic, seed, version)
+    stats = band_stats(pixels, raster, exact, basic, seed, version, sample_size)
     place = pixels.sparkSession.createDataFrame(
         [(raster.tile_x0, raster.tile_y0, raster.width, raster.height)],
         "tile_x0 long, tile_y0 long, width long, height long",
@@ -147,7 +150,33 @@ def documents(
         "pixel_resolution": F.lit(raster.pixel_resolution),
     }
     whole = F.struct(*[c.alias(k) for k, c in fields.items()])
-    return places.join(listed, by).select(*keys, to_document(whole).alias("metadata"))
+    both = _side_by_side(places, listed, by)
+    return both.select(*keys, to_document(whole).alias("metadata"))
+
+
+def identity(raster: Raster, compress: bool = False) -> str:
+    """The facts of a raster's document that loads of one table share, known before any pixel."""
+    nodata = float(raster.table_nodata)
+    bands = [
+        {"type": b.dtype, "name": b.name, "nodata": nodata_label(raster, b)} for b in raster.bands
+    ]
+    facts = {
+        "compression": "gzip" if compress else None,
+        "block_resolution": raster.zoom,
+        "nodata": None if math.isnan(nodata) else nodata,
+        "bands": bands,
+        "block_width": raster.block_width,
+        "block_height": raster.block_height,
+    }
+    return json.dumps(facts)
+
+
+def _side_by_side(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """The columns of two frames that have one row per key each, by one grouping instead of a
+    join, which without a real key would cross the frames."""
+    both = left.unionByName(right, allowMissingColumns=True)
+    held = [c for c in both.columns if c not in by]
+    return both.groupBy(*by).agg(*[F.first(c, ignorenulls=True).alias(c) for c in held])
 
 
 def _palette(band: Band):
@@ -178,7 +207,7 @@ def default_table_name(path: Column, band: Column, suffix: Column) -> Column:
 def differences(new: Column, old: Column) -> dict[str, Column]:
     """Per check, whether two parsed documents agree."""
 
-    def identity(doc):
+    def kinds(doc):
         return F.transform(doc.bands, lambda b: F.struct(*[b[f].alias(f) for f in BAND_IDENTITY]))
 
     def same(field):
@@ -188,17 +217,17 @@ def differences(new: Column, old: Column) -> dict[str, Column]:
         "same_resolution": same("block_resolution"),
         "same_nodata": same("nodata"),
         "same_block": same("block_width") & same("block_height"),
-        "same_bands": identity(new).eqNullSafe(identity(old)),
+        "same_bands": kinds(new).eqNullSafe(kinds(old)),
         "same_compression": same("compression"),
     }
 
 
 PROBLEMS = {
-    "same_resolution": "a different block resolution",
-    "same_nodata": "a different nodata value",
-    "same_block": "a different block width or height",
-    "same_bands": "different bands",
-    "same_compression": "a different compression",
+    "same_resolution": "another block resolution",
+    "same_nodata": "another nodata value",
+    "same_block": "another block width or height",
+    "same_bands": "other bands",
+    "same_compression": "another compression",
 }
 
 
@@ -208,7 +237,7 @@ def check(pairs: DataFrame, new: str = "new", old: str = "old") -> DataFrame:
     out = parsed.withColumns(differences(F.col("__n"), F.col("__o"))).drop("__n", "__o")
     problem = F.coalesce(
         *[
-            F.when(~F.col(c), F.lit(f"Cannot append to a table with {text}"))
+            F.when(~F.col(c), F.lit(f"The table does not fit: it has {text}"))
             for c, text in PROBLEMS.items()
         ]
     )
@@ -221,11 +250,12 @@ def check(pairs: DataFrame, new: str = "new", old: str = "old") -> DataFrame:
 def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> DataFrame:
     """Merge documents ``metadata`` (per key) into one, however many there are.
 
-    Extents grow, counts and sums add up, and moments follow from the sums. Facts that are equal
-    in all documents, and the descriptions of the bands, come from the last one by ``order``.
-    Where the sums do not serve - no pixel was counted, or not by one of two documents - the mean
-    is the mean of the means; then, and where the sums give no variance, the deviation is the root
-    of the summed squares. Quantiles and most common values cannot be merged and become null.
+    Extents grow, counts and sums add up, and moments follow from the sums of the documents that
+    counted pixels. Only if none did, the mean is the mean of the means; then, and where the sums
+    give no variance, the deviation is the root of the summed squares. So documents may be merged
+    in any grouping. Facts that are equal in all documents, and the descriptions of the bands, come
+    from the last one by ``order``. Quantiles and most common values cannot be merged and become
+    null.
     """
     keys = keys or []
     by = keys or ["__all"]
@@ -255,7 +285,9 @@ def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> Da
 
     band = docs.select(*by, "__order", F.posexplode("d.bands").alias("position", "b"))
     s = "b.stats."
-    total, squares, n = F.sum(s + "sum"), F.sum(s + "sum_squares"), F.sum(s + "count")
+    counted = F.col(s + "count") > 0
+    total, squares = (F.sum(F.when(counted, F.col(s + f))) for f in ("sum", "sum_squares"))
+    n = F.sum(s + "count")
     bands = band.groupBy(*by, F.col("b.name").alias("name")).agg(
         F.max_by("position", "__order").alias("position"),
         F.count("*").alias("__seen"),
@@ -265,16 +297,15 @@ def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> Da
         ],
         F.min(s + "min").alias("min"),
         F.max(s + "max").alias("max"),
-        total.alias("sum"),
-        squares.alias("sum_squares"),
+        F.coalesce(total, F.lit(0.0)).alias("sum"),
+        F.coalesce(squares, F.lit(0.0)).alias("sum_squares"),
         n.alias("count"),
-        F.min(s + "count").alias("__least"),
         F.avg(s + "mean").alias("__mean"),
         F.sqrt(F.sum(F.col(s + "stddev") * F.col(s + "stddev"))).alias("__deviation"),
         F.max(s + "version").alias("version"),
         F.max(s + "approximated_stats").alias("approximated_stats"),
     )
-    no_sums = (F.col("__least") == 0) & ((F.col("__seen") == 2) | (F.col("count") == 0))
+    no_sums = F.col("count") == 0
     mean = F.when(no_sums, F.col("__mean")).otherwise(F.col("sum") / F.col("count"))
     bands = bands.withColumn("mean", mean)
     variance = F.when(
@@ -296,7 +327,7 @@ def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> Da
         F.min("__seen").alias("__seen"),
         F.max("__seen").alias("__most"),
     )
-    joined = top.join(lists, by)
+    joined = _side_by_side(top, lists, by)
     ordered = F.transform(F.sort_array(F.map_keys("__bands")), lambda i: F.element_at("__bands", i))
     complete = (F.col("__seen") == F.col("__docs")) & (F.col("__most") == F.col("__docs"))
     ordered = F.when(complete, ordered).otherwise(
@@ -317,15 +348,15 @@ def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> Da
 
 
 def _tile_span(top: DataFrame) -> DataFrame:
-    """Width and height from the tiles that hold the corners of the bounds."""
+    """Width and height from the tiles that hold the corners of the bounds, whole tiles each."""
     z = "block_resolution"
     # Fractions of a tile, so that bounds on an edge up to rounding count as on it.
     top = top.withColumns(
         {
-            "__w": _column_of(F.col("west"), F.col(z)),
-            "__e": _column_of(F.col("east"), F.col(z)),
-            "__s": _row_of(F.col("south"), F.col(z)),
-            "__n": _row_of(F.col("north"), F.col(z)),
+            "__w": F.floor(_column_of(F.col("west"), F.col(z)) + EDGE_SLACK),
+            "__e": F.ceil(_column_of(F.col("east"), F.col(z)) - EDGE_SLACK),
+            "__s": F.ceil(_row_of(F.col("south"), F.col(z)) - EDGE_SLACK),
+            "__n": F.floor(_row_of(F.col("north"), F.col(z)) + EDGE_SLACK),
         }
     )
     return top.withColumns(
@@ -337,10 +368,10 @@ def _tile_span(top: DataFrame) -> DataFrame:
 
 
 def _column_of(lon: Column, z: Column) -> Column:
-    return F.floor(F.pow(F.lit(2.0), z) * (lon / 360 + 0.5) + EDGE_SLACK)
+    return F.pow(F.lit(2.0), z) * (lon / 360 + 0.5)
 
 
 def _row_of(lat: Column, z: Column) -> Column:
     sin = F.sin(F.radians(lat))
     fraction = 0.5 - 0.25 / math.pi * F.log((1 + sin) / (1 - sin))
-    return F.floor(F.pow(F.lit(2.0), z) * fraction + EDGE_SLACK)
+    return F.pow(F.lit(2.0), z) * fraction

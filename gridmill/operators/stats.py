@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmill.functions.nodata import finite, valid, valid_in_all
-from gridmill.operators.tiling import pixel_level
 from gridmill.spec import Band, Raster, item_size
 
 # Quantile groups, list lengths and sample size.
@@ -25,16 +24,12 @@ TOP_VALUES_EXACT = 100
 TOP_VALUES_SAMPLED = 10
 SAMPLE_SIZE = 1000
 
-# Rows that one windowed histogram may hold; beyond it, ranges are narrowed first.
-HISTOGRAM_ROWS = 2_000_000
 # Slices a value range is cut into per pass.
-RANGE_SLICES = 2048
+RANGE_SLICES = 8192
 # A sampled pixel's hash is two numbers below a prime; how many times n to look for at first.
 HASH_PRIME = 2147483647
 HASH_RANGE = HASH_PRIME * HASH_PRIME
 SAMPLE_MARGIN = 10
-# Pixels an approximate pass should look at, at least.
-APPROXIMATE_PIXELS = 2500
 
 
 # -- moments -------------------------------------------------------------------
@@ -175,12 +170,11 @@ def quantiles(
     pixels: DataFrame,
     raster: Raster,
     ranges: dict[str, tuple] | None = None,
-    histogram_rows: int = HISTOGRAM_ROWS,
 ) -> DataFrame:
     """Rows ``name, parts, part, value``: the value at rank floor((n-1)*part/parts).
 
-    ``ranges`` are those of :func:`band_ranges`, if the caller has them. ``histogram_rows`` bounds
-    the histogram that one task may order.
+    ``ranges`` are those of :func:`band_ranges`, if the caller has them. Bands of 8 and 16 bits go
+    by their value histogram, which has at most 65,536 rows; wider ones by narrowing ranges.
     """
     ranges = ranges or band_ranges(pixels, raster)
     whole = [b for b in raster.bands if not b.is_float]
@@ -191,8 +185,8 @@ def quantiles(
         for band in bands:
             count = ranges[band.name][0]
             if count:
-                small = _histogram_is_small(band, count, histogram_rows)
-                (few if small else many).append(band)
+                bounded = not band.is_float and item_size(band.dtype) <= 2
+                (few if bounded else many).append(band)
         targets = {
             b.name: [(b.name, *t) for t in quantile_ranks(ranges[b.name][0])] for b in few + many
         }
@@ -204,7 +198,7 @@ def quantiles(
             values = band_values(pixels, raster, [b.name for b in many], kind)
             edges = [(b.name, *ranges[b.name][1:]) for b in many]
             wanted = sum((targets[b.name] for b in many), [])
-            parts.append(_ranks_by_narrowing(values, edges, wanted, kind, histogram_rows))
+            parts.append(_ranks_by_narrowing(values, edges, wanted, kind))
     parts = [p.withColumn("value", F.col("value").cast("double")) for p in parts]
     if not parts:
         schema = "name string, parts int, part int, value double"
@@ -212,12 +206,6 @@ def quantiles(
     return reduce(DataFrame.unionByName, parts)
 
 
-def _histogram_is_small(band: Band, count: int, histogram_rows: int) -> bool:
-    """A histogram of an 8 or 16 bit band is bounded; others are if there are few pixels."""
-    bounded = not band.is_float and item_size(band.dtype) <= 2
-    return bounded or count <= histogram_rows
-
-
 def _target_frame(spark, targets, extra=""):
     """At most 170 targets per band: a bounded frame to broadcast."""
     schema = f"name string, {extra}parts int, part int, rank long"
@@ -258,14 +246,13 @@ def _slice(v: Column, lo: Column, hi: Column, kind: str) -> Column:
     return F.when(v <= lo, F.lit(0)).when(v >= hi, last).otherwise(F.coalesce(at, last))
 
 
-def _ranks_by_narrowing(
-    values: DataFrame, edges, targets, kind: str, histogram_rows: int
-) -> DataFrame:
+def _ranks_by_narrowing(values: DataFrame, edges, targets, kind: str) -> DataFrame:
     """Values at the target ranks, by counting ever narrower slices of the value range.
 
     Each pass is a scan with map-side counts; what comes back to the driver and is broadcast for
-    the next pass is at most one row per target. When few enough pixels are left in the slices
-    that hold a target, their histogram settles the rest.
+    the next pass is at most one row per target. A slice whose values are all equal settles its
+    targets. Every pass makes the slices some thousand times narrower, so values of one magnitude
+    take two or three; values spread over very many magnitudes take more.
     """
     spark = values.sparkSession
     at = values.join(F.broadcast(_edge_frame(spark, edges, kind)), "name")
@@ -295,12 +282,6 @@ def _ranks_by_narrowing(
         chosen = F.broadcast(spark.createDataFrame(rows, schema))
         at = sliced.drop("lo", "hi").join(chosen, ["name", "node", "slice"])
         at = at.select("name", "v", F.col("next").alias("node"), "lo", "hi")
-        if sum(h.n for h in left.values()) <= histogram_rows:
-            hist = at.groupBy("name", "node", "v").agg(F.count("*").alias("n"))
-            wanted = _target_frame(spark, open_targets, "node int, ")
-            settled = _running(hist, ["name", "node"], "v").join(wanted, ["name", "node"])
-            settled = settled.where(HIT).select("name", "parts", "part", F.col("v").alias("value"))
-            return settled.unionByName(_found_frame(spark, done, kind))
     return _found_frame(spark, done, kind)
 
 
@@ -418,26 +399,6 @@ def sample_top_values(
     return ranked.select("name", "rank", F.col("v").alias("value"), "count")
 
 
-def approximate_level(raster: Raster) -> int:
-    """The coarsest pyramid level that still has enough pixels; 0 is the base."""
-    level = 0
-    if raster.width and raster.height:
-        while (
-            level < raster.levels
-            and raster.width * raster.height >> 2 * (level + 1) >= APPROXIMATE_PIXELS
-        ):
-            level += 1
-    return level
-
-
-def approximate_moments(pixels: DataFrame, raster: Raster) -> DataFrame:
-    """Moments over the pixels of one pyramid level."""
-    level = approximate_level(raster)
-    if level:
-        pixels = pixels.where(pixel_level(raster) == level)
-    return moments(pixels, raster)
-
-
 # -- whole records -----------------------------------------------------------------
 
 def top_lists(ranked: DataFrame) -> DataFrame:
@@ -454,10 +415,13 @@ def band_stats(
     basic: bool = False,
     seed: int = 0,
     version: str = "",
+    sample_size: int = SAMPLE_SIZE,
 ) -> DataFrame:
     """One stats record per band: rows ``position, name, <fields of the record>``.
 
-    The sample of the approximate mode is drawn once for all bands.
+    Smallest and largest value, mean and deviation are those of all counted pixels in both modes:
+    they are one partial aggregate. The approximate mode takes the other fields from a sample,
+    drawn once for all bands.
     """
     whole = [b.name for b in raster.bands if not b.is_float]
     sample = None
@@ -467,9 +431,9 @@ def band_stats(
         rows = record.collect()
         record = pixels.sparkSession.createDataFrame(rows, record.schema)
     else:
-        sample = drawn_sample(pixels, raster, seed)
+        sample = drawn_sample(pixels, raster, seed, sample_size)
         totals = sample_sums(sample, raster)
-        record = approximate_moments(pixels, raster).drop("sum", "sum_squares", "count")
+        record = moments(pixels, raster).drop("sum", "sum_squares", "count")
         record = record.join(totals, "name", "left").withColumns(
             {c: F.coalesce(c, F.lit(0.0)) for c in ("sum", "sum_squares")}
             | {"count": F.coalesce("count", F.lit(0).cast("long"))}

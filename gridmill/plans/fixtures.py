@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmill.scratch import scratch
 from gridmill.spec import Band, Raster
 
 DTYPES = (
@@ -156,16 +155,6 @@ def renamed(raster: Raster, **names: str) -> Raster:
     )
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder where all executors can write: under the session's checkpoint folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="gridmill-")
-    return f"{root.rstrip('/')}/gridmill-{uuid.uuid4().hex}"
-
-
 # -- the same views in SQL ---------------------------------------------------------
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 
 from gridmill import __version__
 from gridmill.operators.arrays import block_ids, blocks_of_tiles
-from gridmill.operators.metadata import document
+from gridmill.operators.metadata import document, identity
 from gridmill.operators.overviews import overview_count
+from gridmill.operators.stats import SAMPLE_SIZE
 from gridmill.operators.tiling import blocks, output_partitions, split_points
 from gridmill.sources import tiff
 from gridmill.sources.pixels import measured, pixels_of_tiles
@@ -21,7 +22,7 @@ def load_raster(
     table: BlockTable,
     mode: str = "error",
     load: str | None = None,
-    exact_stats: bool = False,
+    exact_stats: bool = True,
     basic_stats: bool = False,
     compress: bool = False,
     compression_level: int = 6,
@@ -29,12 +30,13 @@ def load_raster(
     parallelism: int | None = None,
     seed: int = 0,
     version: str = __version__,
+    sample_size: int = SAMPLE_SIZE,
 ) -> dict:
     """Load a pixel table into a block table and report expected, written and empty blocks.
 
     The refusal of an existing table and the compatibility check come before any row is written.
     """
-    _admit(table, mode, raster)
+    _admit(table, mode, raster, load, compress)
     raster = measured(pixels, raster)
     rows = blocks(
         pixels, raster, compress=compress, compression_level=compression_level, in_order=True,
@@ -42,7 +44,7 @@ def load_raster(
     )
     return _load(
         pixels, rows, raster, table, mode, load, exact_stats, basic_stats, compress, chunk_size,
-        seed, version,
+        seed, version, sample_size,
     )
 
 
@@ -52,7 +54,7 @@ def load_tiff(
     names: list[str] | None = None,
     mode: str = "error",
     load: str | None = None,
-    exact_stats: bool = False,
+    exact_stats: bool = True,
     basic_stats: bool = False,
     compress: bool = False,
     compression_level: int = 6,
@@ -60,13 +62,22 @@ def load_tiff(
     parallelism: int | None = None,
     seed: int = 0,
     version: str = __version__,
+    sample_size: int = SAMPLE_SIZE,
+    band_numbers: list[int] | None = None,
+    style=None,
+    value_labels: dict[int, dict] | None = None,
 ) -> dict:
-    """Load one tiled TIFF file. Base tiles are encoded as they are read, not shuffled as pixels."""
+    """Load the tiled TIFF files of a path as one raster. Base tiles are encoded as they are read.
+
+    The files of a folder must agree in all but their extent; the raster spans them all.
+    ``band_numbers`` (from 1) chooses bands, ``names`` names them, ``style`` renames the unnamed
+    ones too, and ``value_labels`` gives labels by band number.
+    """
     spark = table.spark
-    profile = tiff.profiles(spark, path).first()
-    raster = tiff.raster_of(profile, names)
-    _admit(table, mode, raster)
-    tiles = tiff.tiles(spark, path, raster)
+    profile = tiff.common_profile(spark, path)
+    raster = tiff.raster_of(profile, names, band_numbers, style, value_labels)
+    _admit(table, mode, raster, load, compress)
+    tiles = tiff.tiles(spark, path, raster, band_numbers)
     # The ranges of the output come from the list of tiles, so that no tile is read for them.
     parts = parallelism or output_partitions(spark, raster)
     listed = block_ids(tiff.tile_list(tiff.profiles(spark, path)), raster)
@@ -77,24 +88,30 @@ def load_tiff(
     rows = rows.repartitionById(parts, "part").drop("part").sortWithinPartitions("block")
     return _load(
         pixels_of_tiles(tiles, raster), rows, raster, table, mode, load, exact_stats, basic_stats,
-        compress, chunk_size, seed, version,
+        compress, chunk_size, seed, version, sample_size,
     )
 
 
-def _admit(table: BlockTable, mode: str, raster: Raster) -> None:
+def _admit(
+    table: BlockTable, mode: str, raster: Raster, load: str | None, compress: bool
+) -> None:
     """Refuse what can be refused before any pixel is read."""
     check_names(raster.names)
     if mode not in MODES:
         raise ValueError(f"Invalid write mode {mode}")
-    if mode == "error" and not table.is_empty():
+    filled = not table.is_empty()
+    if filled and mode == "error":
         raise FileExistsError(f"Table {table.path} already exists and is not empty")
+    if filled and mode == "append":
+        table.check_fit(identity(raster, compress), load)
 
 
 def _load(
     pixels, rows, raster, table, mode, load, exact, basic, compress, chunk_size, seed, version,
+    sample_size,
 ):
-    text = document(pixels, raster, exact, basic, compress, seed, version).first().metadata
-    load = table.write(rows, text, mode, load, chunk_size, is_clustered=True)
+    row = document(pixels, raster, exact, basic, compress, seed, version, sample_size).first()
+    load = table.write(rows, row.metadata, mode, load, chunk_size, is_clustered=True)
     expected = raster.tiles_wide * raster.tiles_high + overview_count(raster)
     written = table.load_rows(load)
     return {"expected": expected, "written": written, "empty": expected - written}

@@ -129,8 +129,25 @@ def band_quantiles(spark, sf):
 
 @query("band_quantiles_narrowing", sql=_QUANTILES_SQL.format(values=_values("g1")))
 def band_quantiles_narrowing(spark, sf):
-    """Quantiles of the float band with a small histogram bound, as for a very large band."""
-    return stats.quantiles(fx.gappy(spark, sf), BANDS.select("g1"), histogram_rows=1000)
+    """Quantiles of the float band alone, by narrowing ranges."""
+    return stats.quantiles(fx.gappy(spark, sf), BANDS.select("g1"))
+
+
+@query(
+    "sparse_stats",
+    sql=f"""
+    SELECT name, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean,
+        round(stddev_pop(v), 6) AS stddev
+    FROM ({_values("b1", "b2")}) WHERE px % 2 = 1 AND py % 2 = 0 GROUP BY name""",
+)
+def sparse_stats(spark, sf):
+    """The approximate record of pixels that lie on no level of the pyramid."""
+    pixels = fx.grid(spark, sf).where("px % 2 = 1 AND py % 2 = 0")
+    raster = px.measured(pixels, fx.plane(fx.B1, Band("b2", nodata=0), levels=3))
+    record = stats.band_stats(pixels, raster, basic=True, seed=fx.SEED)
+    return record.select(
+        "name", "min", "max", *[F.round(c, 6).alias(c) for c in ("mean", "stddev")]
+    )
 
 
 @query(
@@ -179,18 +196,12 @@ _SAMPLED = " UNION ALL ".join(
 @query(
     "sample_stats",
     sql=f"""
-    WITH s AS ({_SAMPLE}), size AS (SELECT width, height FROM v_size),
-    lvl AS (SELECT CASE WHEN width * height // 64 >= 2500 THEN 3
-        WHEN width * height // 16 >= 2500 THEN 2 WHEN width * height // 4 >= 2500 THEN 1
-        ELSE 0 END AS k FROM size),
-    coarse AS (SELECT g.* FROM v_gappy g, lvl WHERE k = 0
-        OR ((px + {fx.TILE_X0 * 64}) % (1 << k) = (1 << (k - 1))
-        AND (py + {fx.TILE_Y0 * 64}) % (1 << k) = (1 << (k - 1))))
+    WITH s AS ({_SAMPLE})
     SELECT name, round(min, 6) AS min, round(max, 6) AS max, round(mean, 6) AS mean,
         round(stddev, 6) AS stddev, sum, sum_squares, count
     FROM (SELECT name, min(v) AS min, max(v) AS max, avg(v) AS mean, stddev_pop(v) AS stddev FROM
             ({" UNION ALL ".join(
-                f"SELECT '{n}' AS name, CAST({n} AS DOUBLE) AS v FROM coarse WHERE {m}"
+                f"SELECT '{n}' AS name, CAST({n} AS DOUBLE) AS v FROM v_gappy WHERE {m}"
                 for n, m in MASKS.items())})
         GROUP BY name)
     JOIN (SELECT name, floor(round(sum(v), 4)) AS sum, floor(round(sum(v * v), 4)) AS sum_squares,
@@ -198,7 +209,7 @@ _SAMPLED = " UNION ALL ".join(
         FROM ({_SAMPLED}) GROUP BY name) USING (name)""",
 )
 def sample_stats(spark, sf):
-    """The approximate record: moments from a pyramid level, sums from the sample."""
+    """The approximate record: moments of all pixels, sums from the sample."""
     pixels = fx.gappy(spark, sf)
     raster = px.measured(pixels, fx.plane(*BANDS.bands, levels=3))
     record = stats.band_stats(pixels, raster, basic=True, seed=fx.SEED)

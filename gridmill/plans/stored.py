@@ -114,7 +114,7 @@ def sql_surface(spark, sf):
     SELECT (SELECT count(*) FROM ({_STORED} WHERE level = 0)) AS blocks, 2 AS loads,
         {bounds_sql(str(fx.TILE_X0), str(fx.TILE_Y0), f"{fx.TILE_X0} + 8",
                     f"{fx.TILE_Y0} + height / 64")},
-        width, height // 64 * 64 AS height, width * height AS num_pixels, min(v) AS min,
+        width, (height + 63) // 64 * 64 AS height, width * height AS num_pixels, min(v) AS min,
         max(v) AS max, round(avg(v), 6) AS mean, round(stddev_pop(v), 4) AS stddev, sum(v) AS sum,
         count(*) AS count, true AS no_quantiles
     FROM v_size, ({_B1}) GROUP BY ALL""",

@@ -1,8 +1,10 @@
 """Block tables in Parquet: rows ``block, metadata, <band bytes>``, clustered by block.
 
-A table is a folder. Data lies in ``data/load=<id>``, the document of each load in
-``docs/load=<id>`` and the merged document of the table in ``meta``. Writing a load again replaces
-it, so a load that was cut off or retried leaves no copies and counts once.
+A table is a folder. Every load writes its rows to a new folder ``data/load=...`` and its document
+beside it in ``docs/load=...``. What counts is the list of live loads in ``_live``: a small file per
+commit, written last, with the folders of the live loads and the table's merged document. Readers
+take the newest. So no data is ever moved or overwritten, a load that fails leaves the table as it
+was, and a load written again replaces itself. ``vacuum`` removes folders that no list names.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +22,7 @@ from gridmill.operators import metadata as meta
 from gridmill.spec import check_names
 
 MODES = ("error", "overwrite", "append")
+MOST_TRIES = 20  # to commit while others do
 
 META_SCHEMA = T.StructType(
     [
@@ -68,35 +72,95 @@ class BlockTable:
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         return target.getFileSystem(conf), target
 
+    def _commits(self) -> list[str]:
+        """The names of the commits, oldest first."""
+        fs, target = self._fs(f"{self.path}/_live")
+        if not fs.exists(target):
+            return []
+        return sorted(f.getPath().getName() for f in fs.listStatus(target))
+
+    def _live(self) -> dict | None:
+        """The newest whole commit: ``number, loads`` (folder by load id) and ``metadata``."""
+        tools = self.spark._jvm.org.apache.commons.io.IOUtils
+        for name in reversed(self._commits()):
+            fs, target = self._fs(f"{self.path}/_live/{name}")
+            stream = fs.open(target)
+            try:
+                return json.loads(tools.toString(stream, "UTF-8"))
+            except json.JSONDecodeError:  # the writer has not finished it
+                continue
+            finally:
+                stream.close()
+        return None
+
+    def _commit(self, number: int, loads: dict[str, str], metadata: str) -> bool:
+        """Write a commit unless another writer took its number."""
+        fs, target = self._fs(f"{self.path}/_live/{number:012d}.json")
+        try:
+            stream = fs.create(target, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in str(error.java_exception) or fs.exists(target):
+                return False
+            raise
+        body = {"number": number, "loads": loads, "metadata": metadata}
+        stream.write(bytearray(json.dumps(body).encode()))
+        stream.close()
+        return True
+
     def exists(self) -> bool:
-        # New tables are moved into place whole, so any part of one will do.
-        fs, target = self._fs(f"{self.path}/docs")
-        return fs.exists(target)
+        return self._live() is not None
 
     def drop(self) -> None:
         fs, target = self._fs(self.path)
-        fs.delete(target, True)
+        if fs.exists(target) and not fs.delete(target, True):
+            raise OSError(f"Table {self.path} could not be removed")
+
+    def vacuum(self) -> None:
+        """Remove the folders that the newest commit does not name, and older commits.
+
+        Not while others write, or read an older state.
+        """
+        live = self._live()
+        if live is None:
+            return
+        keep = set(live["loads"].values())
+        for part in ("data", "docs"):
+            fs, root = self._fs(f"{self.path}/{part}")
+            for status in fs.listStatus(root) if fs.exists(root) else []:
+                if status.getPath().getName() not in keep:
+                    fs.delete(status.getPath(), True)
+        for name in self._commits():
+            if name < f"{live['number']:012d}.json":
+                fs, target = self._fs(f"{self.path}/_live/{name}")
+                fs.delete(target, False)
 
     # -- reading -------------------------------------------------------------
 
-    def _parquet(self, part: str, schema=None) -> DataFrame:
-        reader = self.spark.read.option("basePath", f"{self.path}/{part}")
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(f"{self.path}/{part}")
+    def _folders(self, part: str, loads: dict[str, str]) -> list[str]:
+        return [f"{self.path}/{part}/{folder}" for folder in loads.values()]
 
     def data(self) -> DataFrame:
         """The data rows ``block, <bands>``, without the metadata row."""
-        return self._parquet("data").drop("load")
+        return self._data(self._known())
+
+    def _known(self) -> dict:
+        live = self._live()
+        if live is None:
+            raise FileNotFoundError(f"There is no table at {self.path}")
+        return live
+
+    def _data(self, live: dict) -> DataFrame:
+        return self.spark.read.parquet(*self._folders("data", live["loads"]))
 
     def read(self) -> DataFrame:
         """The whole table: data rows with null metadata, and the metadata row with block 0."""
-        data = self.data()
+        live = self._known()
+        data = self._data(live)
         bands = [f for f in data.schema.fields if f.name != "block"]
         names = [F.col(f.name) for f in bands]
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in bands]
         rows = data.select("block", F.lit(None).cast("string").alias("metadata"), *names)
-        return rows.union(self._parquet("meta", META_SCHEMA).select("block", "metadata", *empty))
+        return rows.union(self._row(live["metadata"]).select("block", "metadata", *empty))
 
     def metadata_rows(self) -> DataFrame:
         """The parsed document as one row; no row if the table has none."""
@@ -104,10 +168,8 @@ class BlockTable:
         return row.select("d.*")
 
     def metadata(self) -> dict | None:
-        if not self.exists():
-            return None
-        row = self.read().where("block = 0").select("metadata").first()
-        return None if row is None else json.loads(row.metadata)
+        live = self._live()
+        return None if live is None else json.loads(live["metadata"])
 
     def is_empty(self) -> bool:
         return not self.exists() or self.data().isEmpty()
@@ -163,8 +225,8 @@ class BlockTable:
     ) -> str:
         """Write a load and return its id.
 
-        ``mode`` says what to do if rows exist: ``error``, ``overwrite`` or ``append``. A new or overwritten table is built aside and moved into place, so a failure leaves the
-        old one as it was.
+        ``mode`` says what to do if rows exist: ``error``, ``overwrite`` or ``append``. Readers see
+        the new rows and the new document together, once both are written.
         """
         if mode not in MODES:
             raise ValueError(f"Invalid write mode {mode}")
@@ -176,70 +238,97 @@ class BlockTable:
         if filled and mode == "error":
             raise FileExistsError(f"Table {self.path} already exists and is not empty")
         if filled and mode == "append":
-            self._check(document, load)
-            self._write_load(self.path, blocks, document, load, chunk_size)
-            self.refresh_metadata()
-            return load
-        aside = f"{self.path}__new_{uuid.uuid4().hex}"
+            self.check_fit(document, load)
+        folder = f"load={load}-{uuid.uuid4().hex}"
         try:
-            self._write_load(aside, blocks, document, load, chunk_size)
-            self._write_meta(aside, document)
-            self.drop()
-            fs, target = self._fs(self.path)
-            fs.rename(self._fs(aside)[1], target)
+            self._write_load(folder, blocks, document, chunk_size)
+            self._add(load, folder, document, append=mode == "append")
         except BaseException:
-            fs, left = self._fs(aside)
-            fs.delete(left, True)
+            for part in ("data", "docs"):
+                fs, left = self._fs(f"{self.path}/{part}/{folder}")
+                fs.delete(left, True)
             raise
         return load
 
     def load_rows(self, load: str) -> int:
-        return self.spark.read.parquet(f"{self.path}/data/load={load}").count()
+        folder = self._known()["loads"][load]
+        return self.spark.read.parquet(f"{self.path}/data/{folder}").count()
 
-    def _write_load(self, root, blocks, document, load, chunk_size):
-        writer = blocks.write.mode("overwrite")
+    def _write_load(self, folder, blocks, document, chunk_size):
+        writer = blocks.write
         if chunk_size:
             writer = writer.option("maxRecordsPerFile", chunk_size)
-        writer.parquet(f"{root}/data/load={load}")
-        self._row(document).write.mode("overwrite").parquet(f"{root}/docs/load={load}")
-
-    def _write_meta(self, root, document):
-        self._row(document).write.mode("overwrite").parquet(f"{root}/meta")
+        writer.parquet(f"{self.path}/data/{folder}")
+        self._row(document).write.parquet(f"{self.path}/docs/{folder}")
+
+    def _add(self, load: str, folder: str, document: str | None, append: bool) -> None:
+        """Commit a load whose files are written. An append merges its document with the table's;
+        only a load that replaces itself has the documents of all loads merged anew."""
+        for _ in range(MOST_TRIES):
+            live = self._live() or {"number": 0, "loads": {}, "metadata": None}
+            loads = dict(live["loads"]) if append else {}
+            again = load in loads
+            loads[load] = folder
+            if document is None:
+                merged = live["metadata"]
+            elif len(loads) == 1:
+                merged = document
+            elif again:
+                merged = self._merged(loads)
+            else:
+                merged = self._merge_two(live["metadata"], document)
+            if self._commit(live["number"] + 1, loads, merged):
+                return
+        raise OSError(f"Other writers kept changing {self.path}")
 
     def _row(self, document: str) -> DataFrame:
         block, text = F.lit(0).cast("long").alias("block"), F.lit(document).alias("metadata")
         return self.spark.range(0, 1, 1, 1).select(block, text)
 
-    def _check(self, document, load):
-        """Refuse a document that does not fit those of the other loads, before any write."""
-        other = self._documents().where(F.col("load") != load).select("metadata").first()
-        if other is None:
+    def check_fit(self, document: str, load: str | None = None) -> None:
+        """Refuse a document whose facts do not fit those of the table's other loads."""
+        live = self._live()
+        if live is None or not set(live["loads"]) - {load}:
             return
-        pair = self.spark.createDataFrame([(document, other.metadata)], "new string, old string")
+        pair = self.spark.createDataFrame(
+            [(document, live["metadata"])], "new string, old string"
+        )
         problem = meta.check(pair).first().problem
         if problem is not None:
             raise IncompatibleTable(problem)
 
-    def _documents(self) -> DataFrame:
-        schema = T.StructType([*META_SCHEMA.fields, T.StructField("load", T.StringType())])
-        return self._parquet("docs", schema)
+    def _merge_two(self, old: str, new: str) -> str:
+        pair = self.spark.createDataFrame([(0, old), (1, new)], "place int, metadata string")
+        return meta.merge(pair, "place").first().metadata
 
-    def refresh_metadata(self) -> None:
-        """Merge the documents of all loads into the metadata row; also mends a lost row."""
-        docs = self._documents()
-        # Loads have no order of their own; the time their document was written is one.
-        ordered = docs.withColumn(
-            "written", F.struct("_metadata.file_modification_time", "load")
+    def _merged(self, loads: dict[str, str]) -> str:
+        """The merged documents of all loads, in the order in which they were first committed."""
+        places = {folder: i for i, folder in enumerate(loads.values())}
+        docs = self.spark.read.schema(META_SCHEMA).parquet(
+            *[f for f in self._folders("docs", loads) if self._fs(f)[0].exists(self._fs(f)[1])]
         )
-        merged = meta.merge(ordered, "written").first().metadata
-        self._write_meta(self.path, merged)
+        name = F.regexp_extract("_metadata.file_path", r"/docs/([^/]+)/", 1)
+        order = self.spark.createDataFrame(list(places.items()), "folder string, place int")
+        placed = docs.withColumn("folder", name).join(F.broadcast(order), "folder")
+        return meta.merge(placed, "place").first().metadata
+
+    def refresh_metadata(self) -> None:
+        """Merge the documents of all loads anew."""
+        live = self._known()
+        self._commit(live["number"] + 1, live["loads"], self._merged(live["loads"]))
 
     def insert(self, rows: list[dict], load: str | None = None) -> None:
-        """Append a few rows given as dicts with the table's columns."""
-        schema = self.data().schema
-        unknown = {k for r in rows for k in r} - set(schema.names) - {"metadata"}
+        """Append a few rows given as dicts with the table's columns.
+
+        The metadata row is not one of them: it follows from the loads, so a value for it is refused.
+        """
+        live = self._known()
+        schema = self._data(live).schema
+        unknown = {k for r in rows for k in r} - set(schema.names)
         if unknown:
             raise ValueError(f"Columns {sorted(unknown)} are not in the table")
         tuples = [tuple(r.get(c) for c in schema.names) for r in rows]
-        new = self.spark.createDataFrame(tuples, schema)
-        new.write.mode("overwrite").parquet(f"{self.path}/data/load={load or uuid.uuid4().hex}")
+        load = load or uuid.uuid4().hex
+        folder = f"load={load}-{uuid.uuid4().hex}"
+        self.spark.createDataFrame(tuples, schema).write.parquet(f"{self.path}/data/{folder}")
+        self._add(load, folder, None, append=True)

@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from gridmill.errors import IncompatibleRaster
 from gridmill.functions import codec
 from gridmill.functions.geo import EARTH_RADIUS
-from gridmill.spec import RGB, Band, Raster
+from gridmill.spec import RGB, Band, Raster, pair_bands
 
 # Fixed values of the file format: tag numbers, and struct codes by field type.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC = 256, 257, 258, 259, 262
@@ -35,6 +35,7 @@ FIELD_CODES = {
     12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q",
 }
 PLAIN, DEFLATE = (1,), (8, 32946)
+MASK = 4  # bit of a directory's kind
 KINDS = {1: "uint", 2: "int", 3: "float"}
 SCHEME = "GoogleMapsCompatible"
 
@@ -53,12 +54,25 @@ TILE_LIST = """path string, position long, samples array<struct<start: long, siz
 # -- reading headers, in tasks ---------------------------------------------------
 
 
+# Names that Spark's file systems have for stores that Arrow opens under another.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss", "gcs": "gs"}
+
+
 class RangeReader:
-    """Byte ranges of a file on any file system Arrow knows."""
+    """Byte ranges of a file on any file system Arrow knows, under Spark's names or its own.
+
+    Credentials are those that Arrow finds on the executors.
+    """
 
     def __init__(self, path: str):
         from pyarrow import fs
 
+        scheme, mark, rest = path.partition("://")
+        if mark and scheme in SCHEMES:
+            path = f"{SCHEMES[scheme]}://{rest}"
+        elif path.startswith("dbfs:/"):
+            path = "/dbfs/" + path[6:].lstrip("/")
+
         local = re.match(r"^(file:/*)?(/[^:]*)$", path)
         if path.startswith("file:"):
             filesystem, name = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
@@ -154,6 +168,9 @@ def describe_file(path: str, length: int) -> dict:
     if photometric == 3 and COLOR_MAP in base:
         entries = np.array(tag_values(read, base, COLOR_MAP)).reshape(3, -1) >> 8
         table = [(i, [int(c) for c in rgb] + [255]) for i, rgb in enumerate(entries.T)]
+    kinds_of = [tag_values(read, d, SUBFILE, [0])[0] for d in directories]
+    if any(kind & MASK for kind in kinds_of):
+        raise ValueError(f"{path} has an internal mask; state a nodata value or an alpha band")
     coarse = [
         round(width / tag_values(read, d, WIDTH)[0])
         for d in directories[1:]
@@ -197,15 +214,69 @@ def profiles(spark: SparkSession, path: str) -> DataFrame:
     return files(spark, path).mapInArrow(run, schema)
 
 
-def raster_of(profile: Row, names: list[str] | None = None) -> Raster:
-    """The raster that a profile row describes."""
-    names = names or [f"band_{i + 1}" for i in range(profile.bands)]
-    bands = tuple(
-        Band(n, profile.dtype, colour, None, profile.colortable if colour == "palette" else None)
-        for n, colour in zip(names, profile.colorinterp)
+# What the files of one load must agree in.
+SHARED = ("block_width", "block_height", "zoom", "dtype", "bands", "colorinterp", "nodata",
+          "overviews")
+
+
+def common_profile(spark: SparkSession, path: str) -> Row:
+    """One profile for all files of a path, which must agree in all but their extent.
+
+    The extent spans all files. A file may end inside a tile only where the whole raster does, as
+    the padding of such a tile would else count as pixels.
+    """
+    found = profiles(spark, path)
+    east = F.col("tile_x0") * F.col("block_width") + F.col("width")
+    south = F.col("tile_y0") * F.col("block_height") + F.col("height")
+    ragged = lambda edge, size: F.min(F.when(edge % F.col(size) != 0, edge))
+    kinds = (
+        found.groupBy(*SHARED, F.to_json("colortable").alias("colours"))
+        .agg(
+            F.min("tile_x0").alias("tile_x0"),
+            F.min("tile_y0").alias("tile_y0"),
+            F.max(east).alias("east"),
+            F.max(south).alias("south"),
+            ragged(east, "block_width").alias("ragged_east"),
+            ragged(south, "block_height").alias("ragged_south"),
+            F.first("colortable").alias("colortable"),
+        )
+        .limit(2)
+        .collect()
     )
+    if not kinds:
+        raise FileNotFoundError(f"There is no file at {path}")
+    if len(kinds) > 1:
+        raise IncompatibleRaster(f"The files of {path} differ in more than their extent")
+    one = kinds[0].asDict()
+    for side in ("east", "south"):
+        if one[f"ragged_{side}"] not in (None, one[side]):
+            raise IncompatibleRaster(f"A file of {path} ends inside a tile before the others do")
+    one["width"] = one["east"] - one["tile_x0"] * one["block_width"]
+    one["height"] = one["south"] - one["tile_y0"] * one["block_height"]
+    return Row(**one)
+
+
+def raster_of(
+    profile: Row,
+    names: list[str] | None = None,
+    numbers: list[int] | None = None,
+    style=None,
+    labels: dict[int, dict] | None = None,
+) -> Raster:
+    """The raster that a profile row describes, or some of its bands, by number from 1."""
+    numbers = list(numbers or range(1, profile.bands + 1))
+    wrong = [n for n in numbers if not 1 <= n <= profile.bands]
+    if wrong:
+        raise ValueError(f"There are {profile.bands} bands, none numbered {wrong}")
+    bands = []
+    for number, name in pair_bands(numbers, names, style):
+        colour = profile.colorinterp[number - 1]
+        table = profile.colortable if colour == "palette" else None
+        given = (labels or {}).get(number)
+        given = None if given is None else {str(k): str(v) for k, v in given.items()}
+        bands.append(Band(name, profile.dtype, colour, None, table, given))
     return Raster(
-        bands, profile.zoom, profile.tile_x0, profile.tile_y0, profile.block_width,
+        tuple(bands), profile.zoom, profile.tile_x0, profile.tile_y0, profile.block_width,
         profile.block_height, profile.width, profile.height, profile.nodata,
         tuple(profile.overviews),
     )
@@ -255,14 +326,23 @@ def tile_list(profiled: DataFrame) -> DataFrame:
     return profiled.mapInArrow(run, schema)
 
 
-def tiles(spark: SparkSession, path: str, raster: Raster | None = None) -> DataFrame:
+def tiles(
+    spark: SparkSession,
+    path: str,
+    raster: Raster | None = None,
+    numbers: list[int] | None = None,
+) -> DataFrame:
     """The base tiles of the files: ``tile_x, tile_y, <bands ARRAY>``.
 
-    Pixels of an edge tile that lie outside the raster hold the nodata value.
+    Pixels of an edge tile that lie outside the raster hold the nodata value, in the alpha band 0.
+    ``numbers`` are those of the raster's bands in the files; of planar files only these are read.
     """
     profiled = profiles(spark, path)
+    stored = common_profile(spark, path)
     if raster is None:
-        raster = raster_of(profiled.first())
+        raster = raster_of(stored, None, numbers)
+    chosen = [n - 1 for n in numbers or range(1, stored.bands + 1)]
+    in_file = stored.bands
     total = files(spark, path).agg(F.sum("length")).first()[0]
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES))
     # Neighbouring tiles go to one task; a fixed number of tasks, as the rows themselves are small.
@@ -272,21 +352,33 @@ def tiles(spark: SparkSession, path: str, raster: Raster | None = None) -> DataF
     bw, bh, n = raster.block_width, raster.block_height, len(raster.bands)
     dtype = raster.bands[0].dtype
     kind = to_arrow_type(raster.bands[0].spark_type)
-    nodata, names = raster.table_nodata, raster.names
+    names = raster.names
+    padding = [0 if b == raster.alpha else raster.table_nodata for b in raster.bands]
     at_once = max(1, BATCH_CELLS // (bw * bh * n))
 
     def unpack(data, compression):
         data = zlib.decompress(data) if compression in DEFLATE else data
         return np.frombuffer(data, codec.wire_dtype(dtype))
 
+    def part(read, tile, k):
+        at = tile["samples"][k]
+        return unpack(read(at["start"], at["size"]), tile["compression"])
+
     def read_tile(read, tile):
-        parts = [unpack(read(s["start"], s["size"]), tile["compression"]) for s in tile["samples"]]
-        if len(parts) == 1:
-            cells = parts[0].reshape(bh, bw, n).transpose(2, 0, 1).copy()
+        if len(tile["samples"]) == 1:
+            whole = part(read, tile, 0).reshape(bh, bw, in_file)
+            cells = whole.transpose(2, 0, 1)[chosen].copy()
         else:
-            cells = np.stack([p.reshape(bh, bw) for p in parts])
-        cells[:, tile["inside_y"] :, :] = nodata
-        cells[:, :, tile["inside_x"] :] = nodata
+            empty = [np.full(bw * bh, fill, codec.wire_dtype(dtype)) for fill in padding]
+            cells = np.stack(
+                [
+                    part(read, tile, k) if tile["samples"][k]["size"] else empty[i]
+                    for i, k in enumerate(chosen)
+                ]
+            ).reshape(n, bh, bw)
+        for band, fill in zip(cells, padding, strict=True):
+            band[tile["inside_y"] :, :] = fill
+            band[:, tile["inside_x"] :] = fill
         return cells.reshape(n, -1)
 
     def run(batches):

@@ -68,7 +68,9 @@ def test_merge_of_two_neighbours(spark):
 def test_merge_without_sums(spark):
     empty = changed(stats={"mean": 8.0, "stddev": 1.5, "sum": 0.0, "sum_squares": 0.0, "count": 0})
     s = merged(spark, DOCUMENT, empty)["bands"][0]["stats"]
-    assert s["mean"] == 6.0 and s["stddev"] == 2.5
+    assert s["mean"] == 4.0 and s["stddev"] == 2.0  # the one that counted pixels
+    s = merged(spark, empty, empty)["bands"][0]["stats"]
+    assert s["mean"] == 8.0 and s["stddev"] == pytest.approx(1.5 * math.sqrt(2))
     # The squares of a sampled band may be too small for its sum.
     odd = changed(stats={"sum_squares": 0.0})
     s = merged(spark, odd, odd)["bands"][0]["stats"]
@@ -77,6 +79,20 @@ def test_merge_without_sums(spark):
     assert s["mean"] == 4.0
 
 
+def test_merge_in_any_grouping(spark):
+    empty = changed(stats={"mean": 8.0, "stddev": 1.5, "sum": 0.0, "sum_squares": 0.0, "count": 0})
+    joint = merged(spark, DOCUMENT, empty, EAST)
+    assert joint == merged(spark, merged(spark, DOCUMENT, empty), EAST)
+    assert joint == merged(spark, DOCUMENT, merged(spark, empty, EAST))
+
+
+def test_merged_extent_keeps_partial_tiles(spark):
+    bounds = DOCUMENT["bounds"]
+    south = bounds[3] - (bounds[3] - bounds[1]) * 0.4
+    doc = merged(spark, changed(bounds=[bounds[0], south, bounds[2] - 3, bounds[3]], height=100))
+    assert (doc["width"], doc["height"]) == (256, 256)
+
+
 def test_merge_refuses_missing_bands(spark):
     other = changed(band={"name": "other"})
     with pytest.raises(Exception, match="band is missing"):
@@ -91,9 +107,9 @@ def test_merge_refuses_missing_bands(spark):
         (changed(block_resolution=6), "block resolution"),
         (changed(nodata=None), "nodata"),
         (changed(block_height=512), "block width or height"),
-        (changed(band={"type": "int8"}), "different bands"),
-        (changed(band={"nodata": "1"}), "different bands"),
-        (changed(bands=DOCUMENT["bands"] * 2), "different bands"),
+        (changed(band={"type": "int8"}), "other bands"),
+        (changed(band={"nodata": "1"}), "other bands"),
+        (changed(bands=DOCUMENT["bands"] * 2), "other bands"),
         (changed(compression="gzip"), "compression"),
     ],
 )

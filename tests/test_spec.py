@@ -25,17 +25,17 @@ def raster(*bands, **facts):
 def test_item_sizes():
     sizes = [item_size(d) for d in DEFAULT_NODATA]
     assert sizes == [1, 2, 4, 8, 1, 2, 4, 8, 2, 4, 8]
-    with pytest.raises(ValueError, match="Unsupported data type"):
+    with pytest.raises(ValueError, match="No raster type"):
         Band("b", "complex64")
 
 
 def test_band_names():
     assert pair_bands([1, 3]) == [(1, "band_1"), (3, "band_3")]
     assert pair_bands([1, 2], ["a", None], str.upper) == [(1, "A"), (2, "BAND_2")]
-    with pytest.raises(ValueError, match="must equal"):
+    with pytest.raises(ValueError, match="cannot carry"):
         pair_bands([1, 2], ["a"])
     for name in ("block", "Metadata", "BLOCK"):
-        with pytest.raises(ValueError, match="Invalid band names"):
+        with pytest.raises(ValueError, match="column names itself"):
             check_names(["ok", name])
 
 
@@ -50,9 +50,9 @@ def test_nodata_rules():
     assert raster(Band("a"), Band("b")).table_nodata == 0
     assert raster(Band("a", "int16"), Band("b"), nodata=7).table_nodata == 7
     assert math.isnan(raster(Band("a", "float32"), Band("b", "float64")).table_nodata)
-    with pytest.raises(ValueError, match="Invalid no data value"):
+    with pytest.raises(ValueError, match="no nodata value in common"):
         raster(Band("a"), Band("b", "int16")).table_nodata  # noqa: B018
-    with pytest.raises(ValueError, match="Invalid no data value"):
+    with pytest.raises(ValueError, match="no nodata value in common"):
         raster(Band("a", "float32"), Band("b", nodata=3)).table_nodata  # noqa: B018
 
 
@@ -79,10 +79,10 @@ def test_which_rule_masks():
 def test_grid_checks():
     check_overviews((2, 4, 8))
     for factors in ((2, 4, 16), (4,), (2, 3)):
-        with pytest.raises(ValueError, match="consecutive powers"):
+        with pytest.raises(ValueError, match="step by step"):
             check_overviews(factors)
     check_block_shapes([(256, 256), (256, 256)])
-    with pytest.raises(ValueError, match="equal for all bands"):
+    with pytest.raises(ValueError, match="one shape"):
         check_block_shapes([(256, 256), (512, 256)])
     assert raster(Band("a")).pixel_resolution == 13
     with pytest.raises(ValueError, match="26"):
@@ -107,5 +107,5 @@ def test_band_sizes():
 
 
 def test_unknown_text_format():
-    with pytest.raises(ValueError, match="Invalid geography format"):
+    with pytest.raises(ValueError, match="No such text form"):
         polygon_text(None, "kml")

@@ -44,23 +44,21 @@ SHAPES = {
 
 
 @pytest.mark.parametrize("shape", list(SHAPES))
-@pytest.mark.parametrize("bound", [10**6, 100])
-def test_float_quantiles_match_numpy(spark, shape, bound):
+def test_float_quantiles_match_numpy(spark, shape):
     values = SHAPES[shape]
     pixels = table(spark, f=("double", values.tolist()))
-    rows = stats.quantiles(pixels, raster(Band("f", "float64")), histogram_rows=bound)
+    rows = stats.quantiles(pixels, raster(Band("f", "float64")))
     assert found(rows, "f") == numpy_quantiles(values)
 
 
-@pytest.mark.parametrize("bound", [10**6, 50])
 @pytest.mark.parametrize("dtype, kind", [("int32", "int"), ("int64", "long")])
-def test_whole_quantiles_match_numpy(spark, dtype, kind, bound):
+def test_whole_quantiles_match_numpy(spark, dtype, kind):
     edge = np.iinfo(dtype)
     values = RNG.integers(edge.min + 1, edge.max, 3000).astype(dtype)
     values[:1000] = edge.max
     pixels = table(spark, v=(kind, values.tolist()))
     r = raster(Band("v", dtype))
-    rows = stats.quantiles(pixels, r, histogram_rows=bound)
+    rows = stats.quantiles(pixels, r)
     ordered = np.sort(values)
     expected = {
         (i, j): float(ordered[rank]) for i, j, rank in stats.quantile_ranks(len(values))
@@ -72,7 +70,7 @@ def test_narrowing_leaves_masked_pixels_out(spark):
     values = [math.nan if i % 3 == 0 else float(i) for i in range(5000)]
     pixels = table(spark, f=("double", values), b=("short", [i % 256 for i in range(5000)]))
     r = raster(Band("f", "float64"), Band("b", nodata=0))
-    rows = stats.quantiles(pixels, r, histogram_rows=64)
+    rows = stats.quantiles(pixels, r)
     assert found(rows, "f") == numpy_quantiles([v for v in values if not math.isnan(v)])
     assert found(rows, "b") == numpy_quantiles([i % 256 for i in range(5000) if i % 256])
 
@@ -186,8 +184,13 @@ def test_group_limit_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan._jdf.queryExecution().executedPlan().toString()
 
 
-def test_approximate_level():
-    r = raster(Band("a"), overviews=(2, 4, 8)).sized(400, 400)
-    assert stats.approximate_level(r) == 3
-    assert stats.approximate_level(r.sized(200, 200)) == 2
-    assert stats.approximate_level(r.sized(50, 50)) == 0
+def test_sparse_moments_are_those_of_all_pixels(spark):
+    """Pixels that no pyramid level keeps are counted all the same."""
+    rows = [(16 * x, 16 * y, x + y + 1) for x in range(32) for y in range(32)]
+    pixels = spark.createDataFrame(rows, "px long, py long, v int")
+    r = Raster((Band("v", "int32"),), 10, 0, 0, 16, 16, overviews=(2, 4, 8)).sized(512, 512)
+    record = stats.band_stats(pixels, r, basic=True).first()
+    assert (record["min"], record["max"]) == (1, 63)
+    assert record["mean"] == pytest.approx(32)
+    assert record["count"] == stats.SAMPLE_SIZE
+    assert stats.band_stats(pixels, r, basic=True, sample_size=40).first()["count"] == 40

@@ -71,13 +71,54 @@ def test_append_to_nothing_is_a_new_table(pixels, table):
 def test_a_lost_metadata_row_is_mended(pixels, table):
     load_raster(pixels, RASTER, table, basic_stats=True)
     doc = table.metadata()
-    fs, target = table._fs(f"{table.path}/meta")
-    fs.delete(target, True)
-    assert table.exists()
+    live = table._live()
+    table._commit(live["number"] + 1, live["loads"], "{}")
+    assert table.exists() and table.metadata() == {}
     table.refresh_metadata()
     assert table.metadata()["bounds"] == doc["bounds"]
 
 
+def test_a_failed_commit_changes_nothing(pixels, table, monkeypatch):
+    load_raster(pixels, RASTER, table, basic_stats=True)
+    doc, files = table.metadata(), table.read().inputFiles()
+
+    def lost(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(BlockTable, "_commit", lost)
+    for mode in ("append", "overwrite"):
+        with pytest.raises(OSError, match="lost"):
+            load_raster(pixels, RASTER, table, mode=mode, basic_stats=True)
+    assert table.metadata() == doc and table.read().inputFiles() == files
+    assert table.data().count() == 17
+    assert len(os.listdir(f"{table.path}/data")) == 1
+
+
+def test_a_reader_keeps_its_state_during_an_overwrite(spark, pixels, table):
+    load_raster(pixels, RASTER, table, basic_stats=True)
+    before = table.read()
+    load_raster(pixels.where("px < 16"), RASTER.sized(16, 40), table, mode="overwrite", basic_stats=True)
+    assert before.count() == 18 and table.read().count() < 18
+    table.vacuum()
+    assert len(os.listdir(f"{table.path}/data")) == len(table._commits()) == 1
+    assert table.read().where("block = 0").count() == 1
+
+
+def test_commits_by_two_writers(pixels, table):
+    load_raster(pixels, RASTER, table, load="a", basic_stats=True)
+    number = table._live()["number"]
+    assert table._commit(number + 1, {"x": "y"}, "{}")
+    assert not table._commit(number + 1, {"z": "y"}, "{}")
+    assert table._live()["loads"] == {"x": "y"}
+
+
+def test_a_commit_half_written_is_passed_over(pixels, table):
+    load_raster(pixels, RASTER, table, basic_stats=True)
+    with open(f"{table.path}/_live/{table._live()['number'] + 1:012d}.json", "w") as file:
+        file.write('{"number": 2, "loa')
+    assert table.data().count() == 17
+
+
 def test_a_load_written_again_counts_once(pixels, table):
     load_raster(pixels, RASTER, table, load="a", exact_stats=True)
     load_raster(pixels, RASTER, table, mode="append", load="b", exact_stats=True)
@@ -117,7 +158,7 @@ def test_a_failed_overwrite_leaves_the_old_table(spark, pixels, table, tmp_path)
 
 def test_reserved_names(pixels, table):
     raster = Raster((Band("Block", "int16"),), 10, 4, 4, 16, 16)
-    with pytest.raises(ValueError, match="Invalid band names"):
+    with pytest.raises(ValueError, match="column names itself"):
         load_raster(pixels.withColumnRenamed("v", "Block"), raster, table)
 
 
@@ -156,6 +197,8 @@ def test_insert(pixels, table):
     assert table.data().where("block IN (5, 6)").count() == 2
     with pytest.raises(ValueError, match="not in the table"):
         table.insert([{"block": 5, "other": 1}])
+    with pytest.raises(ValueError, match="metadata"):
+        table.insert([{"block": 5, "metadata": "{}"}])
 
 
 def test_sql(spark, pixels, table):

@@ -108,3 +108,67 @@ def test_files_of_a_folder_and_missing_tiles(spark, tmp_path):
     assert {(r.tile_x, r.tile_y) for r in tiles.collect()} == {
         (x, y) for x in (3, 4, 5) for y in (5, 6)
     }
+
+
+def test_a_folder_is_one_raster(spark, tmp_path):
+    """Extent, counts and statistics span the files, whichever is read first."""
+    for name, value, x in (("a", 1, 3), ("b", 9, 5)):
+        write_tiff(str(tmp_path / f"{name}.tif"), [np.full((32, 32), value, "uint8")], 8, x, 5, 16)
+    table = BlockTable(spark, str(tmp_path / "table"))
+    report = load_tiff(str(tmp_path / "*.tif"), table)
+    assert report == {"expected": 8, "written": 8, "empty": 0}
+    doc = table.metadata()
+    record = doc["bands"][0]["stats"]
+    assert (doc["width"], doc["height"]) == (64, 32)
+    assert (record["min"], record["max"], record["count"]) == (1, 9, 2048)
+
+
+def test_files_that_differ_are_refused(spark, tmp_path):
+    write_tiff(str(tmp_path / "a.tif"), [image("uint8", 32, 32)], 8, 3, 5, 16)
+    write_tiff(str(tmp_path / "b.tif"), [image("int16", 32, 32)], 8, 5, 5, 16)
+    with pytest.raises(IncompatibleRaster, match="differ"):
+        tiff.common_profile(spark, str(tmp_path))
+    with pytest.raises(Exception, match="does not exist"):
+        tiff.common_profile(spark, str(tmp_path / "*.none.tif*"))
+
+
+def test_a_file_that_ends_inside_the_raster_is_refused(spark, tmp_path):
+    write_tiff(str(tmp_path / "a.tif"), [image("uint8", 32, 24)], 8, 3, 5, 16)
+    write_tiff(str(tmp_path / "b.tif"), [image("uint8", 32, 32)], 8, 5, 5, 16)
+    with pytest.raises(IncompatibleRaster, match="inside a tile"):
+        tiff.common_profile(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("planar", [1, 2])
+def test_some_bands(spark, tmp_path, planar):
+    path = str(tmp_path / "a.tif")
+    bands = [image("uint8") for _ in range(3)]
+    write_tiff(path, bands, 8, 3, 5, 16, photometric=2, planar=planar)
+    profile = tiff.common_profile(spark, path)
+    raster = tiff.raster_of(profile, ["blue", None], [3, 1], str.upper, {3: {7: "x"}})
+    assert raster.names == ["BLUE", "BAND_1"]
+    assert raster.bands[0].valuelabels == {"7": "x"} and raster.bands[1].colorinterp == "red"
+    rows = pixels_of_tiles(tiff.tiles(spark, path, raster, [3, 1]), raster).toPandas()
+    for name, band in zip(raster.names, (bands[2], bands[0])):
+        assert (band[rows.py, rows.px] == rows[name]).all()
+    table = BlockTable(spark, str(tmp_path / "table"))
+    load_tiff(path, table, ["one", "two"], band_numbers=[1, 2], basic_stats=True)
+    assert [b["name"] for b in table.metadata()["bands"]] == ["one", "two"]
+    for names, numbers in ((["one"], None), (["one"], [1, 2]), (None, [4])):
+        with pytest.raises(ValueError):
+            tiff.raster_of(profile, names, numbers)
+
+
+def test_padding_is_transparent(spark, tmp_path):
+    path = str(tmp_path / "a.tif")
+    bands = [np.full((40, 56), 100 + i, "uint16") for i in range(2)]
+    write_tiff(path, bands, 8, 3, 5, 16, extra=(2,))
+    raster = tiff.raster_of(tiff.common_profile(spark, path))
+    corner = tiff.tiles(spark, path, raster).orderBy("tile_y", "tile_x").collect()[-1]
+    assert set(corner["band_1"]) == {100, 65535} and set(corner["band_2"]) == {101, 0}
+
+
+def test_names_of_file_systems(tmp_path):
+    assert tiff.SCHEMES["s3a"] == "s3"
+    with pytest.raises(FileNotFoundError):
+        tiff.RangeReader(f"file://{tmp_path}/none.tif")
