@@ -29,6 +29,8 @@ PACK_ROWS = 1 << 19
 # Cells, in bytes, of an output partition, and sampled ids per partition to find its range.
 PARTITION_BYTES = 64 << 20
 SPLIT_SAMPLES = 1000
+# Zoom levels between the counts from which ranks are summed.
+RANK_STEP = 8
 
 
 # -- pixel coordinates -------------------------------------------------------
@@ -430,8 +432,21 @@ def decode(stored: DataFrame, raster: Raster, compressed: bool = False) -> DataF
 
 
 def merge_bands(parts: list[DataFrame]) -> DataFrame:
-    """Bands loaded apart, joined on their block; a band a block lacks stays null."""
-    return reduce(lambda a, b: a.join(b, "block", "full_outer"), parts)
+    """Bands loaded apart, side by side per block; a band a block lacks stays null.
+
+    A block that several rows of a part have gets as many rows: the first of each part together,
+    then the second, and so on, rows of a part being ordered by a hash of their bytes. All parts
+    share one shuffle, by block.
+    """
+    tagged = [part.withColumn("__part", F.lit(i)) for i, part in enumerate(parts)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    bands = [c for c in rows.columns if c not in ("block", "__part")]
+    order = Window.partitionBy("block", "__part").orderBy(F.xxhash64(*bands))
+    numbered = rows.repartition("block").withColumn("__copy", F.row_number().over(order))
+    merged = numbered.groupBy("block", "__copy").agg(
+        *[F.first(b, ignorenulls=True).alias(b) for b in bands]
+    )
+    return merged.drop("__copy")
 
 
 def missing_blocks(written: DataFrame, expected: int) -> DataFrame:
@@ -446,24 +461,30 @@ def missing_blocks(written: DataFrame, expected: int) -> DataFrame:
 def with_rank(blocks: DataFrame, cell: str = "block", out: str = "rank") -> DataFrame:
     """Zero-based position of each block in cell order.
 
-    Blocks are counted per ancestor eight levels up (at most 4**8 cells of a zoom share one), the
-    counts are summed in order, and each block adds its place among its siblings. No task ever
-    orders the whole table.
+    Blocks are counted per ancestor RANK_STEP levels up, these counts per ancestor as many levels
+    further up, and a block's rank is the sum of its place among its siblings and what comes before
+    at either level. A task orders at most 4 ** RANK_STEP cells of a zoom; the last sum runs over
+    the topmost ancestors, of which there are at most 4 ** (26 - 2 * RANK_STEP) whatever the table.
     """
     zoom = cell_zoom(cell)
-    sliced = blocks.withColumn("__up", F.least(zoom, F.lit(8)))
-    sliced = with_parent(sliced, cell, "__up", "__slice").drop("__up")
-    sizes = sliced.groupBy("__slice").agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
-    )
+    up = lambda steps: F.least(zoom, F.lit(steps * RANK_STEP))
+    sliced = blocks.withColumns({"__up": up(1), "__far": up(2)})
+    sliced = with_parent(sliced, cell, "__up", "__slice")
+    sliced = with_parent(sliced, cell, "__far", "__top").drop("__up", "__far")
+    earlier = lambda order: order.rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda order: F.coalesce(F.sum("__n").over(earlier(order)), F.lit(0))
+    sizes = sliced.groupBy("__top", "__slice").agg(F.count("*").alias("__n"))
+    tops = sizes.groupBy("__top").agg(F.sum("__n").alias("__n"))
+    tops = tops.select("__top", before(Window.orderBy("__top")).alias("__base"))
+    inside = before(Window.partitionBy("__top").orderBy("__slice"))
+    offsets = sizes.select("__top", "__slice", inside.alias("__inside")).join(tops, "__top")
+    offsets = offsets.select("__slice", (F.col("__base") + F.col("__inside")).alias("__offset"))
     place = F.row_number().over(Window.partitionBy("__slice").orderBy(cell)) - 1
     return (
         sliced.withColumn("__place", place)
         .join(offsets, "__slice", "left")  # an inner join would filter on a costly expression
         .withColumn(out, F.col("__offset") + F.col("__place"))
-        .drop("__slice", "__place", "__offset")
+        .drop("__slice", "__top", "__place", "__offset")
     )
 
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmill.functions import cells
+from gridmill.operators import stats
 from gridmill.plans import fixtures as fx
 from gridmill.plans.documents import bounds_sql
 from gridmill.plans.load import load_raster
 from gridmill.plans.numbers import _values
 from gridmill.plans.registry import query
 from gridmill.plans.tiles import CELL, dense_sql, hex_sql
+from gridmill.sources import pixels as px
 from gridmill.sources.tables import BlockTable, run_sql
 from gridmill.streaming.append import append_stream
 
@@ -190,3 +195,86 @@ def stream_append(spark, sf):
         b["min"].alias("min"), b["max"].alias("max"), F.round(b["mean"], 6).alias("mean"),
         F.round(b["stddev"], 4).alias("stddev"), b["sum"].alias("sum"), b["count"].alias("count"),
     )
+
+
+@query(
+    "write_modes",
+    sql=f"""
+    SELECT step, CAST(blocks * n AS BIGINT) AS blocks,
+        CASE WHEN n > 1 THEN blocks ELSE 0 END AS duplicates, CAST(pixels * n AS BIGINT) AS num_pixels,
+        total * n AS sum, refused
+    FROM (SELECT unnest(['error', 'append', 'append again', 'overwrite']) AS step,
+            unnest([1, 2, 2, 1]) AS n, unnest([true, false, false, false]) AS refused),
+        (SELECT count(*) AS blocks FROM ({_STORED} WHERE level = 0)),
+        (SELECT width * height AS pixels FROM v_size), (SELECT sum(v) AS total FROM ({_B1}))""",
+)
+def write_modes(spark, sf):
+    """A table after each write mode: refused, appended, the same load again, overwritten."""
+    pixels = fx.staged(fx.grid(spark, sf).select("px", "py", "b1"))
+    raster = fx.plane(fx.B1)
+    table = BlockTable(spark, fx.scratch(spark))
+    load_raster(pixels, raster, table, load="first", basic_stats=True)
+    try:
+        load_raster(pixels, raster, table, basic_stats=True)
+        refused = False
+    except FileExistsError:
+        refused = True
+
+    def state(step: str, refused: bool = False):
+        copies = table.duplicates().agg(F.count("*").alias("duplicates"))
+        blocks = table.data().agg(F.count("*").alias("blocks"))
+        doc = table.metadata_rows().select(
+            F.lit(step).alias("step"),
+            "num_pixels",
+            F.col("bands")[0].stats["sum"].alias("sum"),
+            F.lit(refused).alias("refused"),
+        )
+        return doc.select(
+            "step", blocks.scalar().alias("blocks"), copies.scalar().alias("duplicates"),
+            "num_pixels", "sum", "refused",
+        )
+
+    states = [state("error", refused)]
+    for step, mode, load in (
+        ("append", "append", "second"),
+        ("append again", "append", "second"),
+        ("overwrite", "overwrite", "third"),
+    ):
+        load_raster(pixels, raster, table, mode=mode, load=load, basic_stats=True)
+        states.append(state(step))
+    return reduce(DataFrame.unionByName, states)
+
+
+@query(
+    "insert_rows",
+    sql="""
+    SELECT CAST(n_nationkey + 1 AS BIGINT) AS block, hex(encode(n_name)) AS b1 FROM nation""",
+)
+def insert_rows(spark, sf):
+    """The nations' names given as rows by hand, appended to a written table and read back."""
+    table = loaded(spark, sf)
+    given = fx.table(spark, sf, "nation").collect()  # fixed at 25 rows
+    table.insert([{"block": r["n_nationkey"] + 1, "b1": r["n_name"].encode()} for r in given])
+    rows = table.data().where(F.col("block") < cells.zoom_range(0)[0])
+    return rows.select("block", F.hex("b1").alias("b1"))
+
+
+@query(
+    "exact_or_sampled",
+    sql=f"""
+    SELECT mode, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean,
+        CASE mode WHEN 'exact' THEN count(*) ELSE least(count(*), 1000) END AS count,
+        mode = 'sampled' AS approximated_stats
+    FROM ({_B1}), (SELECT unnest(['exact', 'sampled']) AS mode) GROUP BY mode""",
+)
+def exact_or_sampled(spark, sf):
+    """The record of one raster in either mode: the same moments, a full or a sampled count."""
+    pixels = fx.staged(fx.grid(spark, sf).select("px", "py", "b1"))
+    raster = px.measured(pixels, RASTER)
+    records = [
+        stats.band_stats(pixels, raster, exact=exact, seed=fx.SEED).withColumn("mode", F.lit(mode))
+        for mode, exact in (("exact", True), ("sampled", False))
+    ]
+    return reduce(DataFrame.unionByName, records).select(
+        "mode", "min", "max", F.round("mean", 6).alias("mean"), "count", "approximated_stats"
+    )

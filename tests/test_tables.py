@@ -228,3 +228,12 @@ def test_bands_loaded_apart(spark, pixels):
     apart = [tiling.base_blocks(both, raster.select(n)) for n in ("a", "b")]
     merged, whole = tiling.merge_bands(apart), tiling.base_blocks(both, raster)
     assert merged.exceptAll(whole).isEmpty() and merged.count() == whole.count()
+
+
+def test_bands_of_repeated_blocks_are_not_multiplied(spark):
+    a = spark.createDataFrame([(1, b"x"), (1, b"y"), (1, b"z"), (2, b"w")], "block long, a binary")
+    b = spark.createDataFrame([(1, b"p"), (1, b"q"), (3, None)], "block long, b binary")
+    rows = tiling.merge_bands([a, b]).collect()
+    assert sorted(r.block for r in rows) == [1, 1, 1, 2, 3]
+    assert sorted(bytes(r.a) for r in rows if r.a) == [b"w", b"x", b"y", b"z"]
+    assert sorted(bytes(r.b) for r in rows if r.b) == [b"p", b"q"]
