@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,7 +18,7 @@ from gridmill.plans.numbers import _values
 from gridmill.plans.registry import query
 from gridmill.plans.tiles import CELL, dense_sql, hex_sql
 from gridmill.sources import pixels as px
-from gridmill.sources.tables import BlockTable, run_sql
+from gridmill.sources.tables import BlockTable, CatalogTable, run_sql
 from gridmill.streaming.append import append_stream
 
 RASTER = fx.plane(fx.B1, levels=3)
@@ -126,8 +128,6 @@ def sql_surface(spark, sf):
 )
 def append_result(spark, sf):
     """The left half loaded, the right half appended: one table, merged metadata."""
-    from dataclasses import replace
-
     pixels = fx.staged(fx.grid(spark, sf).select("px", "py", "b1"))
     raster = fx.plane(fx.B1)
     height = pixels.agg(F.max("py") + 1).first()[0]
@@ -278,3 +278,38 @@ def exact_or_sampled(spark, sf):
     return reduce(DataFrame.unionByName, records).select(
         "mode", "min", "max", F.round("mean", 6).alias("mean"), "count", "approximated_stats"
     )
+
+
+@query(
+    "catalog_roundtrip",
+    sql=f"""
+    SELECT blocks, width, height, width * height AS num_pixels, sum, count, bytes, '1_0_x' AS label
+    FROM v_size, (SELECT count(*) AS blocks, count(*) * 4096 AS bytes FROM ({_STORED} WHERE level = 0)),
+        (SELECT sum(v) AS sum, count(*) AS count FROM ({_B1}))""",
+)
+def catalog_roundtrip(spark, sf):
+    """The two halves of the plane loaded into a table of the catalog, read back by its name."""
+    name = f"gridmill_{uuid.uuid4().hex}"
+    table = CatalogTable(spark, name)
+    pixels = fx.staged(fx.grid(spark, sf).select("px", "py", "b1"))
+    raster = px.measured(pixels, fx.plane(fx.B1))
+    half = fx.GRID_WIDTH // 2
+    left = raster.sized(half, raster.height)
+    right = replace(left, tile_x0=fx.TILE_X0 + half // fx.EDGE)
+    moved = pixels.where(F.col("px") >= half).withColumn("px", F.col("px") - half)
+    load_raster(pixels.where(F.col("px") < half), left, table, basic_stats=True, version="1.0+X")
+    load_raster(moved, right, table, mode="append", basic_stats=True, version="1.0+X")
+    rows = run_sql(
+        spark, "SELECT count(*) AS blocks, sum(length(b1)) AS bytes FROM {t}", {"t": table.data()}
+    )
+    doc = table.metadata_rows()
+    return doc.select(
+        rows.select("blocks").scalar().alias("blocks"),
+        "width",
+        F.lit(raster.height).alias("height"),
+        F.lit(table.metadata()["num_pixels"]).alias("num_pixels"),
+        F.col("bands")[0].stats["sum"].alias("sum"),
+        F.col("bands")[0].stats["count"].alias("count"),
+        rows.select("bytes").scalar().alias("bytes"),
+        F.lit(table.properties()["version"]).alias("label"),
+    )

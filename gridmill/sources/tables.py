@@ -23,6 +23,7 @@ from gridmill.spec import check_names
 
 MODES = ("error", "overwrite", "append")
 MOST_TRIES = 20  # to commit while others do
+PROPERTY_SIZE = 3000  # characters of a table property
 
 META_SCHEMA = T.StructType(
     [
@@ -244,22 +245,26 @@ class BlockTable:
             self._write_load(folder, blocks, document, chunk_size)
             self._add(load, folder, document, append=mode == "append")
         except BaseException:
-            for part in ("data", "docs"):
-                fs, left = self._fs(f"{self.path}/{part}/{folder}")
-                fs.delete(left, True)
+            self._remove(folder)
             raise
         return load
 
     def load_rows(self, load: str) -> int:
-        folder = self._known()["loads"][load]
-        return self.spark.read.parquet(f"{self.path}/data/{folder}").count()
+        live = self._known()
+        return self._data(live | {"loads": {load: live["loads"][load]}}).count()
+
+    def _remove(self, folder: str) -> None:
+        for part in ("data", "docs"):
+            fs, left = self._fs(f"{self.path}/{part}/{folder}")
+            fs.delete(left, True)
 
     def _write_load(self, folder, blocks, document, chunk_size):
         writer = blocks.write
         if chunk_size:
             writer = writer.option("maxRecordsPerFile", chunk_size)
         writer.parquet(f"{self.path}/data/{folder}")
-        self._row(document).write.parquet(f"{self.path}/docs/{folder}")
+        if document is not None:
+            self._row(document).write.parquet(f"{self.path}/docs/{folder}")
 
     def _add(self, load: str, folder: str, document: str | None, append: bool) -> None:
         """Commit a load whose files are written. An append merges its document with the table's;
@@ -303,15 +308,18 @@ class BlockTable:
 
     def _merged(self, loads: dict[str, str]) -> str:
         """The merged documents of all loads, in the order in which they were first committed."""
-        places = {folder: i for i, folder in enumerate(loads.values())}
-        docs = self.spark.read.schema(META_SCHEMA).parquet(
-            *[f for f in self._folders("docs", loads) if self._fs(f)[0].exists(self._fs(f)[1])]
-        )
-        name = F.regexp_extract("_metadata.file_path", r"/docs/([^/]+)/", 1)
-        order = self.spark.createDataFrame(list(places.items()), "folder string, place int")
-        placed = docs.withColumn("folder", name).join(F.broadcast(order), "folder")
+        places = [(folder, i) for i, folder in enumerate(loads.values())]
+        order = self.spark.createDataFrame(places, "folder string, place int")
+        placed = self._documents(loads).join(F.broadcast(order), "folder")
         return meta.merge(placed, "place").first().metadata
 
+    def _documents(self, loads: dict[str, str]) -> DataFrame:
+        """The documents of loads, as rows ``folder, metadata``; rows put in by hand have none."""
+        there = [f for f in self._folders("docs", loads) if self._fs(f)[0].exists(self._fs(f)[1])]
+        name = F.regexp_extract("_metadata.file_path", r"/docs/([^/]+)/", 1)
+        docs = self.spark.read.schema(META_SCHEMA).parquet(*there)
+        return docs.select(name.alias("folder"), "metadata")
+
     def refresh_metadata(self) -> None:
         """Merge the documents of all loads anew."""
         live = self._known()
@@ -330,5 +338,95 @@ class BlockTable:
         tuples = [tuple(r.get(c) for c in schema.names) for r in rows]
         load = load or uuid.uuid4().hex
         folder = f"load={load}-{uuid.uuid4().hex}"
-        self.spark.createDataFrame(tuples, schema).write.parquet(f"{self.path}/data/{folder}")
+        self._write_load(folder, self.spark.createDataFrame(tuples, schema), None, None)
         self._add(load, folder, None, append=True)
+
+
+class CatalogTable(BlockTable):
+    """A block table in Spark's catalog, under a name like ``catalog.schema.table``.
+
+    Loads are partitions; the document of a load is its row of block 0. The list of live loads, the
+    merged document and the version label are table properties, set in one statement. The catalog
+    has no compare-and-set, so only one writer may commit at a time.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        super().__init__(spark, name)
+        self.name = quote_name(name)
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.path)
+
+    def properties(self) -> dict[str, str]:
+        if not self.exists():
+            return {}
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
+        return {r["key"]: r["value"] for r in rows}
+
+    def _live(self) -> dict | None:
+        found = self.properties()
+        parts = [found[f"gridmill.live.{i}"] for i in range(int(found.get("gridmill.live", 0)))]
+        return json.loads("".join(parts)) if parts else None
+
+    def _commit(self, number: int, loads: dict[str, str], metadata: str) -> bool:
+        body = json.dumps({"number": number, "loads": loads, "metadata": metadata})
+        parts = [body[i : i + PROPERTY_SIZE] for i in range(0, len(body), PROPERTY_SIZE)]
+        facts = {"gridmill.live": str(len(parts))}
+        facts |= {f"gridmill.live.{i}": part for i, part in enumerate(parts)}
+        if metadata:
+            versions = [b["stats"]["version"] for b in json.loads(metadata).get("bands") or []]
+            text = F.lit(next((v for v in versions if v), ""))
+            facts["version"] = self.spark.range(1).select(meta.label_text(text)).first()[0]
+        self._set(facts)
+        return True
+
+    def _set(self, facts: dict[str, str]) -> None:
+        quote = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        listed = ", ".join(f"{quote(k)} = {quote(v)}" for k, v in facts.items())
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ({listed})")
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def vacuum(self) -> None:
+        live = self._live()
+        if live is None:
+            return
+        held = self.spark.table(self.path).select("load").distinct().collect()
+        for folder in {r["load"] for r in held} - set(live["loads"].values()):
+            self._remove(folder)
+
+    def _remove(self, folder: str) -> None:
+        if self.exists():
+            spec = f"PARTITION (load = '{folder}')"
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {spec}")
+
+    def _data(self, live: dict) -> DataFrame:
+        rows = self.spark.table(self.path)
+        ours = F.col("load").isin(list(live["loads"].values()))
+        return rows.where(ours & (F.col("block") != 0)).drop("metadata", "load")
+
+    def _documents(self, loads: dict[str, str]) -> DataFrame:
+        rows = self.spark.table(self.path).where("block = 0")
+        ours = F.col("load").isin(list(loads.values()))
+        return rows.where(ours).select(F.col("load").alias("folder"), "metadata")
+
+    def _write_load(self, folder, blocks, document, chunk_size):
+        bands = [c for c in blocks.columns if c != "block"]
+        if not self.exists():
+            columns = ", ".join(f"`{b}` {blocks.schema[b].dataType.simpleString()}" for b in bands)
+            self.spark.sql(
+                f"CREATE TABLE {self.name} (block BIGINT, metadata STRING, {columns}, load STRING)"
+                " USING parquet PARTITIONED BY (load)"
+            )
+        columns = self.spark.table(self.path).columns
+
+        def put(rows, size=None):
+            rows = rows.withColumn("load", F.lit(folder)).select(*columns)
+            writer = rows.write.option("maxRecordsPerFile", size) if size else rows.write
+            writer.mode("append").insertInto(self.path)
+
+        put(blocks.withColumn("metadata", F.lit(None).cast("string")), chunk_size)
+        if document is not None:
+            kinds = {b: F.lit(None).cast(blocks.schema[b].dataType) for b in bands}
+            put(self._row(document).withColumns(kinds))

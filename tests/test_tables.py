@@ -237,3 +237,34 @@ def test_bands_of_repeated_blocks_are_not_multiplied(spark):
     assert sorted(r.block for r in rows) == [1, 1, 1, 2, 3]
     assert sorted(bytes(r.a) for r in rows if r.a) == [b"w", b"x", b"y", b"z"]
     assert sorted(bytes(r.b) for r in rows if r.b) == [b"p", b"q"]
+
+
+def test_catalog_table(spark, pixels):
+    table = tables.CatalogTable(spark, "spark_catalog.default.blocks_of_a_raster")
+    table.drop()
+    assert not table.exists() and table.is_empty() and table.metadata() is None
+    report = load_raster(pixels, RASTER, table, load="a", basic_stats=True, version="1.0+X")
+    assert report["written"] == table.data().count() == 17
+    assert table.exists() and not table.is_empty()
+    assert table.properties()["version"] == "1_0_x"
+    with pytest.raises(FileExistsError):
+        load_raster(pixels, RASTER, table, basic_stats=True)
+    load_raster(pixels, RASTER, table, mode="append", load="b", basic_stats=True)
+    load_raster(pixels, RASTER, table, mode="append", load="b", basic_stats=True)
+    assert table.data().count() == 34 and table.metadata()["num_blocks"] == 24
+    other = Raster((Band("v", "int16"),), 11, 4, 4, 16, 16)
+    with pytest.raises(IncompatibleTable):
+        load_raster(pixels, other, table, mode="append", basic_stats=True)
+    first = table.records(1, ordered=True).first()
+    assert first.block == 0 and first.metadata
+    assert {r["column"]: r["rows"] for r in table.describe().collect()}["v"] == 35
+    table.vacuum()
+    assert table.data().count() == 34
+    load_raster(pixels, RASTER, table, mode="overwrite", basic_stats=True)
+    table.vacuum()
+    held = spark.table("blocks_of_a_raster")
+    assert table.data().count() == 17 and held.select("load").distinct().count() == 1
+    table.insert([{"block": 5, "v": b"it's"}])
+    assert table.data().count() == 18
+    table.drop()
+    assert not table.exists()
