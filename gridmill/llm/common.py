@@ -1,35 +1,16 @@
-"""Shared scratch folder, staging and small column helpers of the operators."""
+"""Staging and small column helpers of the operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmill.scratch import scratch
+
 # One word: a run without the six white-space characters of ASCII.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, removed when the session's JVM ends.
-
-    Where the setting is missing a local session gets a folder of its own; a cluster is refused,
-    because its executors would not see one another's files.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="gridmill-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    folder = f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return folder
-
-
 def stage(frame: DataFrame, what: str) -> DataFrame:
     """The rows as a written table: cuts the lineage and outlives lost executors."""
     folder = scratch(frame.sparkSession, what)

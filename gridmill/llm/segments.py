@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-MOST_REMEMBERED = 300_000
+MOST_REMEMBERED = 400_000
 
 
-class Memory(dict):
+class Memory:
     """The value of each piece, made when it is first asked for.
 
     Two generations of at most ``most`` pieces bound the memory: when the younger is full it becomes
@@ -19,20 +19,18 @@ class Memory(dict):
     """
 
     def __init__(self, make: Callable[[list], list], most: int = MOST_REMEMBERED) -> None:
-        super().__init__()
         self.make, self.most = make, most
+        self.young: dict = {}
         self.older: dict = {}
 
     def values_of(self, pieces: list) -> Iterator:
         """The values of the pieces of one text; the missing ones are made together."""
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        missing = {p for p in pieces if p not in self}
+        if len(self.young) >= self.most:
+            self.older, self.young = self.young, {}
+        missing = set(pieces).difference(self.young)
         if missing:
             back = [p for p in missing if p in self.older]
-            self.update(zip(back, map(self.older.__getitem__, back), strict=True))
-            missing.difference_update(back)
-            new = list(missing)
-            self.update(zip(new, self.make(new), strict=True))
-        return map(self.__getitem__, pieces)
+            self.young.update(zip(back, map(self.older.__getitem__, back), strict=True))
+            new = list(missing.difference(back))
+            self.young.update(zip(new, self.make(new), strict=True))
+        return map(self.young.__getitem__, pieces)

@@ -40,7 +40,7 @@ from gridmill.llm.segments import Memory
 END_ID = 2
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 18
-LEVEL = 3
+LEVEL = 1
 
 # Places where the byte-level splitting rule always cuts: before a single space, around other
 # spaces, and between a word of Latin letters and punctuation, unless an apostrophe is near.
