@@ -449,6 +449,62 @@ def merge_bands(parts: list[DataFrame]) -> DataFrame:
     return merged.drop("__copy")
 
 
+def merge_copies(
+    stored: DataFrame, raster: Raster, order: str, compressed: bool = False, level: int = 6
+) -> DataFrame:
+    """One row per block: of the rows of a block, in ascending ``order``, the last cell that is not
+    nodata counts. Rows are read one by one, so a block may have any number of them."""
+    dtypes = {b.name: b.dtype for b in raster.bands}
+    fills = {b.name: 0 if b == raster.alpha else raster.band_nodata(b) for b in raster.bands}
+    gzip_level = level if compressed else None
+
+    def given(cells, fill):
+        return ~np.isnan(cells) if cells.dtype.kind == "f" and np.isnan(fill) else cells != fill
+
+    def packed(done):
+        columns = {"block": pa.array([block for block, _ in done], pa.int64())}
+        for b in dtypes:
+            parts = [tiles.get(b) for _, tiles in done]
+            columns[b] = pa.concat_arrays(
+                [
+                    pa.nulls(1, pa.binary())
+                    if part is None
+                    else codec.binary_column(part[None], np.ones(1, bool), gzip_level)
+                    for part in parts
+                ]
+            )
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    def run(batches):
+        done, tiles, last = [], {}, None
+        for batch in batches:
+            for i, block in enumerate(batch.column("block").to_pylist()):
+                if block != last and last is not None:
+                    done.append((last, tiles))
+                    tiles = {}
+                    if len(done) * raster.cells >= DENSE_CELLS:
+                        yield packed(done)
+                        done = []
+                last = block
+                for b, dtype in dtypes.items():
+                    data = batch.column(b)[i].as_py()
+                    if data is None:
+                        continue
+                    cells = codec.unpack(data, dtype, compressed)
+                    if b in tiles:
+                        tiles[b] = np.where(given(cells, fills[b]), cells, tiles[b])
+                    else:
+                        tiles[b] = cells
+        if last is not None:
+            done.append((last, tiles))
+        if done:
+            yield packed(done)
+
+    rows = stored.select("block", order, *dtypes)
+    sorted_ = rows.repartition("block").sortWithinPartitions("block", order)
+    return sorted_.mapInArrow(run, stored_schema(raster))
+
+
 def missing_blocks(written: DataFrame, expected: int) -> DataFrame:
     """How many of the expected blocks were empty and so not written."""
     return written.agg(F.count("*").alias("written")).select(

@@ -313,3 +313,26 @@ def catalog_roundtrip(spark, sf):
         rows.select("bytes").scalar().alias("bytes"),
         F.lit(table.properties()["version"]).alias("label"),
     )
+
+
+@query(
+    "stream_tiles",
+    sql=f"""
+    SELECT {CELL} AS block, {hex_sql()} AS b1
+    FROM ({dense_sql("b1", levels=True)}) GROUP BY tx, ty, z""",
+)
+def stream_tiles(spark, sf):
+    """Pixels dealt at random over files and appended by a stream: whole tiles at all levels."""
+    folder = fx.scratch(spark)
+    pixels = fx.grid(spark, sf).select("px", "py", "b1")
+    pixels.repartition(3, F.xxhash64("px", "py")).write.parquet(f"{folder}/arriving")
+    source = (
+        spark.readStream.schema(pixels.schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{folder}/arriving")
+    )
+    table = BlockTable(spark, f"{folder}/table")
+    append_stream(
+        source, RASTER, table, f"{folder}/progress", basic_stats=True
+    ).awaitTermination()
+    return table.data().select("block", F.hex("b1").alias("b1"))

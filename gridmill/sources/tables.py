@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from gridmill.errors import IncompatibleTable
 from gridmill.operators import metadata as meta
+from gridmill.operators.tiling import merge_copies
 from gridmill.spec import check_names
 
 MODES = ("error", "overwrite", "append")
@@ -138,7 +139,7 @@ class BlockTable:
     # -- reading -------------------------------------------------------------
 
     def _folders(self, part: str, loads: dict[str, str]) -> list[str]:
-        return [f"{self.path}/{part}/{folder}" for folder in loads.values()]
+        return [f"{self.path}/{part}/{folder}" for folder in dict.fromkeys(loads.values())]
 
     def data(self) -> DataFrame:
         """The data rows ``block, <bands>``, without the metadata row."""
@@ -308,11 +309,55 @@ class BlockTable:
 
     def _merged(self, loads: dict[str, str]) -> str:
         """The merged documents of all loads, in the order in which they were first committed."""
-        places = [(folder, i) for i, folder in enumerate(loads.values())]
-        order = self.spark.createDataFrame(places, "folder string, place int")
+        order = self._order(loads)
         placed = self._documents(loads).join(F.broadcast(order), "folder")
         return meta.merge(placed, "place").first().metadata
 
+    def _order(self, loads: dict[str, str]) -> DataFrame:
+        places = [(folder, i) for i, folder in enumerate(dict.fromkeys(loads.values()))]
+        return self.spark.createDataFrame(places, "folder string, place int")
+
+    def _placed(self, live: dict) -> DataFrame:
+        """The data rows with the ``folder`` of their load."""
+        name = F.regexp_extract("_metadata.file_path", r"/data/([^/]+)/", 1)
+        return self._data(live).select("*", name.alias("folder"))
+
+    def compact(self, raster, compressed: bool = False, load: str | None = None) -> int:
+        """Merge blocks that several loads have (see ``tiling.merge_copies``; later loads win) and
+        return how many folders were written anew: only those that share blocks, with ``load`` only
+        those that share blocks with it. Documents stay as they are, so the counts of blocks and
+        pixels remain those of the loaded extents."""
+        live = self._known()
+        ids = self._placed(live).select("block", "folder")
+        wanted = F.col("n") > 1
+        if load is not None:
+            own = F.col("folder") == live["loads"][load]
+            edge = ids.where(own).agg(F.min("block"), F.max("block")).first()
+            ids = ids.where(F.col("block").between(*edge))
+            wanted &= F.col("touched")
+        else:
+            own = F.lit(True)
+        blocks = ids.groupBy("block").agg(F.count("*").alias("n"), F.max(own).alias("touched"))
+        shared = ids.join(blocks.where(wanted).select("block"), "block", "left_semi")
+        folders = {r["folder"] for r in shared.select("folder").distinct().collect()}
+        if not folders:
+            return 0
+        order = self._order(live["loads"])
+        rows = self._placed(live).where(F.col("folder").isin(list(folders)))
+        rows = rows.join(F.broadcast(order), "folder")
+        folder = f"load=compact-{uuid.uuid4().hex}"
+        some = {k: f for k, f in live["loads"].items() if f in folders}
+        merged = clustered(merge_copies(rows, raster, "place", compressed))
+        try:
+            self._write_load(folder, merged, self._merged(some), None)
+            loads = {k: folder if f in folders else f for k, f in live["loads"].items()}
+            if not self._commit(live["number"] + 1, loads, live["metadata"]):
+                raise OSError(f"Another writer changed {self.path}")
+        except BaseException:
+            self._remove(folder)
+            raise
+        return len(folders)
+
     def _documents(self, loads: dict[str, str]) -> DataFrame:
         """The documents of loads, as rows ``folder, metadata``; rows put in by hand have none."""
         there = [f for f in self._folders("docs", loads) if self._fs(f)[0].exists(self._fs(f)[1])]
@@ -406,6 +451,11 @@ class CatalogTable(BlockTable):
         ours = F.col("load").isin(list(live["loads"].values()))
         return rows.where(ours & (F.col("block") != 0)).drop("metadata", "load")
 
+    def _placed(self, live: dict) -> DataFrame:
+        rows = self.spark.table(self.path).where("block <> 0")
+        ours = F.col("load").isin(list(live["loads"].values()))
+        return rows.where(ours).withColumnRenamed("load", "folder").drop("metadata")
+
     def _documents(self, loads: dict[str, str]) -> DataFrame:
         rows = self.spark.table(self.path).where("block = 0")
         ours = F.col("load").isin(list(loads.values()))

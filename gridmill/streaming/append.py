@@ -20,6 +20,7 @@ def append_stream(
     checkpoint: str,
     name: str | None = None,
     trigger: dict | None = None,
+    compact: bool = True,
     **options,
 ) -> StreamingQuery:
     """Load each micro-batch of a streaming pixel table as one raster.
@@ -28,6 +29,9 @@ def append_stream(
     number name the load, so a batch that is run again after a failure replaces its own rows. The
     stream is named by the id in its checkpoint, unless ``name`` is given; give one only to let a
     stream with a new checkpoint replace what an earlier one loaded.
+
+    With ``compact``, tiles whose pixels come in several batches are merged after each batch, at all
+    levels; only loads that share tiles with the batch are written anew.
     """
 
     def load_batch(batch: DataFrame, number: int) -> None:
@@ -36,7 +40,10 @@ def append_stream(
         context = batch.sparkSession.sparkContext
         stream = name or context.getLocalProperty("sql.streaming.queryId")
         part, moved = window_of(batch, raster)
-        load_raster(moved, part, table, mode="append", load=f"{stream}-{number}", **options)
+        load = f"{stream}-{number}"
+        load_raster(moved, part, table, mode="append", load=load, **options)
+        if compact:
+            table.compact(raster, options.get("compress", False), load)
 
     writer = pixels.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
