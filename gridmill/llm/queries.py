@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import exact, language, mixing, near, pieces, pii, quality, secrets, shards, tokens
+from gridmill.llm import (
+    exact,
+    language,
+    mixing,
+    near,
+    pieces,
+    pii,
+    quality,
+    secrets,
+    shards,
+    tokens,
+)
 from gridmill.llm.common import documents, stage
 from gridmill.scratch import scratch
 
@@ -49,7 +61,58 @@ def _base(names: list[str]) -> Column:
     return F.sha2(_listed(F.filter("spans", lambda s: s["kind"].isin(names))), 256)
 
 
-@query("op2_secret_scan")
+# Matches of one pattern: their places are sums of the lengths of the gaps and matches before them.
+_SPANS = """
+    SELECT doc_id, '{kind}' AS kind, {rank} AS rank, found[i] AS f,
+        list_sum([length(x) FOR x IN gaps[1:i]])
+            + coalesce(list_sum([length(x) FOR x IN found[1:i - 1]]), 0) AS start
+    FROM (SELECT doc_id, found, gaps, unnest(range(1, len(found) + 1)) AS i FROM (
+        SELECT doc_id, regexp_extract_all(body, '{pattern}') AS found,
+            string_split_regex(body, '{pattern}') AS gaps FROM texts))"""
+
+
+def _spans_sql(patterns: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        _SPANS.format(kind=k, rank=i, pattern=p.replace("'", "''"))
+        for i, (k, p) in enumerate(patterns.items())
+    )
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.islower() else c for c in words)
+
+
+_VALUE = r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_OP2_KINDS = {
+    "assign": f"(?:{_either_case('password|passwd|secret|token|api_?key')}){_VALUE}",
+    "access": r"AKIA[A-Z0-9]+",
+    "hex": r"[0-9a-f]+",
+    "github": r"gh[oprsu]_[A-Za-z0-9]{36,}",
+    "slack": r"xox[abprs]-[A-Za-z0-9-]{10,}",
+    "google": r"AIza[A-Za-z0-9_-]{35}",
+    "stripe": r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}",
+    "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+",
+    "keyfile": r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----",
+}
+_OP2 = (
+    "WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents), spans AS ("
+    + _spans_sql(_OP2_KINDS)
+    + f"""), checked AS (
+        SELECT doc_id, kind, rank, start, kind || ':' || start || ':' || (start + length(f)) AS span
+        FROM spans WHERE CASE kind
+            WHEN 'assign' THEN
+                length(regexp_extract(f, '{_OP2_KINDS["assign"].replace("'", "''")}', 1)) >= 6
+            WHEN 'access' THEN length(f) >= 20 WHEN 'hex' THEN length(f) >= 24 ELSE true END)
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+        count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+        sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3), ''))
+            AS base_sha256,
+        coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (kind IS NOT NULL), '') AS spans
+    FROM texts LEFT JOIN checked USING (doc_id) GROUP BY doc_id"""
+)
+
+
+@query("op2_secret_scan", _OP2)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     base = [rule.name for rule in secrets.BASE]
     return secrets.find_secrets(documents(spark, folder)).select(
@@ -131,20 +194,34 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op6_near_dedup")
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
+_OP6 = rf"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+            '[^\x20\x09-\x0D]+') AS w FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w::VARCHAR]
+            ELSE list_distinct([w[i:i + 2]::VARCHAR FOR i IN range(1, len(w) - 1)]) END AS s
+        FROM texts),
+    shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+    links AS (
+        SELECT a.doc_id AS u, b.doc_id AS v FROM shingles a JOIN shingles b USING (x)
+        WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+    reach AS (
+        SELECT doc_id AS u, doc_id AS v FROM texts
+        UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u)
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, component_id = doc_id AS kept
+    FROM sets JOIN (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
+        USING (doc_id)"""
+
+
+@query("op6_near_dedup", _OP6)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     match = near.Match(words=3, percent=85)
     return near.near_duplicates(documents(spark, folder), match).drop("set_id")
 
 
-# Places of matches are sums of the lengths of the gaps and matches before them.
-_OP7_SPANS = """
-    SELECT doc_id, '{kind}' AS kind, {rank} AS rank, found[i] AS f,
-        list_sum([length(x) FOR x IN gaps[1:i]])
-            + coalesce(list_sum([length(x) FOR x IN found[1:i - 1]]), 0) AS start
-    FROM (SELECT doc_id, found, gaps, unnest(range(1, len(found) + 1)) AS i FROM (
-        SELECT doc_id, regexp_extract_all(body, '{pattern}') AS found,
-            string_split_regex(body, '{pattern}') AS gaps FROM texts))"""
 _OP7_KINDS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
@@ -154,9 +231,7 @@ _OP7_KINDS = {
 }
 _OP7 = (
     "WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents), spans AS ("
-    + " UNION ALL ".join(
-        _OP7_SPANS.format(kind=k, rank=i, pattern=p) for i, (k, p) in enumerate(_OP7_KINDS.items())
-    )
+    + _spans_sql(_OP7_KINDS)
     + r"""), digits AS (
         SELECT *, regexp_replace(f, '[^0-9]', '', 'g') AS d, replace(f, ' ', '') AS s FROM spans),
     checked AS (
