@@ -36,6 +36,11 @@ def _to_smallest(edges: DataFrame, both_ways: bool) -> DataFrame:
     )
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """What tells two sets of edges apart."""
+    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 2**40)).first()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of the edges ``u, v``: the smallest node it reaches.
 
@@ -43,11 +48,11 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours, until the edges form stars. Every round is written to the shared folder.
     """
     held = stage(_pairs(edges), "components")
-    mark = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 2**40)).first()
-    before = mark(held)
+    before = _mark(held)
     for _ in range(MOST_ROUNDS):
-        held = stage(_to_smallest(stage(_to_smallest(held, True), "components"), False), "components")
-        after = mark(held)
+        for both_ways in (True, False):
+            held = stage(_to_smallest(held, both_ways), "components")
+        after = _mark(held)
         if after == before:
             break
         before = after

@@ -138,7 +138,9 @@ def make_plan(rows: DataFrame, shards: int = SHARDS) -> Plan:
     )
     dealt = _with_source(rows, sources)
     blocks = dealt.groupBy("sid", "block").agg(
-        F.sum("size").alias("words"), F.first("passes").alias("passes"), F.first("part").alias("part")
+        F.sum("size").alias("words"),
+        F.first("passes").alias("passes"),
+        F.first("part").alias("part"),
     )
     own = Window.partitionBy("sid")
     for epoch in range(MOST_PASSES):

@@ -1,8 +1,8 @@
 """Near duplicates: tensored MinHash tables propose, full shingle sets confirm.
 
-A table key is a pair of short hashes, one from each of two collections of ``m``; the ``m * m`` pairs
-are that many tables at the price of ``2 * m`` short hashes. ``m`` is chosen so that a pair of texts
-just at the threshold shares no key with a probability of at most MISSED.
+A table key is a pair of short hashes, one from each of two collections of ``m``; the ``m * m``
+pairs are that many tables at the price of ``2 * m`` short hashes. ``m`` is chosen so that a pair of
+texts just at the threshold shares no key with a probability of at most MISSED.
 
 1. Equal shingle sets form a class, which its smallest doc_id stands for.
 2. Classes that share a key are screened by the agreement of their MinHash values, which only
@@ -76,13 +76,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _odd(draw: np.random.Generator, count: int) -> np.ndarray:
+    return draw.integers(0, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 class Shingler:
     """Sorted distinct shingle hashes of texts."""
 
     def __init__(self, words: int) -> None:
         self.words = words
         draw = np.random.default_rng(SEED)
-        self.weights = draw.integers(1, 2**63, words + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.weights = _odd(draw, words + 1)
         self.memory = Memory(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words])
 
     def __call__(self, text: bytes) -> np.ndarray:
@@ -112,7 +116,7 @@ def signatures(docs: DataFrame, match: Match, key: str, text: str) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(match.words)
         draw = np.random.default_rng(SEED + 1)
-        factors = draw.integers(1, 2**63, 2 * m * DEEP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        factors = _odd(draw, 2 * m * DEEP)
         terms = draw.integers(0, 2**63, 2 * m * DEEP, dtype=np.uint64)
         for batch in batches:
             sizes, ids, lows = [], [], []
@@ -153,7 +157,9 @@ def signatures(docs: DataFrame, match: Match, key: str, text: str) -> DataFrame:
 def bucket_members(classes: DataFrame, m: int) -> DataFrame:
     """``key, rep`` of every class and table in whose bucket there are others."""
     first = classes.select(
-        "rep", F.posexplode(F.slice("shorts", 1, m)).alias("i", "x"), F.slice("shorts", m + 1, m).alias("y")
+        "rep",
+        F.posexplode(F.slice("shorts", 1, m)).alias("i", "x"),
+        F.slice("shorts", m + 1, m).alias("y"),
     )
     both = first.select("rep", "i", "x", F.posexplode("y").alias("j", "y"))
     keys = both.select(F.xxhash64("i", "j", "x", "y").alias("key"), "rep")
@@ -190,7 +196,7 @@ def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
 
 
 def _forest(n: int, linked) -> list[tuple[int, int]]:
-    """A spanning forest of ``linked(i, others)``: each member looks once at those not yet reached."""
+    """A spanning forest of ``linked(i, others)``; each member looks once at those not reached."""
     left = np.arange(n)
     edges = []
     while len(left) > 1:

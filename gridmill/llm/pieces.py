@@ -48,9 +48,8 @@ class Encoder:
         self.end = self.decoder.eos_id()
         ids = range(self.decoder.get_piece_size())
         names = [self.decoder.id_to_piece(i) for i in ids]
-        self.sizes = np.array(
-            [1 if self.decoder.is_byte(i) else len(n.encode()) for i, n in zip(ids, names, strict=True)]
-        )
+        self.sizes = np.array([len(n.encode()) for n in names])
+        self.sizes[[i for i in ids if self.decoder.is_byte(i)]] = 1
         crossing = any("▁" in n.lstrip("▁") for n in names)
         self.parted = not crossing and any(self.decoder.is_byte(i) for i in ids)
         self.memory = Memory(self.merge)

@@ -104,10 +104,11 @@ KINDS = BASE + ADDED
 
 
 def _placed(found: Column, gaps: Column) -> Column:
-    """The matches in blocks, with their places from the block's start: these are sums of the gaps and matches before them.
+    """The matches in blocks, with their places from the start of their block.
 
-    The sums run over blocks of matches and then over the blocks, because an array that grows by
-    one element at a time is copied as often as it has elements.
+    Places are sums of the gaps and matches before. The sums run over blocks of matches and then
+    over the blocks, because an array that grows by one element at a time is copied as often as it
+    has elements.
     """
     none = F.array().cast("array<struct<start long, end long, found string, near string>>")
     items = F.transform(

@@ -165,7 +165,8 @@ _OP5 = r"""
     rows AS (
         SELECT doc_id, len(w)::BIGINT AS n_words,
             coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars,
-            (length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+            (length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')))::BIGINT
+                AS n_symbols,
             len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
             coalesce(c.n, 0)::BIGINT AS n_repeat_words
         FROM lines LEFT JOIN covered c USING (doc_id)),

@@ -105,15 +105,15 @@ def assign(
     groups = stage(groups, "op8-groups")
     # At most shards * grain * 2 rows, as each has at least half of 1 / grain of a shard's bytes.
     large = groups.where(F.col("bytes") >= least).collect()
-    split = {r["group"]: -(-r["bytes"] * PIECES // capacity) for r in large if r["bytes"] > capacity}
-    whole_ = [(r["group"], r["bytes"]) for r in large if r["group"] not in split]
+    pieces = {
+        r["group"]: -(-r["bytes"] * PIECES // capacity) if r["bytes"] > capacity else 1
+        for r in large
+    }
     bundles = shards * grain
 
     # item: the group itself, a piece of it, or a bundle of small groups.
     spark = rows.sparkSession
-    marks = spark.createDataFrame(
-        [(g, 1) for g, _ in whole_] + list(split.items()), "group long, pieces int"
-    )
+    marks = spark.createDataFrame(list(pieces.items()), "group long, pieces int")
     marked = rows.join(F.broadcast(marks), "group", "left")
     item = (
         F.when(F.col("pieces").isNull(), F.struct(
@@ -141,7 +141,8 @@ def with_slots(rows: DataFrame, shards: int, count: int) -> DataFrame:
     earlier parts are added from the table of their counts.
     """
     parts = max(4, -(-count // (shards * SLOT_ROWS)))
-    rows = rows.withColumn("deal", _hash("slot", F.col("doc_id"), F.col("size"), F.col("text_crc32")))
+    row = [F.col(c) for c in ("doc_id", "size", "text_crc32")]
+    rows = rows.withColumn("deal", _hash("slot", *row))
     rows = rows.withColumn("part", _mod(F.col("deal"), parts))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("shard", "part").count().withColumn(
