@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from gridmill.functions import geo
@@ -10,6 +12,8 @@ from gridmill.operators import metadata, tiling
 from gridmill.plans import fixtures as fx
 from gridmill.plans.registry import query
 from gridmill.sources import pixels as px
+from gridmill.sources import tiff
+from gridmill.sources.tiff_file import encode_tiff, write_file
 from gridmill.spec import pair_bands
 
 
@@ -136,3 +140,37 @@ def resolutions(spark, sf):
             geo.checked_pixel_resolution(F.col("r"), edge, edge).alias("pixel_resolution"),
         )
     )
+
+
+@query(
+    "tiff_scan",
+    sql=f"""
+    SELECT px, py, coalesce(b3, 0) AS third, coalesce(b1, 0) AS band_1
+    FROM (SELECT unnest(range({fx.GRID_WIDTH})) AS px) CROSS JOIN
+        (SELECT unnest(range(height)) AS py FROM v_size) LEFT JOIN v_grid USING (px, py)""",
+)
+def tiff_scan(spark, sf):
+    """Every row of tiles written by a task as a file of three bands; two bands read back."""
+    folder = fx.scratch(spark)
+    raster = fx.plane(fx.B1)
+    pixels = fx.grid(spark, sf).select("px", "py", "b1", "b2", "b3")
+    strips = pixels.withColumn("strip", F.shiftright("py", 6))
+    edges = strips.groupBy("strip").agg((F.max("py") % fx.EDGE + 1).alias("rows"))
+    last = edges.agg(F.max_by("rows", "strip"), F.max("strip")).first()
+
+    def write(key, rows):
+        strip = int(key[0])
+        height = last[0] if strip == last[1] else fx.EDGE
+        bands = [np.zeros((height, fx.GRID_WIDTH), np.uint8) for _ in range(3)]
+        for band, name in zip(bands, ("b1", "b2", "b3"), strict=True):
+            band[rows["py"] % fx.EDGE, rows["px"]] = rows[name]
+        data = encode_tiff(
+            bands, raster.zoom, raster.tile_x0, raster.tile_y0 + strip, fx.EDGE, nodata=0, planar=2
+        )
+        write_file(f"{folder}/{strip}.tif", data)
+        return pd.DataFrame({"size": [len(data)]})
+
+    # A strip has at most 512 x 64 pixels.
+    strips.groupBy("strip").applyInPandas(write, "size long").agg(F.sum("size")).collect()
+    found = tiff.raster_of(tiff.common_profile(spark, folder), ["third", None], [3, 1])
+    return px.pixels_of_tiles(tiff.tiles(spark, folder, found, [3, 1]), found)

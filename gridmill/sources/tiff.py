@@ -58,28 +58,30 @@ TILE_LIST = """path string, position long, samples array<struct<start: long, siz
 SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss", "gcs": "gs"}
 
 
-class RangeReader:
-    """Byte ranges of a file on any file system Arrow knows, under Spark's names or its own.
+def file_system(path: str):
+    """The Arrow file system of a path, under Spark's names or Arrow's own, and the path in it.
 
     Credentials are those that Arrow finds on the executors.
     """
+    from pyarrow import fs
+
+    scheme, mark, rest = path.partition("://")
+    if mark and scheme in SCHEMES:
+        path = f"{SCHEMES[scheme]}://{rest}"
+    elif path.startswith("dbfs:/"):
+        path = "/dbfs/" + path[6:].lstrip("/")
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    if re.match(r"^/[^:]*$", path):
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path)
+
+
+class RangeReader:
+    """Byte ranges of a file on any file system Arrow knows."""
 
     def __init__(self, path: str):
-        from pyarrow import fs
-
-        scheme, mark, rest = path.partition("://")
-        if mark and scheme in SCHEMES:
-            path = f"{SCHEMES[scheme]}://{rest}"
-        elif path.startswith("dbfs:/"):
-            path = "/dbfs/" + path[6:].lstrip("/")
-
-        local = re.match(r"^(file:/*)?(/[^:]*)$", path)
-        if path.startswith("file:"):
-            filesystem, name = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-        elif local:
-            filesystem, name = fs.LocalFileSystem(), path
-        else:
-            filesystem, name = fs.FileSystem.from_uri(path)
+        filesystem, name = file_system(path)
         self.file = filesystem.open_input_file(name)
 
     def __call__(self, start: int, size: int) -> bytes:
