@@ -43,6 +43,7 @@ GROUP = 512
 BROADCAST_ROWS = 1_000_000
 SEED = 5
 ROWS_AT_ONCE = 4096
+REMEMBERED = 150_000  # hashes of words
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,8 @@ class Shingler:
         self.words = words
         draw = np.random.default_rng(SEED)
         self.weights = _odd(draw, words + 1)
-        self.memory = Memory(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words])
+        hashes = lambda words: [xxhash.xxh3_64_intdigest(w) for w in words]
+        self.memory = Memory(hashes, REMEMBERED)
 
     def __call__(self, text: bytes) -> np.ndarray:
         words = text.lower().split()

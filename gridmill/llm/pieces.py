@@ -52,7 +52,7 @@ class Encoder:
         self.sizes[[i for i in ids if self.decoder.is_byte(i)]] = 1
         crossing = any("▁" in n.lstrip("▁") for n in names)
         self.parted = not crossing and any(self.decoder.is_byte(i) for i in ids)
-        self.memory = Memory(self.merge)
+        self.memory = Memory(self.merge, REMEMBERED)
 
     def merge(self, parts: list[str]) -> list[bytes]:
         return [array("i", x).tobytes() for x in self.merger.encode(parts, num_threads=1)]
@@ -85,10 +85,11 @@ def encoder(path: str) -> Encoder:
 def _lists(values: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
     flat = np.concatenate(values) if values else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32, copy=False)))
 
 
-BATCH_CHARS = 1 << 22
+BATCH_CHARS = 1 << 19  # texts whose pieces are held at once
+REMEMBERED = 150_000
 
 
 def encode_pieces(docs: DataFrame, model: str, text: str = "text", keep=("doc_id",)) -> DataFrame:
@@ -100,18 +101,19 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", keep=("doc_id
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(model)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            texts = batch.column(batch.num_columns - 1)
             at = 0
             while at < len(texts):
                 start, held = at, 0
                 ids, begins, ends = [], [], []
                 while at < len(texts) and held < BATCH_CHARS:
-                    own, begin, end = tool.encode(texts[at])
-                    size = len(texts[at].encode())
-                    ids.append(np.r_[own, tool.end])
-                    begins.append(np.r_[begin, size])
-                    ends.append(np.r_[end, size])
-                    held += len(texts[at])
+                    text = texts[at].as_py() or ""
+                    own, begin, end = tool.encode(text)
+                    size = len(text.encode())
+                    ids.append(np.r_[own, tool.end].astype(np.int32))
+                    begins.append(np.r_[begin, size].astype(np.int32))
+                    ends.append(np.r_[end, size].astype(np.int32))
+                    held += len(text)
                     at += 1
                 decoded = tool.decoder.decode([x.tolist() for x in ids], num_threads=1)
                 columns = [
