@@ -7,12 +7,18 @@ texts just at the threshold shares no key with a probability of at most MISSED.
 1. Equal shingle sets form a class, which its smallest doc_id stands for.
 2. Classes that share a key are screened by the agreement of their MinHash values, which only
    drops pairs far below the threshold. A bucket of n classes gives at most n - 1 edges, a spanning
-   forest of all its pairs that pass, so nothing is lost and nothing grows with the pairs.
+   forest of all its pairs that pass, so nothing is lost and nothing grows with the pairs. A bucket
+   of more than BUCKET classes is cut by a salt into parts, joined by some that all parts get; those
+   that are still apart after that are screened once more, over the whole bucket.
 3. The components of these edges are groups outside of which no link can be. Each class is sent to
    its group once, with its full set, and links are confirmed exactly; again a forest of all
-   confirmed links leaves the task. A group of more than GROUP classes is cut into blocks, and every
-   two blocks meet in a task of their own.
-4. The components of the confirmed links are the result.
+   confirmed links leaves the task.
+4. A group of more than GROUP classes is cut by a salt into parts. Some GROUP / 2 of its classes meet
+   every part and so are done with; the rest meet their part only, and a set is copied twice on
+   average. What is linked by then is one, and only classes that still share a key with others, pass
+   the screen with them and are apart go on to the next turn, in groups of their own. After TURNS
+   turns all pairs of blocks of what is left are compared, so no link is lost.
+5. The components of the confirmed links are the result.
 
 A text with fewer words than a shingle is one shingle; one without words (null, empty) has none and
 is linked with nothing. Rows that share a doc_id are one document. A row without a doc_id takes part
@@ -29,7 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmill.llm.common import same, stage
@@ -40,6 +46,9 @@ from gridmill.llm.segments import Memory
 MISSED = 1e-5
 DEEP = 2  # MinHash values in a short hash
 GROUP = 512
+BUCKET = 2048  # classes of one key that one task screens
+SAMPLE = 16  # one class of so many is looked at for large buckets
+TURNS = 12
 BROADCAST_ROWS = 1_000_000
 SEED = 5
 ROWS_AT_ONCE = 4096
@@ -156,15 +165,57 @@ def signatures(docs: DataFrame, match: Match, key: str, text: str) -> DataFrame:
     )
 
 
-def bucket_members(classes: DataFrame, m: int) -> DataFrame:
-    """``key, rep`` of every class and table in whose bucket there are others."""
+def _keys(classes: DataFrame, m: int) -> DataFrame:
+    """``key, rep`` of every class and table."""
     first = classes.select(
         "rep",
         F.posexplode(F.slice("shorts", 1, m)).alias("i", "x"),
         F.slice("shorts", m + 1, m).alias("y"),
     )
     both = first.select("rep", "i", "x", F.posexplode("y").alias("j", "y"))
-    keys = both.select(F.xxhash64("i", "j", "x", "y").alias("key"), "rep")
+    return both.select(F.xxhash64("i", "j", "x", "y").alias("key"), "rep")
+
+
+def large_buckets(classes: DataFrame, m: int) -> DataFrame:
+    """``key, parts`` of the buckets of some BUCKET classes and more, judged by a sample."""
+    some = classes.where(_deal("sample", F.lit(SAMPLE)) == 0)
+    n = _keys(some, m).groupBy("key").agg((F.count(F.lit(1)) * SAMPLE).alias("n"))
+    parts = F.ceil(F.col("n") / (BUCKET // 2)).cast("int")
+    return n.where(F.col("n") > BUCKET).select("key", parts.alias("parts"))
+
+
+def _deal(salt: str, parts: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit(salt), F.col("rep")), parts).cast("int")
+
+
+def _dealt(own: Column, everywhere: Column) -> Column:
+    """The parts a row goes to: all of ``parts``, or its own; -1 where nothing is cut."""
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    return F.explode(
+        F.when(F.col("parts").isNull(), F.array(F.lit(-1)))
+        .when(everywhere, every)
+        .otherwise(F.array(own))
+    )
+
+
+def _small(frame: DataFrame) -> DataFrame:
+    """The written table ``frame``, to be broadcast if it is small enough."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+
+
+def bucket_members(classes: DataFrame, m: int, large: DataFrame | None = None) -> DataFrame:
+    """``key, rep`` of every class and table in whose bucket there are others.
+
+    A bucket of ``large`` is cut into parts, each a bucket with a key of its own.
+    """
+    keys = _keys(classes, m)
+    if large is not None:
+        parts = F.col("parts")
+        keys = keys.join(large, "key", "left").select(
+            "key", "rep", _dealt(_deal("part", parts), _deal("all", parts) == 0).alias("part")
+        )
+        part_key = F.when(F.col("part") < 0, F.col("key")).otherwise(F.xxhash64("key", "part"))
+        keys = keys.select(part_key.alias("key"), "rep")
     count = F.count(F.lit(1)).over(Window.partitionBy("key"))
     return keys.withColumn("n", count).where("n > 1").drop("n")
 
@@ -213,6 +264,30 @@ def _forest(n: int, linked) -> list[tuple[int, int]]:
     return edges
 
 
+def _forest_apart(labels: np.ndarray, near) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that are ``near`` and differ in their labels.
+
+    Those of the most common label are never compared with each other.
+    """
+    names, counts = np.unique(labels, return_counts=True)
+    top = names[counts.argmax()]
+    few, many = np.flatnonzero(labels != top), np.flatnonzero(labels == top)
+    edges = []
+    while len(few):
+        queue, few = [int(few[0])], few[1:]
+        while queue:
+            i = queue.pop()
+            hit = near(i, few) & (labels[few] != labels[i])
+            found, few = few[hit].tolist(), few[~hit]
+            if labels[i] != top:
+                hit = near(i, many)
+                found += many[hit].tolist()
+                many = many[~hit]
+            edges += [(i, j) for j in found]
+            queue += found
+    return edges
+
+
 EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
@@ -224,8 +299,12 @@ def _edge_batch(edges: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def screened(members: DataFrame, match: Match) -> DataFrame:
-    """Edges ``u, v`` that connect, bucket by bucket, all pairs that pass the screen."""
+    """Edges ``u, v`` that connect, bucket by bucket, all pairs that pass the screen.
+
+    If ``members`` have a ``label``, only pairs that differ in it are looked at.
+    """
     least, percent = match.least_agreeing, match.percent
+    labelled = "label" in members.columns
 
     def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches, ["key"]):
@@ -243,12 +322,15 @@ def screened(members: DataFrame, match: Match) -> DataFrame:
                 )
 
             bounds = _bounds(table, ["key"])
+            labels = table.column("label").to_numpy() if labelled else np.arange(len(reps))
             two = bounds[:-1][np.diff(bounds) == 2]
+            two = two[labels[two] != labels[two + 1]]
             hit = two[near(two, two + 1)] if len(two) else two
             edges = [np.stack([reps[hit], reps[hit + 1]], 1)]
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 if b - a > 2:
-                    found = _forest(b - a, lambda i, left, a=a: near(a + i, a + left))
+                    here = lambda i, left, a=a: near(a + i, a + left)
+                    found = _forest_apart(labels[a:b], here) if labelled else _forest(b - a, here)
                     if found:
                         edges.append(reps[a + np.array(found)])
             yield _edge_batch(edges)
@@ -257,6 +339,39 @@ def screened(members: DataFrame, match: Match) -> DataFrame:
     return dealt.mapInArrow(screen, "u long, v long").distinct()
 
 
+def candidate_groups(classes: DataFrame, match: Match) -> DataFrame:
+    """``rep, group``: components of all pairs of classes that share a key and pass the screen."""
+    facts = classes.select("rep", "n_shingles", "agree")
+    large = stage(large_buckets(classes, match.m), "op6-large-buckets")
+    if large.isEmpty():
+        members = bucket_members(classes, match.m).join(facts, "rep")
+        return _grouping(components(screened(members, match)))
+    large = _small(large)
+    members = bucket_members(classes, match.m, large).join(facts, "rep")
+    groups = components(screened(members, match))
+    # The parts of a bucket that nothing has joined yet meet as a whole.
+    labels = _grouping(groups).withColumnRenamed("group", "label")
+    members = stage(
+        _keys(classes, match.m)
+        .join(large, "key", "left_semi")
+        .join(labels, "rep", "left")
+        .withColumn("label", F.coalesce("label", "rep")),
+        "op6-large-members",
+    )
+    apart = members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"))
+    apart = _small(stage(apart.where("a <> b").select("key"), "op6-apart-buckets"))
+    more = screened(members.join(apart, "key", "left_semi").join(facts, "rep"), match)
+    return _grouping(components(_edges(groups).unionByName(more)))
+
+
+def _grouping(found: DataFrame) -> DataFrame:
+    return found.withColumnsRenamed({"node": "rep", "component": "group"})
+
+
+def _edges(found: DataFrame) -> DataFrame:
+    return found.withColumnsRenamed({"node": "u", "component": "v"})
+
+
 def shingle_rows(docs: DataFrame, match: Match, extra: list[str]) -> DataFrame:
     """Per row of ``docs`` (the columns ``extra`` and last ``text``): ``extra`` and ``hashes``."""
     source = docs.select(*extra, "text")
@@ -275,8 +390,10 @@ def shingle_rows(docs: DataFrame, match: Match, extra: list[str]) -> DataFrame:
 
 
 def confirmed(rows: DataFrame, match: Match) -> DataFrame:
-    """Edges ``u, v`` that connect all linked pairs of ``rows`` (group, rep, hashes)."""
-    percent = match.percent
+    """Edges ``u, v`` that connect all linked pairs of ``rows`` (group, rep, hashes).
+
+    In a group of more than GROUP classes every two blocks meet in a task of their own.
+    """
     sizes = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
     large = sizes.where(F.col("n") > GROUP).select(
         "group", F.ceil(F.col("n") / (GROUP // 2)).cast("int").alias("blocks")
@@ -295,9 +412,14 @@ def confirmed(rows: DataFrame, match: Match) -> DataFrame:
         "rep",
         "hashes",
     )
+    return compared(dealt, ["group", "low", "high"], match)
+
+
+def compared(dealt: DataFrame, keys: list[str], match: Match) -> DataFrame:
+    """Edges ``u, v`` that connect all linked pairs of ``dealt`` that agree in ``keys``."""
+    percent = match.percent
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = ["group", "low", "high"]
         for table in _grouped(batches, keys):
             bounds = _bounds(table, keys)
             reps = table.column("rep").to_numpy()
@@ -326,11 +448,72 @@ def confirmed(rows: DataFrame, match: Match) -> DataFrame:
                     edges.append(reps[a + np.array(found)])
             yield _edge_batch(edges)
 
-    keys = ["group", "low", "high"]
     sorted_ = dealt.repartition(*keys).sortWithinPartitions(*keys)
     return sorted_.mapInArrow(confirm, "u long, v long")
 
 
+def _large_groups(left: DataFrame) -> DataFrame:
+    """Groups of more than GROUP classes: ``parts`` to cut them into, their most common label
+    ``top``, and of how many classes with other labels one meets all parts."""
+    labels = left.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
+    groups = labels.groupBy("group").agg(
+        F.sum("n").alias("n"),
+        F.max("n").alias("most"),
+        F.max_by("label", F.struct("n", "label")).alias("top"),
+    )
+    half = GROUP // 2
+    return groups.where(F.col("n") > GROUP).select(
+        "group",
+        F.ceil(F.col("n") / half).cast("int").alias("parts"),
+        "top",
+        F.greatest(F.ceil((F.col("n") - F.col("most")) / half), F.lit(1)).cast("int").alias("deals"),
+    )
+
+
+def linked(sets: DataFrame, classes: DataFrame, match: Match) -> DataFrame:
+    """``node, component`` of all linked pairs of the written table ``sets`` (group, rep, hashes)."""
+    facts = classes.select("rep", "n_shingles", "agree")
+    left = sets.withColumn("label", F.col("rep"))
+    known = None
+    for turn in range(TURNS + 1):
+        large = stage(_large_groups(left), "op6-large-groups")
+        last = turn == TURNS or large.isEmpty()
+        if last:
+            edges = confirmed(left.drop("label"), match)
+        else:
+            everywhere = (F.col("label") != F.col("top")) & (
+                _deal(f"all {turn}", F.col("deals")) == 0
+            )
+            marked = left.join(_small(large), "group", "left")
+            part = _dealt(_deal(f"part {turn}", F.col("parts")), everywhere)
+            dealt = marked.select("group", part.alias("part"), "rep", "hashes")
+            edges = compared(dealt, ["group", "part"], match)
+        known = components(edges if known is None else _edges(known).unionByName(edges))
+        if last:
+            return known
+        # Those that met all of their group are done with, and so is a group that is one by now.
+        labels = _grouping(known).withColumnRenamed("group", "label")
+        open_ = stage(
+            marked.where(F.col("parts").isNotNull() & ~everywhere)
+            .select("group", "rep")
+            .distinct()
+            .join(labels, "rep", "left")
+            .withColumn("label", F.coalesce("label", "rep")),
+            "op6-open",
+        )
+        apart = open_.groupBy("group").agg(F.min("label").alias("a"), F.max("label").alias("b"))
+        apart = _small(stage(apart.where("a <> b").select("group"), "op6-apart"))
+        open_ = open_.join(apart, "group", "left_semi").select("rep", "label")
+        members = bucket_members(classes.join(open_, "rep", "left_semi"), match.m)
+        again = screened(members.join(facts, "rep").join(open_, "rep"), match)
+        groups = _grouping(components(again))
+        left = stage(
+            sets.drop("group").join(groups, "rep").join(open_, "rep")
+            .select("group", "rep", "label", "hashes"),
+            "op6-left",
+        )
+
+
 def near_duplicates(
     docs: DataFrame, match: Match = Match(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -345,15 +528,7 @@ def near_duplicates(
         ),
         "op6-classes",
     )
-    members = bucket_members(classes, match.m).join(
-        classes.select("rep", "n_shingles", "agree"), "rep"
-    )
-    groups = stage(
-        components(screened(members, match)).withColumnsRenamed(
-            {"node": "rep", "component": "group"}
-        ),
-        "op6-groups",
-    )
+    groups = stage(candidate_groups(classes, match), "op6-groups")
     few = groups.count() <= BROADCAST_ROWS
     source = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text"))
     of_groups = source.join(F.broadcast(groups) if few else groups, "rep")
@@ -364,9 +539,7 @@ def near_duplicates(
         .distinct(),
         "op6-sets",
     )
-    links = components(confirmed(sets, match)).withColumnsRenamed(
-        {"node": "rep"}
-    )
+    links = linked(sets, classes, match).withColumnRenamed("node", "rep")
     found = classes.select("set_id", "rep").join(links, "rep", "left").select(
         F.col("set_id").alias("right_id"), F.coalesce("component", "rep").alias("component")
     )

@@ -114,6 +114,66 @@ def test_near_duplicates(docs, rows, match, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"]) for r in found) == sizes
 
 
+def near_families(families, copies, seed):
+    """Texts a word or two from those of their family, families some words from each other."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(120)]
+    out = []
+    for f in range(families):
+        own = list(base)
+        for at in range(f, 120, 24):
+            own[at] = f"f{f}x{at}"
+        for c in range(copies):
+            own[rng.integers(120)] = f"c{f}x{c}"
+            out.append(" ".join(own))
+    return [(int(i), out[k]) for i, k in enumerate(rng.permutation(len(out)))]
+
+
+@pytest.mark.parametrize("turns", [near.TURNS, 1])
+def test_large_groups_are_compared_in_few_copies(spark, monkeypatch, turns):
+    monkeypatch.setattr(near, "GROUP", 16)
+    monkeypatch.setattr(near, "BUCKET", 16)
+    monkeypatch.setattr(near, "SAMPLE", 1)
+    monkeypatch.setattr(near, "TURNS", turns)
+    dealt, compared = [], near.compared
+
+    def counted(rows, keys, match):
+        dealt.append((keys, rows.count()))
+        return compared(rows, keys, match)
+
+    monkeypatch.setattr(near, "compared", counted)
+    given = near_families(5, 40, 3)
+    match = near.Match(3, 85)
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(docs, match).collect()}
+    wanted = plain_components(given, 3, 85)
+    assert found == wanted
+    assert 1 < len(set(wanted.values())) < 100
+    # A text goes to its part, or to all of them if it is among the few that do.
+    assert dealt[0][0] == ["group", "part"] and dealt[0][1] <= 3 * len(given)
+
+
+def test_forest_of_pairs_with_other_labels():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        n = 30
+        labels, places = rng.integers(0, 4, n), rng.integers(0, 60, n)
+        near_ = lambda i, left: abs(places[i] - places[left]) <= 2
+        edges = near._forest_apart(labels, near_)
+        pairs = [(i, j) for i in range(n) for j in range(i)
+                 if abs(places[i] - places[j]) <= 2 and labels[i] != labels[j]]
+        plain = lambda edges: _joined(n, edges)
+        assert plain(edges) == plain(pairs) and set(edges) <= {*pairs, *[(j, i) for i, j in pairs]}
+
+
+def _joined(n, edges):
+    label = list(range(n))
+    for i, j in edges:
+        low, high = sorted((label[i], label[j]))
+        label = [low if x == high else x for x in label]
+    return label
+
+
 def test_one_of_each_group_stays(docs, rows):
     unique = near.unique_documents(docs)
     assert unique.columns == docs.columns
