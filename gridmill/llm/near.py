@@ -184,6 +184,17 @@ def large_buckets(classes: DataFrame, m: int) -> DataFrame:
     return n.where(F.col("n") > BUCKET).select("key", parts.alias("parts"))
 
 
+def _rank(salt: str) -> Column:
+    """A hash of 62 bits. The first of a bucket or part is the hub of its forest; as the same ranks
+    hold in all of them, they share their hubs and with these most of their edges."""
+    return F.xxhash64(F.lit(salt), F.col("rep")).bitwiseAND(F.lit((1 << 62) - 1))
+
+
+def _first(salt: str, parts: Column) -> Column:
+    """Whether a row is of the part with the lowest ranks, of so many parts."""
+    return _rank(salt) < F.floor(F.lit(1 << 62) / parts)
+
+
 def _deal(salt: str, parts: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(salt), F.col("rep")), parts).cast("int")
 
@@ -212,7 +223,7 @@ def bucket_members(classes: DataFrame, m: int, large: DataFrame | None = None) -
     if large is not None:
         parts = F.col("parts")
         keys = keys.join(large, "key", "left").select(
-            "key", "rep", _dealt(_deal("part", parts), _deal("all", parts) == 0).alias("part")
+            "key", "rep", _dealt(_deal("part", parts), _first("all", parts)).alias("part")
         )
         part_key = F.when(F.col("part") < 0, F.col("key")).otherwise(F.xxhash64("key", "part"))
         keys = keys.select(part_key.alias("key"), "rep")
@@ -335,7 +346,7 @@ def screened(members: DataFrame, match: Match) -> DataFrame:
                         edges.append(reps[a + np.array(found)])
             yield _edge_batch(edges)
 
-    dealt = members.repartition("key").sortWithinPartitions("key")
+    dealt = members.repartition("key").sortWithinPartitions("key", _rank("all"))
     return dealt.mapInArrow(screen, "u long, v long").distinct()
 
 
@@ -360,6 +371,8 @@ def candidate_groups(classes: DataFrame, match: Match) -> DataFrame:
     )
     apart = members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"))
     apart = _small(stage(apart.where("a <> b").select("key"), "op6-apart-buckets"))
+    if apart.isEmpty():
+        return labels.withColumnRenamed("label", "group")
     more = screened(members.join(apart, "key", "left_semi").join(facts, "rep"), match)
     return _grouping(components(_edges(groups).unionByName(more)))
 
@@ -415,7 +428,7 @@ def confirmed(rows: DataFrame, match: Match) -> DataFrame:
     return compared(dealt, ["group", "low", "high"], match)
 
 
-def compared(dealt: DataFrame, keys: list[str], match: Match) -> DataFrame:
+def compared(dealt: DataFrame, keys: list[str], match: Match, salt: str = "all") -> DataFrame:
     """Edges ``u, v`` that connect all linked pairs of ``dealt`` that agree in ``keys``."""
     percent = match.percent
 
@@ -448,7 +461,7 @@ def compared(dealt: DataFrame, keys: list[str], match: Match) -> DataFrame:
                     edges.append(reps[a + np.array(found)])
             yield _edge_batch(edges)
 
-    sorted_ = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    sorted_ = dealt.repartition(*keys).sortWithinPartitions(*keys, _rank(salt))
     return sorted_.mapInArrow(confirm, "u long, v long")
 
 
@@ -482,12 +495,12 @@ def linked(sets: DataFrame, classes: DataFrame, match: Match) -> DataFrame:
             edges = confirmed(left.drop("label"), match)
         else:
             everywhere = (F.col("label") != F.col("top")) & (
-                _deal(f"all {turn}", F.col("deals")) == 0
+                _first(f"all {turn}", F.col("deals"))
             )
             marked = left.join(_small(large), "group", "left")
             part = _dealt(_deal(f"part {turn}", F.col("parts")), everywhere)
             dealt = marked.select("group", part.alias("part"), "rep", "hashes")
-            edges = compared(dealt, ["group", "part"], match)
+            edges = compared(dealt, ["group", "part"], match, f"all {turn}")
         known = components(edges if known is None else _edges(known).unionByName(edges))
         if last:
             return known
@@ -503,9 +516,13 @@ def linked(sets: DataFrame, classes: DataFrame, match: Match) -> DataFrame:
         )
         apart = open_.groupBy("group").agg(F.min("label").alias("a"), F.max("label").alias("b"))
         apart = _small(stage(apart.where("a <> b").select("group"), "op6-apart"))
+        if apart.isEmpty():
+            return known
         open_ = open_.join(apart, "group", "left_semi").select("rep", "label")
         members = bucket_members(classes.join(open_, "rep", "left_semi"), match.m)
-        again = screened(members.join(facts, "rep").join(open_, "rep"), match)
+        again = stage(screened(members.join(facts, "rep").join(open_, "rep"), match), "op6-again")
+        if again.isEmpty():
+            return known
         groups = _grouping(components(again))
         left = stage(
             sets.drop("group").join(groups, "rep").join(open_, "rep")

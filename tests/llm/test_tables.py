@@ -137,9 +137,9 @@ def test_large_groups_are_compared_in_few_copies(spark, monkeypatch, turns):
     monkeypatch.setattr(near, "TURNS", turns)
     dealt, compared = [], near.compared
 
-    def counted(rows, keys, match):
+    def counted(rows, keys, *more):
         dealt.append((keys, rows.count()))
-        return compared(rows, keys, match)
+        return compared(rows, keys, *more)
 
     monkeypatch.setattr(near, "compared", counted)
     given = near_families(5, 40, 3)
