@@ -14,8 +14,11 @@ from gridmill.llm import (
     language,
     mixing,
     near,
+    passages,
+    phrases,
     pieces,
     pii,
+    prefixes,
     quality,
     secrets,
     shards,
@@ -304,3 +307,122 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     rows = language.identify(documents(spark, folder))
     return rows.select("doc_id", "held_out", "lang_pred", "score")
+
+
+_OP11 = r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS row, doc_id,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    wins AS (
+        SELECT row, doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM (
+            SELECT row, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM texts)),
+    least AS (SELECT win, min(doc_id) AS least FROM wins GROUP BY win),
+    hit AS (SELECT row, i FROM wins JOIN least USING (win) WHERE least < doc_id),
+    gone AS (SELECT DISTINCT row, i + j AS p FROM hit, (SELECT unnest(range(13)) AS j)),
+    words AS (SELECT row, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM texts),
+    kept AS (
+        SELECT row, string_agg(x, ' ' ORDER BY p) AS body
+        FROM words ANTI JOIN gone USING (row, p) GROUP BY row),
+    counts AS (SELECT row, count(*) AS n, min(p) - 1 AS first FROM gone GROUP BY row)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+        sha256(coalesce(body, '')) AS kept_sha256, first::BIGINT AS first_removed
+    FROM texts LEFT JOIN counts USING (row) LEFT JOIN kept USING (row)"""
+
+
+@query("op11_repeated_passages", _OP11)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, folder))
+
+
+_OP12 = rf"""
+    WITH texts AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM texts),
+    grams AS (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+            SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+            FROM pieces, (SELECT unnest([1, 2, 3]) AS k))),
+    counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
+    totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+    candidates AS (
+        SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w
+        FROM counts WHERE k > 1 AND f >= 10),
+    cuts AS (
+        SELECT c.*, j, array_to_string(w[1:j], ' ') AS p, array_to_string(w[j + 1:], ' ') AS q
+        FROM candidates c, (SELECT unnest([1, 2]) AS j) WHERE j < size),
+    scores AS (
+        SELECT cuts.*, x.f AS l, y.f AS r,
+            (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM cuts JOIN counts x ON x.lang = cuts.lang AND x.phrase = p
+        JOIN counts y ON y.lang = cuts.lang AND y.phrase = q),
+    lowest AS (
+        SELECT * FROM scores
+        QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    longer AS (
+        SELECT lang, phrase, max(a) AS longest FROM (
+            SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')])
+                AS phrase FROM candidates WHERE size = 3) GROUP BY lang, phrase)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+        phrase, a, l, r, n, score, j AS k
+    FROM lowest LEFT JOIN longer USING (lang, phrase) JOIN totals USING (lang)
+    WHERE longest IS NULL OR 100 * longest < 50 * a
+    QUALIFY rank <= 2000"""
+
+
+@query("op12_phrases", _OP12)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(documents(spark, folder))
+
+
+# The remainder of the CRC-32 of a number's decimal digits, bit by bit.
+_CRC = """
+    (xor(list_reduce(list_prepend(4294967295::BIGINT,
+        [ord(x)::BIGINT FOR x IN string_split(c::VARCHAR, '')]),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), [i::BIGINT FOR i IN range(8)]),
+            lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT)
+                ELSE v >> 1 END)), 4294967295::BIGINT) % 9)"""
+_OP13 = f"""
+    WITH turns AS (
+        SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                coalesce(text, '')) AS p
+        FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (SELECT c, c - c % 5 AS base, {_CRC} AS h FROM (SELECT DISTINCT c FROM turns)),
+    rebuilt AS (
+        SELECT convs.c, p, role, text FROM convs JOIN turns ON turns.c = base AND p <= h
+        UNION ALL
+        SELECT convs.c, p, role, text FROM convs JOIN turns ON turns.c = convs.c AND p > h),
+    seqs AS (
+        SELECT c, coalesce(s, []) AS s FROM convs LEFT JOIN (
+            SELECT c, list({{'role': role, 'text': text}} ORDER BY p) AS s FROM rebuilt GROUP BY c)
+        USING (c)),
+    members AS (
+        SELECT c, d, s[1:d]::VARCHAR AS k, len(s) = d AS last,
+            CASE WHEN d > 0 THEN strlen(s[d].text) ELSE 0 END AS bytes
+        FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seqs)),
+    nodes AS (
+        SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+            sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), ''))
+                AS ends_sha256 FROM members GROUP BY d, k),
+    family AS (
+        SELECT m.d, m.k, count(*) AS n_children FROM nodes n
+        JOIN members m ON m.c = n.conv_id AND m.d = n.d - 1 GROUP BY m.d, m.k),
+    full_ AS (
+        SELECT nodes.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * bytes AS saved
+        FROM nodes LEFT JOIN family USING (d, k)),
+    below AS (
+        SELECT m.d, m.k, count(*) FILTER (n.n_children = 0) AS n_leaves,
+            sum(saved)::BIGINT AS saved_tokens FROM full_ n
+        JOIN members m ON m.c = n.conv_id AND m.d <= n.d GROUP BY m.d, m.k)
+    SELECT f.conv_id, f.d::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+        n_leaves, saved_tokens, f.ends_sha256
+    FROM full_ f JOIN below USING (d, k)
+    LEFT JOIN members m ON m.c = f.conv_id AND m.d = f.d - 1
+    LEFT JOIN nodes up ON up.d = m.d AND up.k = m.k"""
+
+
+@query("op13_prefix_trie", _OP13)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.prefix_trie(spark.read.parquet(f"{folder}/conversations.parquet"))
