@@ -1,8 +1,7 @@
 """Band statistics: moments, "lower" quantiles, most common values, and samples.
 
-Everything but the quantiles of wide types is one aggregation with partial sums on the map side.
-Quantiles of wide types are found by narrowing value ranges, so no task ever holds or orders a
-whole band.
+Moments are one aggregation with partial sums on the map side. Exact records come from counts by
+the leading bits of the values (see ``radix``), so no task ever holds or orders a whole band.
 """
 
 from __future__ import annotations
@@ -10,12 +9,12 @@ from __future__ import annotations
 import math
 import warnings
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.functions.nodata import finite, valid, valid_in_all
+from gridmill.functions.nodata import counted, finite, valid_in_all
+from gridmill.operators import radix
 from gridmill.spec import Band, Raster, item_size
 
 # Quantile groups, list lengths and sample size.
@@ -24,8 +23,6 @@ TOP_VALUES_EXACT = 100
 TOP_VALUES_SAMPLED = 10
 SAMPLE_SIZE = 1000
 
-# Slices a value range is cut into per pass.
-RANGE_SLICES = 8192
 # A sampled pixel's hash is two numbers below a prime; how many times n to look for at first.
 HASH_PRIME = 2147483647
 HASH_RANGE = HASH_PRIME * HASH_PRIME
@@ -35,12 +32,6 @@ SAMPLE_MARGIN = 10
 # -- moments -------------------------------------------------------------------
 
 
-def counted(raster: Raster, name: str) -> Column:
-    """Pixels that enter the statistics: valid and a number."""
-    ok = valid(raster, name)
-    return ok & ~F.isnan(F.col(name)) if raster.band(name).is_float else ok
-
-
 def whole_sum(value: Column, bits: int) -> Column:
     """Exact sum of whole numbers of that many bits, as a double.
 
@@ -133,9 +124,14 @@ def histogram(pixels: DataFrame, raster: Raster, bands: list[Band], kind: str) -
     return values.groupBy("name", "v").agg(F.count("*").alias("n"))
 
 
-def top_values(pixels: DataFrame, raster: Raster, n: int = TOP_VALUES_EXACT) -> DataFrame:
+def top_values(
+    pixels: DataFrame,
+    raster: Raster,
+    n: int = TOP_VALUES_EXACT,
+    bands: list[Band] | None = None,
+) -> DataFrame:
     """The n most common values of each whole-number band; equal counts go by value."""
-    bands = [b for b in raster.bands if not b.is_float]
+    bands = bands or [b for b in raster.bands if not b.is_float]
     if not bands:
         raise ValueError("Most common values need a whole-number band")
     hist = histogram(pixels, raster, bands, whole_kind(bands)).withColumnRenamed("n", "count")
@@ -157,144 +153,20 @@ def quantile_ranks(count: int) -> list[tuple[int, int, int]]:
     return [(i, j, math.floor((count - 1) * (j / i))) for i, j in quantile_pairs()]
 
 
-def band_ranges(pixels: DataFrame, raster: Raster) -> dict[str, tuple]:
-    """Count, smallest and largest value of each band's counted pixels, in the band's own type."""
-    cells = []
-    for name in raster.names:
-        value = F.when(counted(raster, name), F.col(name))
-        cells.append(F.struct(F.count(value), F.min(value), F.max(value)).alias(name))
-    return {name: tuple(cell) for name, cell in pixels.agg(*cells).first().asDict().items()}
-
-
-def quantiles(
-    pixels: DataFrame,
-    raster: Raster,
-    ranges: dict[str, tuple] | None = None,
-) -> DataFrame:
+def quantiles(pixels: DataFrame, raster: Raster) -> DataFrame:
     """Rows ``name, parts, part, value``: the value at rank floor((n-1)*part/parts).
 
-    ``ranges`` are those of :func:`band_ranges`, if the caller has them. Bands of 8 and 16 bits go
-    by their value histogram, which has at most 65,536 rows; wider ones by narrowing ranges.
-    """
-    ranges = ranges or band_ranges(pixels, raster)
-    whole = [b for b in raster.bands if not b.is_float]
-    real = [b for b in raster.bands if b.is_float]
-    parts = []
-    for bands, kind in ((whole, whole_kind(whole)), (real, "double")):
-        few, many = [], []
-        for band in bands:
-            count = ranges[band.name][0]
-            if count:
-                bounded = not band.is_float and item_size(band.dtype) <= 2
-                (few if bounded else many).append(band)
-        targets = {
-            b.name: [(b.name, *t) for t in quantile_ranks(ranges[b.name][0])] for b in few + many
-        }
-        if few:
-            # The most common values are read off the same histogram; Spark shuffles it once.
-            hist = histogram(pixels, raster, few if many else bands, kind)
-            parts.append(_ranks_by_histogram(hist, sum((targets[b.name] for b in few), [])))
-        if many:
-            values = band_values(pixels, raster, [b.name for b in many], kind)
-            edges = [(b.name, *ranges[b.name][1:]) for b in many]
-            wanted = sum((targets[b.name] for b in many), [])
-            parts.append(_ranks_by_narrowing(values, edges, wanted, kind))
-    parts = [p.withColumn("value", F.col("value").cast("double")) for p in parts]
-    if not parts:
-        schema = "name string, parts int, part int, value double"
-        return pixels.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _target_frame(spark, targets, extra=""):
-    """At most 170 targets per band: a bounded frame to broadcast."""
-    schema = f"name string, {extra}parts int, part int, rank long"
-    return F.broadcast(spark.createDataFrame(targets, schema))
-
-
-def _running(hist: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Add the ranks a row covers: from ``before`` up to, without, ``after``."""
-    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy(order))
-    return hist.withColumn("after", upto).withColumn("before", F.col("after") - F.col("n"))
-
-
-HIT = "rank >= before AND rank < after"
-
-
-def _ranks_by_histogram(hist: DataFrame, targets) -> DataFrame:
-    """Values at the target ranks, by a running count over the value histogram of each band."""
-    # Ranks fall into about a thousand slots; a row meets only the targets in its own slots.
-    shift = max(0, max(t[-1] for t in targets).bit_length() - 10)
-    covered = F.sequence(F.shiftright("before", shift), F.shiftright(F.col("after") - 1, shift))
-    ranked = _running(hist, ["name"], "v").withColumn("slot", F.explode(covered))
-    slotted = [(name, rank >> shift, i, j, rank) for name, i, j, rank in targets]
-    wanted = _target_frame(hist.sparkSession, slotted, "slot long, ")
-    found = ranked.join(wanted, ["name", "slot"]).where(HIT)
-    return found.select("name", "parts", "part", F.col("v").alias("value"))
-
-
-def _slice(v: Column, lo: Column, hi: Column, kind: str) -> Column:
-    """Slice of the range lo..hi that holds v. Never decreases with v; lo and hi always differ."""
-    last = F.lit(RANGE_SLICES - 1)
-    if kind == "double":
-        # Halves keep the span of the largest doubles finite.
-        span = hi / 2 - lo / 2
-        at = F.when(span > 0, F.floor((v / 2 - lo / 2) / span * RANGE_SLICES).cast("int"))
-        at = F.least(at, last)
-    else:
-        at = F.floor((v - lo) * RANGE_SLICES / (hi - lo + 1)).cast("int")
-    return F.when(v <= lo, F.lit(0)).when(v >= hi, last).otherwise(F.coalesce(at, last))
-
-
-def _ranks_by_narrowing(values: DataFrame, edges, targets, kind: str) -> DataFrame:
-    """Values at the target ranks, by counting ever narrower slices of the value range.
-
-    Each pass is a scan with map-side counts; what comes back to the driver and is broadcast for
-    the next pass is at most one row per target. A slice whose values are all equal settles its
-    targets. Every pass makes the slices some thousand times narrower, so values of one magnitude
-    take two or three; values spread over very many magnitudes take more.
+    By counting 16 bits of the values a scan (see ``radix``): one scan for bands of 8 and 16 bits,
+    at most four for any.
     """
-    spark = values.sparkSession
-    at = values.join(F.broadcast(_edge_frame(spark, edges, kind)), "name")
-    open_targets = [(name, 0, i, j, rank) for name, i, j, rank in targets]
-    done = []
-    while open_targets:
-        sliced = at.withColumn("slice", _slice(F.col("v"), F.col("lo"), F.col("hi"), kind))
-        counts = sliced.groupBy("name", "node", "slice").agg(
-            F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-        )
-        wanted = _target_frame(spark, open_targets, "node int, ")
-        counts = _running(counts, ["name", "node"], "slice")
-        hits = counts.join(wanted, ["name", "node"]).where(HIT).collect()
-
-        done += [(h.name, h.parts, h.part, h.lo) for h in hits if h.lo == h.hi]
-        left = {(h.name, h.node, h.slice): h for h in hits if h.lo != h.hi}
-        number = {key: k for k, key in enumerate(sorted(left))}
-        open_targets = [
-            (h.name, number[h.name, h.node, h.slice], h.parts, h.part, h.rank - h.before)
-            for h in hits
-            if h.lo != h.hi
-        ]
-        if not open_targets:
-            break
-        schema = f"name string, node int, slice int, next int, lo {kind}, hi {kind}"
-        rows = [(*key, number[key], h.lo, h.hi) for key, h in left.items()]
-        chosen = F.broadcast(spark.createDataFrame(rows, schema))
-        at = sliced.drop("lo", "hi").join(chosen, ["name", "node", "slice"])
-        at = at.select("name", "v", F.col("next").alias("node"), "lo", "hi")
-    return _found_frame(spark, done, kind)
-
-
-def _edge_frame(spark, edges, kind):
-    def number(value):
-        return {"double": float, "long": int}.get(kind, Decimal)(value)
-
-    rows = [(name, 0, number(lo), number(hi)) for name, lo, hi in edges]
-    return spark.createDataFrame(rows, f"name string, node int, lo {kind}, hi {kind}")
-
-
-def _found_frame(spark, rows, kind):
-    return spark.createDataFrame(rows, f"name string, parts int, part int, value {kind}")
+    records, _ = radix.band_records(pixels, raster, quantile_ranks)
+    rows = [
+        (raster.bands[i].name, parts, part, value)
+        for i, record in records.items()
+        for (parts, part), value in record.quantiles.items()
+    ]
+    schema = "name string, parts int, part int, value double"
+    return pixels.sparkSession.createDataFrame(rows, schema)
 
 
 def quantile_lists(found: DataFrame) -> DataFrame:
@@ -424,12 +296,11 @@ def band_stats(
     drawn once for all bands.
     """
     whole = [b.name for b in raster.bands if not b.is_float]
-    sample = None
-    if exact:
-        # One row per band: kept as a local frame, so that the pixels are read for it once.
+    top_type = f"map<{whole_kind(b for b in raster.bands if not b.is_float)}, long>"
+    if exact and not basic:
+        record = exact_records(pixels, raster, top_type)
+    elif exact:
         record = moments(pixels, raster)
-        rows = record.collect()
-        record = pixels.sparkSession.createDataFrame(rows, record.schema)
     else:
         sample = drawn_sample(pixels, raster, seed, sample_size)
         totals = sample_sums(sample, raster)
@@ -438,33 +309,22 @@ def band_stats(
             {c: F.coalesce(c, F.lit(0.0)) for c in ("sum", "sum_squares")}
             | {"count": F.coalesce("count", F.lit(0).cast("long"))}
         )
-    quantile_type = "map<int, array<double>>"
-    top_type = f"map<{whole_kind(b for b in raster.bands if not b.is_float)}, long>"
     if basic:
         record = record.withColumns(
             {
-                "quantiles": F.lit(None).cast(quantile_type),
+                "quantiles": F.lit(None).cast("map<int, array<double>>"),
                 "top_values": F.lit(None).cast(top_type),
             }
         )
-    else:
-        if exact:
-            ranges = {r.name: (r["count"], r.min, r.max) for r in rows}
-            if any(not b.is_float and item_size(b.dtype) == 8 for b in raster.bands):
-                ranges = None  # as doubles, the ends of 64-bit ranges are not exact
-            lists = quantile_lists(quantiles(pixels, raster, ranges))
-            tops = top_lists(top_values(pixels, raster)) if whole else None
+    elif not exact:
+        record = record.join(quantile_lists(sample_quantiles(sample, raster)), "name", "left")
+        if whole:
+            tops = top_lists(sample_top_values(sample, raster))
+            record = record.join(tops, "name", "left")
         else:
-            lists = quantile_lists(sample_quantiles(sample, raster))
-            tops = top_lists(sample_top_values(sample, raster)) if whole else None
-        record = record.join(lists, "name", "left")
-        if tops is None:
             record = record.withColumn("top_values", F.lit(None).cast(top_type))
-        else:
-            record = record.join(tops, "name", "left")
-        if not exact:
-            empty = F.create_map().cast(top_type)
-            record = record.withColumn("top_values", F.coalesce("top_values", empty))
+        empty = F.create_map().cast(top_type)
+        record = record.withColumn("top_values", F.coalesce("top_values", empty))
     return record.select(
         "position", "name", "min", "max", "mean", "stddev", "sum", "sum_squares", "count",
         "quantiles", "top_values", F.lit(version).alias("version"),
@@ -472,6 +332,47 @@ def band_stats(
     )
 
 
+def exact_records(pixels: DataFrame, raster: Raster, top_type: str) -> DataFrame:
+    """Exact records of all bands as a local frame: at most 170 quantiles and 100 values a band.
+
+    Bands of up to 16 bits take one scan for everything. Wider ones are scanned up to three times
+    more for their quantiles, and wide whole-number bands once for their most common values.
+    """
+    records, _ = radix.band_records(pixels, raster, quantile_ranks, TOP_VALUES_EXACT)
+    tops = {raster.bands[i].name: dict(r.tops) for i, r in records.items()}
+    wide = [b for b in raster.bands if not b.is_float and radix.key_bits(b) > radix.DIGIT]
+    if wide:
+        found = top_values(pixels, raster, bands=wide).orderBy("name", "rank").collect()
+        for r in found:
+            tops.setdefault(r["name"], {})[int(r["value"])] = r["count"]
+    decimal = "decimal" in top_type
+    rows = []
+    for i, band in enumerate(raster.bands):
+        if i not in records:
+            rows.append((i, band.name, *[None] * 4, 0.0, 0.0, 0, None, None))
+            continue
+        m, lists = records[i].moments, None
+        lists = [
+            (parts, [records[i].quantiles[parts, k] for k in range(1, parts)])
+            for parts in QUANTILE_GROUPS
+        ]
+        own = [(Decimal(v) if decimal else v, n) for v, n in tops.get(band.name, {}).items()]
+        rows.append(
+            (i, band.name, m["min"], m["max"], m["mean"], m["stddev"], m["sum"], m["sum_squares"],
+             m["count"], lists, None if band.is_float else own)
+        )
+    kind = "decimal(20,0)" if decimal else "long"
+    found = pixels.sparkSession.createDataFrame(
+        rows,
+        "position int, name string, min double, max double, mean double, stddev double, "
+        "sum double, sum_squares double, count long, "
+        "quantiles array<struct<parts int, list array<double>>>, "
+        f"top_values array<struct<value {kind}, count long>>",
+    )
+    # Maps made here keep the order of their entries.
+    return found.withColumns({c: F.map_from_entries(c) for c in ("quantiles", "top_values")})
+
+
 def drawn_sample(
     pixels: DataFrame, raster: Raster, seed: int = 0, n: int = SAMPLE_SIZE
 ) -> DataFrame:

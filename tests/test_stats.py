@@ -1,12 +1,13 @@
 import math
 import warnings
+from decimal import Decimal
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridmill import Band, Raster
-from gridmill.operators import stats
+from gridmill.operators import radix, stats
 
 
 def table(spark, **bands):
@@ -194,3 +195,80 @@ def test_sparse_moments_are_those_of_all_pixels(spark):
     assert record["mean"] == pytest.approx(32)
     assert record["count"] == stats.SAMPLE_SIZE
     assert stats.band_stats(pixels, r, basic=True, sample_size=40).first()["count"] == 40
+
+
+def test_passes_are_bounded(spark):
+    """Values over all magnitudes take as many scans as any other doubles: four at most."""
+    values = np.concatenate(
+        [10.0 ** RNG.uniform(-300, 300, 3000), -(10.0 ** RNG.uniform(-300, 300, 3000)), [0.0, -0.0]]
+    )
+    small = np.clip(values, -3e38, 3e38).astype(np.float32)
+    pixels = table(
+        spark,
+        f=("double", values.tolist()),
+        s=("float", small.tolist()),
+        b=("short", [i % 256 for i in range(len(values))]),
+    )
+    r = raster(Band("f", "float64"), Band("s", "float32"), Band("b"))
+    records, scans = radix.band_records(pixels, r, stats.quantile_ranks)
+    assert scans <= 4
+    assert records[0].quantiles == numpy_quantiles(values)
+    assert records[1].quantiles == numpy_quantiles(small)
+    assert radix.band_records(pixels, r.select("s"), stats.quantile_ranks)[1] <= 2
+    assert radix.band_records(pixels, r.select("b"), stats.quantile_ranks)[1] == 1
+
+
+def test_keys_sort_as_values():
+    for dtype, name in (("float32", "float32"), ("float64", "float64")):
+        edge = np.finfo(dtype)
+        odd = [-np.inf, edge.min, -1.5, -edge.tiny, 0.0, edge.tiny, 1.5, edge.max, np.inf]
+        values = np.array(odd, dtype)
+        keys = radix.keys_of(values)
+        assert (np.diff(keys) > 0).all()
+        assert (radix.values_of(keys, Band("x", name)) == values).all()
+
+
+def test_one_scan_for_narrow_bands(spark, tmp_path):
+    """Everything about bands of up to 16 bits comes from one scan of the pixels."""
+    path = str(tmp_path / "pixels")
+    table(
+        spark,
+        b=("short", [i % 256 for i in range(4000)]),
+        w=("short", [i % 3000 - 1500 for i in range(4000)]),
+    ).write.parquet(path)
+    pixels = spark.read.parquet(path)
+    r = raster(Band("b"), Band("w", "int16", nodata=0))
+    plan = radix.first_pass(pixels, r, stats.quantile_ranks, 100)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1
+    records, scans = radix.band_records(pixels, r, stats.quantile_ranks, 100)
+    assert scans == 1
+    w = np.array([v for v in (i % 3000 - 1500 for i in range(4000)) if v])
+    assert records[1].quantiles == numpy_quantiles(w)
+    m = records[1].moments
+    assert (m["count"], m["sum"], m["sum_squares"]) == (len(w), w.sum(), (w * w).sum())
+    assert m["stddev"] == pytest.approx(w.std()) and m["mean"] == pytest.approx(w.mean())
+    values, counts = np.unique(w, return_counts=True)
+    order = np.lexsort((values, -counts))[:100]
+    assert records[1].tops == [(int(values[i]), int(counts[i])) for i in order]
+
+
+@pytest.mark.parametrize("dtype, kind", [("int32", "int"), ("uint64", "decimal(20,0)")])
+def test_exact_records_of_wide_bands(spark, dtype, kind):
+    edge = np.iinfo(dtype)
+    values = [edge.max - i % 7 for i in range(2000)] + [edge.min + 1 + i for i in range(50)]
+    given = [Decimal(v) for v in values] if "decimal" in kind else values
+    r = raster(Band("v", dtype), width=100, height=30)
+    row = stats.band_stats(table(spark, v=(kind, given)), r, exact=True).first()
+    assert row["sum"] == float(sum(values)) and row["count"] == 2050
+    assert row["sum_squares"] == pytest.approx(float(sum(v * v for v in values)))
+    assert row["stddev"] == pytest.approx(float(np.std(np.array(values, float))))
+    assert list(row["top_values"].items())[0] == (edge.max, 286)
+    assert row["quantiles"][3] == [float(sorted(values)[k]) for k in (683, 1366)]
+
+
+def test_deviation_of_a_tight_cluster(spark):
+    values = 1e6 + RNG.normal(size=5000) / 1000
+    pixels = table(spark, f=("double", values.tolist())).repartition(5)
+    records, _ = radix.band_records(pixels, raster(Band("f", "float64")), stats.quantile_ranks)
+    assert records[0].moments["stddev"] == pytest.approx(values.std(), rel=1e-4)
