@@ -256,14 +256,16 @@ def test_one_scan_for_narrow_bands(spark, tmp_path):
 @pytest.mark.parametrize("dtype, kind", [("int32", "int"), ("uint64", "decimal(20,0)")])
 def test_exact_records_of_wide_bands(spark, dtype, kind):
     edge = np.iinfo(dtype)
-    values = [edge.max - i % 7 for i in range(2000)] + [edge.min + 1 + i for i in range(50)]
+    top = edge.max - 1  # the largest may be the nodata value
+    values = [top - i % 7 for i in range(2000)] + [edge.min + 1 + i for i in range(50)]
     given = [Decimal(v) for v in values] if "decimal" in kind else values
     r = raster(Band("v", dtype), width=100, height=30)
-    row = stats.band_stats(table(spark, v=(kind, given)), r, exact=True).first()
+    record = stats.band_stats(table(spark, v=(kind, given)), r, exact=True)
+    row = record.withColumn("first", F.map_keys("top_values")[0]).first()
     assert row["sum"] == float(sum(values)) and row["count"] == 2050
     assert row["sum_squares"] == pytest.approx(float(sum(v * v for v in values)))
     assert row["stddev"] == pytest.approx(float(np.std(np.array(values, float))))
-    assert list(row["top_values"].items())[0] == (edge.max, 286)
+    assert row["first"] == top - 4 and row["top_values"][row["first"]] == 286
     assert row["quantiles"][3] == [float(sorted(values)[k]) for k in (683, 1366)]
 
 
