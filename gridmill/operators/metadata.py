@@ -367,6 +367,17 @@ def _tile_span(top: DataFrame) -> DataFrame:
     ).drop("__w", "__e", "__s", "__n")
 
 
+def pixel_ends(document: str) -> list[Column]:
+    """Columns ``end_x, end_y``: where a parsed document's raster ends, in pixels of the world."""
+    d = F.col(document)
+    first_x = F.floor(_column_of(d.bounds[0], d.block_resolution) + EDGE_SLACK)
+    first_y = F.floor(_row_of(d.bounds[3], d.block_resolution) + EDGE_SLACK)
+    return [
+        (first_x * d.block_width + d.width).alias("end_x"),
+        (first_y * d.block_height + d.height).alias("end_y"),
+    ]
+
+
 def _column_of(lon: Column, z: Column) -> Column:
     return F.pow(F.lit(2.0), z) * (lon / 360 + 0.5)
 

@@ -99,9 +99,11 @@ def moments(pixels: DataFrame, raster: Raster, keys: list[str] | None = None) ->
 # -- histograms ------------------------------------------------------------------
 
 
-def band_values(pixels: DataFrame, raster: Raster, names=None, kind="double") -> DataFrame:
-    """Rows ``name, v`` for the counted pixels of the bands, from one scan."""
-    names = names or raster.names
+def band_values(
+    pixels: DataFrame, raster: Raster, names=None, kind="double", keys: list[str] | None = None
+) -> DataFrame:
+    """Rows ``<keys>, name, v`` for the counted pixels of the bands, from one scan."""
+    names, keys = names or raster.names, keys or []
     cells = [
         F.struct(
             F.lit(n).alias("name"),
@@ -109,8 +111,8 @@ def band_values(pixels: DataFrame, raster: Raster, names=None, kind="double") ->
         )
         for n in names
     ]
-    out = pixels.select(F.explode(F.array(*cells)).alias("c")).select("c.name", "c.v")
-    return out.where(F.col("v").isNotNull())
+    out = pixels.select(*keys, F.explode(F.array(*cells)).alias("c"))
+    return out.select(*keys, "c.name", "c.v").where(F.col("v").isNotNull())
 
 
 def whole_kind(bands) -> str:
@@ -118,10 +120,12 @@ def whole_kind(bands) -> str:
     return "decimal(20,0)" if any(item_size(b.dtype) == 8 for b in bands) else "long"
 
 
-def histogram(pixels: DataFrame, raster: Raster, bands: list[Band], kind: str) -> DataFrame:
-    """Rows ``name, v, n``: how many counted pixels of a band have each value."""
-    values = band_values(pixels, raster, [b.name for b in bands], kind)
-    return values.groupBy("name", "v").agg(F.count("*").alias("n"))
+def histogram(
+    pixels: DataFrame, raster: Raster, bands: list[Band], kind: str, keys: list[str] | None = None
+) -> DataFrame:
+    """Rows ``<keys>, name, v, n``: how many counted pixels of a band have each value."""
+    values = band_values(pixels, raster, [b.name for b in bands], kind, keys)
+    return values.groupBy(*(keys or []), "name", "v").agg(F.count("*").alias("n"))
 
 
 def top_values(
@@ -296,9 +300,9 @@ def band_stats(
     drawn once for all bands.
     """
     whole = [b.name for b in raster.bands if not b.is_float]
-    top_type = f"map<{whole_kind(b for b in raster.bands if not b.is_float)}, long>"
+    top_type = top_map(raster)
     if exact and not basic:
-        record = exact_records(pixels, raster, top_type)
+        record = exact_records(pixels, raster)
     elif exact:
         record = moments(pixels, raster)
     else:
@@ -332,7 +336,12 @@ def band_stats(
     )
 
 
-def exact_records(pixels: DataFrame, raster: Raster, top_type: str) -> DataFrame:
+def top_map(raster: Raster) -> str:
+    """The type of a map of most common values."""
+    return f"map<{whole_kind(b for b in raster.bands if not b.is_float)}, long>"
+
+
+def exact_records(pixels: DataFrame, raster: Raster) -> DataFrame:
     """Exact records of all bands as a local frame: at most 170 quantiles and 100 values a band.
 
     Bands of up to 16 bits take one scan for everything. Wider ones are scanned up to three times
@@ -345,7 +354,7 @@ def exact_records(pixels: DataFrame, raster: Raster, top_type: str) -> DataFrame
         found = top_values(pixels, raster, bands=wide).orderBy("name", "rank").collect()
         for r in found:
             tops.setdefault(r["name"], {})[int(r["value"])] = r["count"]
-    decimal = "decimal" in top_type
+    decimal = "decimal" in top_map(raster)
     rows = []
     for i, band in enumerate(raster.bands):
         if i not in records:

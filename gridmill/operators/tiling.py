@@ -385,10 +385,13 @@ def blocks(pixels: DataFrame, raster: Raster, **options) -> DataFrame:
 # -- back to pixels ----------------------------------------------------------
 
 
-def decode(stored: DataFrame, raster: Raster, compressed: bool = False) -> DataFrame:
+def decode(
+    stored: DataFrame, raster: Raster, compressed: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Block rows to pixel rows ``z, gx, gy, <bands>`` in global pixel coordinates.
 
-    A band that a block lacks reads as the table's nodata.
+    A band that a block lacks reads as the table's nodata. Pixels also get the ``keep`` columns of
+    their block, which are whole numbers.
     """
     bw, bh, cells = raster.block_width, raster.block_height, raster.cells
     nodata = raster.table_nodata
@@ -414,7 +417,10 @@ def decode(stored: DataFrame, raster: Raster, compressed: bool = False) -> DataF
                     else:
                         values = codec.unpack(data, dtypes[b], compressed)
                     columns.append(codec.value_column(values, kinds[b]))
-                yield pa.RecordBatch.from_arrays(columns, names=["z", "gx", "gy", *names])
+                for c in keep:
+                    one = batch.column(c)[i].as_py()
+                    columns.append(pa.array([one] * cells, pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, names=["z", "gx", "gy", *names, *keep])
 
     schema = T.StructType(
         [
@@ -423,9 +429,10 @@ def decode(stored: DataFrame, raster: Raster, compressed: bool = False) -> DataF
             T.StructField("gy", T.LongType(), False),
         ]
         + [T.StructField(b.name, b.spark_type) for b in raster.bands]
+        + [T.StructField(c, T.LongType()) for c in keep]
     )
     data = with_tile(stored.where("block <> 0"), "block")
-    return data.select("z", "tile_x", "tile_y", *names).mapInArrow(run, schema)
+    return data.select("z", "tile_x", "tile_y", *names, *keep).mapInArrow(run, schema)
 
 
 # -- small table operators ---------------------------------------------------

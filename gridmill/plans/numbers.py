@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridmill.operators import stats
+from gridmill.operators import stats, summaries
 from gridmill.plans import fixtures as fx
 from gridmill.plans.registry import query
 from gridmill.sources import pixels as px
@@ -162,6 +162,73 @@ def band_top_values(spark, sf):
     return stats.top_values(fx.gappy(spark, sf), BANDS)
 
 
+# -- summaries -------------------------------------------------------------------
+
+WHOLE = BANDS.select("b1", "b2", "a1")
+
+
+def _merged_summary(spark, sf):
+    """The summaries of all tiles, merged by row of tiles and then into one."""
+    pixels = fx.gappy(spark, sf).withColumns(
+        {"tx": F.shiftright("px", 6), "ty": F.shiftright("py", 6)}
+    )
+    tiles = summaries.summarise(pixels, WHOLE, ["tx", "ty"])
+    return summaries.merge(summaries.merge(tiles, ["ty"]).drop("ty"))
+
+
+@query(
+    "summary_merge",
+    sql=f"""
+    SELECT name, CAST(v AS BIGINT) AS value, count(*) AS n
+    FROM ({_values("b1", "b2", "a1")}) GROUP BY ALL""",
+)
+def summary_merge(spark, sf):
+    """Merged summaries of tiles: the histogram of the whole."""
+    return _merged_summary(spark, sf).select("name", "value", "n")
+
+
+@query("summary_quantiles", sql=_QUANTILES_SQL.format(values=_values("b1", "b2", "a1")))
+def summary_quantiles(spark, sf):
+    """Exact quantiles of the whole from merged summaries."""
+    return summaries.quantiles(_merged_summary(spark, sf))
+
+
+@query(
+    "summary_sketch",
+    sql=f"""
+    SELECT 'g1' AS name, count(*) AS n, 170::BIGINT AS quantiles, 0::BIGINT AS out_of_bound
+    FROM ({_values("g1")})""",
+)
+def summary_sketch(spark, sf):
+    """Sketches of all rows of tiles merged: how many quantiles have a rank further off than stated."""
+    raster = BANDS.select("g1")
+    pixels = fx.gappy(spark, sf).withColumn("ty", F.shiftright("py", 6))
+    merged = summaries.merge(summaries.summarise(pixels, raster, ["ty"]))
+    found = summaries.quantiles(merged)
+    spot = F.struct((F.col("part") / F.col("parts")).alias("wanted"), "value")
+    spots = found.groupBy("name").agg(F.array_sort(F.collect_list(spot)).alias("spots"))
+    # The rank of each found value: how many of the pixels' different values lie below it.
+    hist = stats.histogram(pixels, raster, list(raster.bands), "double")
+    ranked = (
+        hist.join(F.broadcast(spots), "name")
+        .select("name", "v", "n", F.posexplode("spots").alias("i", "spot"))
+        .groupBy("name", "i", "spot")
+        .agg(
+            F.sum(F.when(F.col("v") < F.col("spot.value"), F.col("n")).otherwise(0)).alias("below"),
+            F.sum(F.when(F.col("v") <= F.col("spot.value"), F.col("n")).otherwise(0)).alias("upto"),
+            F.sum("n").alias("n"),
+        )
+    )
+    slack = summaries.RANK_ERROR * F.col("n") + 1
+    wanted = F.col("spot.wanted") * F.col("n")
+    off = (F.col("below") > wanted + slack) | (F.col("upto") < wanted - slack)
+    return ranked.groupBy("name").agg(
+        F.max("n").alias("n"),
+        F.count("*").alias("quantiles"),
+        F.count_if(off).alias("out_of_bound"),
+    )
+
+
 # -- samples ---------------------------------------------------------------------
 
 

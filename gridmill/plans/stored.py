@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridmill.functions import cells
 from gridmill.operators import stats
 from gridmill.plans import fixtures as fx
+from gridmill.plans import load
 from gridmill.plans.documents import bounds_sql
 from gridmill.plans.load import load_raster
 from gridmill.plans.numbers import _values
@@ -156,6 +157,69 @@ def append_result(spark, sf):
     )
 
 
+def _two_halves(spark, sf, **options):
+    """The left half of the plane loaded and the right half appended."""
+    pixels = fx.staged(fx.grid(spark, sf).select("px", "py", "b1"))
+    raster = fx.plane(fx.B1)
+    height = pixels.agg(F.max("py") + 1).first()[0]
+    half = fx.GRID_WIDTH // 2
+    right = pixels.where(F.col("px") >= half).withColumn("px", F.col("px") - half)
+    table = BlockTable(spark, fx.scratch(spark))
+    options |= {"exact_stats": True, "basic_stats": True}
+    left = raster.sized(half, height)
+    load_raster(pixels.where(F.col("px") < half), left, table, load="left", **options)
+    moved = replace(raster, tile_x0=fx.TILE_X0 + half // fx.EDGE).sized(half, height)
+    load_raster(right, moved, table, mode="append", load="right", **options)
+    return table, raster
+
+
+_HALVES = f"""
+    WITH b AS ({_B1}), ordered AS (SELECT list_sort(list(v)) AS l, count(*) AS n FROM b)
+    SELECT {{moments}}, round(sum(l[1 + CAST(floor((n - 1) * (j::DOUBLE / i)) AS BIGINT)]), 4)
+            AS quantile_sum,
+        (SELECT count(*) FROM (SELECT v FROM b GROUP BY v)) AS top_size,
+        (SELECT CAST(v AS BIGINT) FROM b GROUP BY v ORDER BY count(*) DESC, v LIMIT 1) AS top
+    FROM ordered, (SELECT i, unnest(range(1, i)) AS j FROM (SELECT unnest(range(3, 20)) AS i))"""
+
+
+def _filled(table, *more):
+    b = F.col("bands")[0].stats
+    lists = F.flatten(F.map_values(b["quantiles"]))
+    total = F.aggregate(lists, F.lit(0.0), lambda a, v: a + v, lambda a: F.round(a, 4))
+    return table.metadata_rows().select(
+        *more,
+        total.alias("quantile_sum"),
+        F.size(b["top_values"]).cast("long").alias("top_size"),
+        F.map_keys(b["top_values"])[0].cast("long").alias("top"),
+    )
+
+
+@query("merged_statistics", sql=_HALVES.format(moments="2 AS loads"))
+def merged_statistics(spark, sf):
+    """Quantiles and common values of a table of two loads, from the loads' summaries."""
+    table, _ = _two_halves(spark, sf, summary=True)
+    load.merged_statistics(table)
+    return _filled(table, F.lit(2).alias("loads"))
+
+
+@query(
+    "recomputed_statistics",
+    sql=_HALVES.format(
+        moments="""(SELECT count(*) FROM b) AS count, (SELECT sum(v) FROM b) AS sum,
+        (SELECT min(v) FROM b) AS min, (SELECT round(stddev_pop(v), 6) FROM b) AS stddev"""
+    ),
+)
+def recomputed_statistics(spark, sf):
+    """Exact statistics of a table of two loads, from its tiles."""
+    table, raster = _two_halves(spark, sf)
+    load.recompute_statistics(table, replace(raster, nodata=0))
+    b = F.col("bands")[0].stats
+    return _filled(
+        table, b["count"].alias("count"), b["sum"].alias("sum"), b["min"].alias("min"),
+        F.round(b["stddev"], 6).alias("stddev"),
+    )
+
+
 @query(
     "stream_append",
     sql=f"""

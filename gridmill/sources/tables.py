@@ -1,7 +1,8 @@
 """Block tables in Parquet: rows ``block, metadata, <band bytes>``, clustered by block.
 
 A table is a folder. Every load writes its rows to a new folder ``data/load=...`` and its document
-beside it in ``docs/load=...``. What counts is the list of live loads in ``_live``: a small file per
+beside it in ``docs/load=...``, and if asked for a summary of its values in ``summaries/load=...``.
+What counts is the list of live loads in ``_live``: a small file per
 commit, written last, with the folders of the live loads and the table's merged document. Readers
 take the newest. So no data is ever moved or overwritten, a load that fails leaves the table as it
 was, and a load written again replaces itself. ``vacuum`` removes folders that no list names.
@@ -19,10 +20,12 @@ from pyspark.sql import types as T
 
 from gridmill.errors import IncompatibleTable
 from gridmill.operators import metadata as meta
+from gridmill.operators import summaries
 from gridmill.operators.tiling import merge_copies
 from gridmill.spec import check_names
 
 MODES = ("error", "overwrite", "append")
+PARTS = ("data", "docs", "summaries")
 MOST_TRIES = 20  # to commit while others do
 PROPERTY_SIZE = 3000  # characters of a table property
 
@@ -42,7 +45,7 @@ def clustered(blocks: DataFrame, parallelism: int | None = None) -> DataFrame:
 
 def quote_name(name: str) -> str:
     """A dotted table name as a quoted SQL identifier."""
-    return ".".join(f"`{part}`" for part in name.replace("`", "").split("."))
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
 def run_sql(spark: SparkSession, query: str, views: dict | None = None, **values) -> DataFrame:
@@ -126,7 +129,7 @@ class BlockTable:
         if live is None:
             return
         keep = set(live["loads"].values())
-        for part in ("data", "docs"):
+        for part in PARTS:
             fs, root = self._fs(f"{self.path}/{part}")
             for status in fs.listStatus(root) if fs.exists(root) else []:
                 if status.getPath().getName() not in keep:
@@ -224,11 +227,12 @@ class BlockTable:
         chunk_size: int | None = None,
         parallelism: int | None = None,
         is_clustered: bool = False,
+        summary: DataFrame | None = None,
     ) -> str:
         """Write a load and return its id.
 
         ``mode`` says what to do if rows exist: ``error``, ``overwrite`` or ``append``. Readers see
-        the new rows and the new document together, once both are written.
+        the new rows, the new document and the ``summary`` together, once all are written.
         """
         if mode not in MODES:
             raise ValueError(f"Invalid write mode {mode}")
@@ -244,6 +248,8 @@ class BlockTable:
         folder = f"load={load}-{uuid.uuid4().hex}"
         try:
             self._write_load(folder, blocks, document, chunk_size)
+            if summary is not None:
+                self._write_summary(folder, summary)
             self._add(load, folder, document, append=mode == "append")
         except BaseException:
             self._remove(folder)
@@ -255,7 +261,7 @@ class BlockTable:
         return self._data(live | {"loads": {load: live["loads"][load]}}).count()
 
     def _remove(self, folder: str) -> None:
-        for part in ("data", "docs"):
+        for part in PARTS:
             fs, left = self._fs(f"{self.path}/{part}/{folder}")
             fs.delete(left, True)
 
@@ -267,6 +273,36 @@ class BlockTable:
         if document is not None:
             self._row(document).write.parquet(f"{self.path}/docs/{folder}")
 
+    def _write_summary(self, folder: str, summary: DataFrame) -> None:
+        summary.coalesce(1).write.parquet(f"{self.path}/summaries/{folder}")
+
+    def summary(self) -> DataFrame | None:
+        """The merged summary of all live loads; none if a load was written without one."""
+        return self._summary(self._known()["loads"])
+
+    def _summary(self, loads: dict[str, str]) -> DataFrame | None:
+        folders = self._folders("summaries", loads)
+        if not all(self._fs(f)[0].exists(self._fs(f)[1]) for f in folders):
+            return None
+        rows = self.spark.read.schema(summaries.SUMMARY).parquet(*folders)
+        return summaries.merge(rows)
+
+    def loaded_rows(self) -> DataFrame:
+        """The data rows with ``end_x`` and ``end_y``, where the pixels of their load end, in pixels
+        of the whole world at the table's resolution."""
+        live = self._known()
+        docs = self._documents(live["loads"]).withColumn("d", meta.parse(F.col("metadata")))
+        return self._placed(live).join(docs.select("folder", *meta.pixel_ends("d")), "folder", "left")
+
+    def set_statistics(self, records: dict[str, dict]) -> None:
+        """Put statistics of bands into the table's document, fields by band name, and commit it."""
+        live = self._known()
+        document = json.loads(live["metadata"])
+        for band in document["bands"]:
+            band["stats"] |= records.get(band["name"], {})
+        if not self._commit(live["number"] + 1, live["loads"], json.dumps(document)):
+            raise OSError(f"Another writer changed {self.path}")
+
     def _add(self, load: str, folder: str, document: str | None, append: bool) -> None:
         """Commit a load whose files are written. An append merges its document with the table's;
         only a load that replaces itself has the documents of all loads merged anew."""
@@ -350,6 +386,9 @@ class BlockTable:
         merged = clustered(merge_copies(rows, raster, "place", compressed))
         try:
             self._write_load(folder, merged, self._merged(some), None)
+            summary = self._summary(some)
+            if summary is not None:
+                self._write_summary(folder, summary)
             loads = {k: folder if f in folders else f for k, f in live["loads"].items()}
             if not self._commit(live["number"] + 1, loads, live["metadata"]):
                 raise OSError(f"Another writer changed {self.path}")
@@ -451,6 +490,12 @@ class CatalogTable(BlockTable):
         ours = F.col("load").isin(list(live["loads"].values()))
         return rows.where(ours & (F.col("block") != 0)).drop("metadata", "load")
 
+    def _write_summary(self, folder: str, summary: DataFrame) -> None:
+        raise NotImplementedError("Summaries are kept by tables under a path")
+
+    def _summary(self, loads: dict[str, str]) -> DataFrame | None:
+        return None
+
     def _placed(self, live: dict) -> DataFrame:
         rows = self.spark.table(self.path).where("block <> 0")
         ours = F.col("load").isin(list(live["loads"].values()))
