@@ -13,6 +13,7 @@ from gridmill.plans import fixtures as fx
 from gridmill.plans.registry import query
 from gridmill.sources import pixels as px
 from gridmill.sources import tiff
+from gridmill.sources import tiff_source as tiff_source_
 from gridmill.sources.tiff_file import encode_tiff, write_file
 from gridmill.spec import pair_bands
 
@@ -142,15 +143,8 @@ def resolutions(spark, sf):
     )
 
 
-@query(
-    "tiff_scan",
-    sql=f"""
-    SELECT px, py, coalesce(b3, 0) AS third, coalesce(b1, 0) AS band_1
-    FROM (SELECT unnest(range({fx.GRID_WIDTH})) AS px) CROSS JOIN
-        (SELECT unnest(range(height)) AS py FROM v_size) LEFT JOIN v_grid USING (px, py)""",
-)
-def tiff_scan(spark, sf):
-    """Every row of tiles written by a task as a file of three bands; two bands read back."""
+def _strip_files(spark, sf, overviews=()) -> str:
+    """Every row of tiles written by a task as a file of three bands, in a new folder."""
     folder = fx.scratch(spark)
     raster = fx.plane(fx.B1)
     pixels = fx.grid(spark, sf).select("px", "py", "b1", "b2", "b3")
@@ -165,12 +159,68 @@ def tiff_scan(spark, sf):
         for band, name in zip(bands, ("b1", "b2", "b3"), strict=True):
             band[rows["py"] % fx.EDGE, rows["px"]] = rows[name]
         data = encode_tiff(
-            bands, raster.zoom, raster.tile_x0, raster.tile_y0 + strip, fx.EDGE, nodata=0, planar=2
+            bands, raster.zoom, raster.tile_x0, raster.tile_y0 + strip, fx.EDGE, nodata=0, planar=2,
+            overviews=overviews, predictor=2 if overviews else 1,
         )
         write_file(f"{folder}/{strip}.tif", data)
         return pd.DataFrame({"size": [len(data)]})
 
     # A strip has at most 512 x 64 pixels.
     strips.groupBy("strip").applyInPandas(write, "size long").agg(F.sum("size")).collect()
+    return folder
+
+
+@query(
+    "tiff_scan",
+    sql=f"""
+    SELECT px, py, coalesce(b3, 0) AS third, coalesce(b1, 0) AS band_1
+    FROM (SELECT unnest(range({fx.GRID_WIDTH})) AS px) CROSS JOIN
+        (SELECT unnest(range(height)) AS py FROM v_size) LEFT JOIN v_grid USING (px, py)""",
+)
+def tiff_scan(spark, sf):
+    """Every row of tiles as a file of three bands; two bands read back."""
+    folder = _strip_files(spark, sf)
     found = tiff.raster_of(tiff.common_profile(spark, folder), ["third", None], [3, 1])
     return px.pixels_of_tiles(tiff.tiles(spark, folder, found, [3, 1]), found)
+
+
+# Pixels of the base and of the reduced images, which keep each second and fourth pixel of a file.
+_REDUCED = " UNION ALL ".join(
+    f"""SELECT {fx.ZOOM} - {k} AS z, ({fx.TILE_X0} * 64 >> {k}) + (px >> {k}) AS gx,
+        ({fx.TILE_Y0} * 64 >> {k}) + (py >> {k}) AS gy, b3, b1
+    FROM filled WHERE px % {2**k} = 0 AND py % {2**k} = 0"""
+    for k in range(3)
+)
+
+
+@query(
+    "tiff_source",
+    sql=f"""
+    WITH filled AS (
+        SELECT px, py, coalesce(b3, 0) AS b3, coalesce(b1, 0) AS b1
+        FROM (SELECT unnest(range({fx.GRID_WIDTH})) AS px) CROSS JOIN
+            (SELECT unnest(range(height)) AS py FROM v_size) LEFT JOIN v_grid USING (px, py))
+    SELECT z, gx, gy, b3 AS third, b1 AS first FROM ({_REDUCED})
+    WHERE z >= {fx.ZOOM - 1} AND gx // 64 BETWEEN {fx.TILE_X0 // 2 + 1} AND {fx.TILE_X0 + 5}
+        AND gy // 64 >= {fx.TILE_Y0 // 2} AND (b3 <> 0 OR b1 <> 0)""",
+)
+def tiff_source(spark, sf):
+    """The files and their reduced images as a data source; filters reach the byte ranges."""
+    folder = _strip_files(spark, sf, overviews=(2, 4))
+    tiff_source_.register(spark)
+    options = {"bands": "3,1", "names": "third,first", "overviews": "true"}
+    rows = spark.read.format("webmap_tiff").options(**options).load(folder)
+    chosen = rows.where(
+        (F.col("z") >= fx.ZOOM - 1)
+        & F.col("tile_x").between(fx.TILE_X0 // 2 + 1, fx.TILE_X0 + 5)
+        & (F.col("tile_y") >= fx.TILE_Y0 // 2)
+    )
+    cell = F.posexplode(F.arrays_zip("third", "first")).alias("at", "c")
+    pixels = chosen.select("z", "tile_x", "tile_y", cell).where("c.third <> 0 OR c.first <> 0")
+    return pixels.select(
+        "z",
+        (F.col("tile_x") * 64 + F.col("at") % 64).alias("gx"),
+        (F.col("tile_y") * 64 + F.floor(F.col("at") / 64)).alias("gy"),
+        "c.third",
+        "c.first",
+    )

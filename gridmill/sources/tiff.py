@@ -1,6 +1,6 @@
 """Tiled TIFF files as Spark tables.
 
-Little-endian classic and big files, plain or deflate tiles. Files are listed by Spark; tasks read
+Little-endian classic and big files, plain or deflate tiles with or without a predictor. Files are listed by Spark; tasks read
 only headers and byte ranges, never a whole file. The tiles of all files are dealt out evenly, so a
 file that holds most of the data is read by as many tasks as its share calls for.
 """
@@ -35,6 +35,7 @@ FIELD_CODES = {
     12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q",
 }
 PLAIN, DEFLATE = (1,), (8, 32946)
+PREDICTORS = NO_PREDICTOR, DIFFERENCES, FLOAT_DIFFERENCES = (1, 2, 3)
 MASK = 4  # bit of a directory's kind
 KINDS = {1: "uint", 2: "int", 3: "float"}
 SCHEME = "GoogleMapsCompatible"
@@ -46,9 +47,10 @@ BATCH_CELLS = 1 << 21
 PROFILE = """path string, length long, width long, height long, block_width int, block_height int,
     zoom int, tile_x0 long, tile_y0 long, dtype string, bands int, colorinterp array<string>,
     nodata double, overviews array<int>, colortable map<int, array<int>>, compression int,
-    planar int"""
+    planar int, predictor int"""
 TILE_LIST = """path string, position long, samples array<struct<start: long, size: long>>,
-    tile_x long, tile_y long, inside_x int, inside_y int, compression int"""
+    tile_x long, tile_y long, inside_x int, inside_y int, compression int,
+    predictor int"""
 
 
 # -- reading headers, in tasks ---------------------------------------------------
@@ -140,7 +142,7 @@ def describe_file(path: str, length: int) -> dict:
 
     if TILE_WIDTH not in base:
         raise IncompatibleRaster(f"{path} is not tiled")
-    if value(COMPRESSION, 1) not in PLAIN + DEFLATE or value(PREDICTOR, 1) != 1:
+    if value(COMPRESSION, 1) not in PLAIN + DEFLATE or value(PREDICTOR, 1) not in PREDICTORS:
         raise ValueError(f"{path} has a compression that cannot be read")
     items = tag_values(read, base, XML, "") or ""
     scheme = re.search(r'name="NAME"[^>]*domain="TILING_SCHEME"[^>]*>([^<]*)<', items, re.I)
@@ -185,10 +187,33 @@ def describe_file(path: str, length: int) -> dict:
         "tile_y0": round(tile_y), "dtype": f"{KINDS[kinds[0]]}{bits[0]}", "bands": samples,
         "colorinterp": colours, "nodata": None if nodata is None else float(nodata),
         "overviews": coarse, "colortable": table, "compression": value(COMPRESSION, 1),
-        "planar": value(PLANAR, 1),
+        "planar": value(PLANAR, 1), "predictor": value(PREDICTOR, 1),
     }
 
 
+def unpacked(
+    data: bytes, compression: int, predictor: int, kind: np.dtype, height: int, width: int
+) -> np.ndarray:
+    """The cells of a stored tile by row, column and sample. A predictor stores each value of a row
+    as its difference from the one before; for floats of the bytes, the leading ones of all values
+    first."""
+    kind = np.dtype(kind)
+    data = zlib.decompress(data) if compression in DEFLATE else data
+    if predictor == FLOAT_DIFFERENCES:
+        rows = np.frombuffer(data, np.uint8).reshape(height, -1)
+        samples = rows.shape[1] // (width * kind.itemsize)
+        # Neighbours are a sample apart; sums wrap as the differences did.
+        steps = rows.reshape(height, -1, samples)
+        summed = np.cumsum(steps, axis=1, dtype=np.uint8).reshape(height, kind.itemsize, -1)
+        cells = np.ascontiguousarray(summed.transpose(0, 2, 1)).view(kind.newbyteorder(">"))
+        return cells.astype(kind).reshape(height, width, samples)
+    cells = np.frombuffer(data, kind).reshape(height, width, -1)
+    if predictor == DIFFERENCES:
+        whole = np.dtype(f"u{kind.itemsize}").newbyteorder("<")
+        cells = np.cumsum(cells.view(whole), axis=1, dtype=whole).view(kind)
+    return cells
+
+
 # -- Spark tables ----------------------------------------------------------------
 
 
@@ -321,6 +346,7 @@ def tile_list(profiled: DataFrame) -> DataFrame:
                         "inside_x": min(p["block_width"], p["width"] - tx * p["block_width"]),
                         "inside_y": min(p["block_height"], p["height"] - ty * p["block_height"]),
                         "compression": p["compression"],
+                        "predictor": p["predictor"],
                     }
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
@@ -344,7 +370,6 @@ def tiles(
     if raster is None:
         raster = raster_of(stored, None, numbers)
     chosen = [n - 1 for n in numbers or range(1, stored.bands + 1)]
-    in_file = stored.bands
     total = files(spark, path).agg(F.sum("length")).first()[0]
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES))
     # Neighbouring tiles go to one task; a fixed number of tasks, as the rows themselves are small.
@@ -358,20 +383,18 @@ def tiles(
     padding = [0 if b == raster.alpha else raster.table_nodata for b in raster.bands]
     at_once = max(1, BATCH_CELLS // (bw * bh * n))
 
-    def unpack(data, compression):
-        data = zlib.decompress(data) if compression in DEFLATE else data
-        return np.frombuffer(data, codec.wire_dtype(dtype))
+    wire = codec.wire_dtype(dtype)
 
     def part(read, tile, k):
         at = tile["samples"][k]
-        return unpack(read(at["start"], at["size"]), tile["compression"])
+        data = read(at["start"], at["size"])
+        return unpacked(data, tile["compression"], tile["predictor"], wire, bh, bw)
 
     def read_tile(read, tile):
         if len(tile["samples"]) == 1:
-            whole = part(read, tile, 0).reshape(bh, bw, in_file)
-            cells = whole.transpose(2, 0, 1)[chosen].copy()
+            cells = part(read, tile, 0).transpose(2, 0, 1)[chosen].copy()
         else:
-            empty = [np.full(bw * bh, fill, codec.wire_dtype(dtype)) for fill in padding]
+            empty = [np.full((bh, bw, 1), fill, wire) for fill in padding]
             cells = np.stack(
                 [
                     part(read, tile, k) if tile["samples"][k]["size"] else empty[i]
