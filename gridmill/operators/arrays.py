@@ -118,18 +118,60 @@ def pack_pyramid(tiles: DataFrame, raster: Raster) -> DataFrame:
     return with_cell(packed, "tile_x", "tile_y", "z").select("block", "pos", *names)
 
 
+def pack_levels(tiles: DataFrame, raster: Raster) -> DataFrame:
+    """Packed rows of pyramid tiles ``z, tile_x, tile_y, <bands>`` that are there already.
+
+    Parts of one tile, as files beside each other have them, are put together when blocks are
+    filled; cells that hold nodata in all bands are not packed.
+    """
+    read, names = _reader(raster), raster.names
+    position = position_type(raster.cells)
+    fill = {b.name: 0 if b == raster.alpha else raster.table_nodata for b in raster.bands}
+
+    def run(batches):
+        for batch in batches:
+            dense, _ = read(batch)
+            rows = []
+            for i in range(batch.num_rows):
+                some = np.zeros(raster.cells, bool)
+                for b in names:
+                    cells = dense[b][i]
+                    some |= cells == cells if fill[b] != fill[b] else cells != fill[b]
+                at = np.flatnonzero(some)
+                if len(at):
+                    values = [dense[b][i][at].tobytes() for b in names]
+                    rows.append((batch.column("block")[i].as_py(), at.astype(position).tobytes(),
+                                 *values))
+            if rows:
+                columns = [pa.array(c) for c in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "pos", *names])
+
+    schema = T.StructType(
+        [T.StructField("block", T.LongType(), False)] + packed_schema(raster).fields[1:]
+    )
+    placed = with_cell(tiles, "tile_x", "tile_y", "z")
+    return placed.select("block", *names).mapInArrow(run, schema)
+
+
 def blocks_of_tiles(
-    tiles: DataFrame, raster: Raster, splits: list[int] | None = None, **options
+    tiles: DataFrame,
+    raster: Raster,
+    splits: list[int] | None = None,
+    levels: DataFrame | None = None,
+    **options,
 ) -> DataFrame:
     """Base and pyramid blocks of tiles ``tile_x, tile_y, <bands ARRAY>``.
 
     Base tiles are encoded where they are; only the pixels the pyramid keeps are shuffled, packed.
+    ``levels`` gives tiles ``z, tile_x, tile_y, <bands ARRAY>`` of the pyramid, instead of taking
+    them from the base.
     """
     placed = with_cell(tiles, "tile_x", "tile_y", raster.zoom)
     base = encode_arrays(placed, raster, splits=splits, **options)
     if not raster.levels:
         return base
-    chunks = pack_pyramid(tiles, raster).repartition("block")
+    packed = pack_pyramid(tiles, raster) if levels is None else pack_levels(levels, raster)
+    chunks = packed.repartition("block")
     return fill_tiles(chunks, raster, splits=splits, **options).unionByName(base)
 
 

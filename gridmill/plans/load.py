@@ -13,7 +13,7 @@ from gridmill.operators.metadata import document, identity
 from gridmill.operators.overviews import overview_count
 from gridmill.operators.stats import SAMPLE_SIZE
 from gridmill.operators.tiling import blocks, decode, output_partitions, split_points
-from gridmill.sources import tiff
+from gridmill.sources import tiff, tiff_source
 from gridmill.sources.pixels import measured, pixels_of_tiles
 from gridmill.sources.tables import MODES, BlockTable
 from gridmill.spec import Raster, check_names
@@ -72,12 +72,14 @@ def load_tiff(
     style=None,
     value_labels: dict[int, dict] | None = None,
     summary: bool = False,
+    own_overviews: bool = False,
 ) -> dict:
     """Load the tiled TIFF files of a path as one raster. Base tiles are encoded as they are read.
 
     The files of a folder must agree in all but their extent; the raster spans them all.
     ``band_numbers`` (from 1) chooses bands, ``names`` names them, ``style`` renames the unnamed
-    ones too, and ``value_labels`` gives labels by band number.
+    ones too, and ``value_labels`` gives labels by band number. With ``own_overviews`` the levels of
+    the pyramid are the files' own reduced images, which may be averaged, not thinned base pixels.
     """
     spark = table.spark
     profile = tiff.common_profile(spark, path)
@@ -88,8 +90,16 @@ def load_tiff(
     parts = parallelism or output_partitions(spark, raster)
     listed = block_ids(tiff.tile_list(tiff.profiles(spark, path)), raster)
     splits = split_points(listed, raster, parts, rows=raster.tiles_wide * raster.tiles_high)
+    levels = None
+    if own_overviews and raster.levels:
+        tiff_source.register(spark)
+        numbers = band_numbers or range(1, profile.bands + 1)
+        levels = spark.read.format("webmap_tiff").options(
+            overviews="true", bands=",".join(map(str, numbers)), names=",".join(raster.names)
+        )
+        levels = levels.load(path).where(F.col("z") < raster.zoom)
     rows = blocks_of_tiles(
-        tiles, raster, splits, compress=compress, compression_level=compression_level
+        tiles, raster, splits, levels, compress=compress, compression_level=compression_level
     )
     rows = rows.repartitionById(parts, "part").drop("part").sortWithinPartitions("block")
     return _load(

@@ -5,7 +5,10 @@ from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, LessThan
 from tiff_writer import write_tiff
 
 from gridmill import IncompatibleRaster
+from gridmill.operators import tiling
+from gridmill.plans.load import load_tiff
 from gridmill.sources import tiff, tiff_source
+from gridmill.sources.tables import BlockTable
 
 RNG = np.random.default_rng(3)
 
@@ -114,3 +117,27 @@ def test_predictors_of_whole_loads(spark, tmp_path):
         x, y = (r["tile_x"] - 133) * 16, (r["tile_y"] - 90) * 16
         found[y : y + 16, x : x + 16] = np.reshape(r["band_1"], (16, 16))
     assert (found[:100, :150] == band).all()
+
+
+def test_own_overviews_are_loaded(spark, tmp_path):
+    """Two files side by side share tiles of the coarser levels; their images are not thinned."""
+    (tmp_path / "in").mkdir()
+    whole = image("uint8", 96, 160)
+    half, quarter = image("uint8", 48, 80), image("uint8", 24, 40)
+    for i, (a, b) in enumerate([(0, 80), (80, 160)]):
+        write_tiff(
+            str(tmp_path / "in" / f"{i}.tif"), [whole[:, a:b]], 8, 133 + a // 16, 91, 16, nodata=0,
+            overviews=[(2, [half[:, a // 2 : b // 2]]), (4, [quarter[:, a // 4 : b // 4]])],
+        )
+    table = BlockTable(spark, str(tmp_path / "blocks"))
+    load_tiff(str(tmp_path / "in" / "*.tif"), table, basic_stats=True, own_overviews=True)
+    raster = tiff.raster_of(tiff.common_profile(spark, str(tmp_path / "in" / "*.tif")))
+    rows = tiling.decode(table.data(), raster).where("band_1 <> 0").collect()
+    for z, cells in ((8, whole), (7, half), (6, quarter)):
+        found = np.zeros_like(cells)
+        left, top = (133 * 16) >> (8 - z), (91 * 16) >> (8 - z)
+        for r in rows:
+            if r["z"] == z:
+                found[r["gy"] - top, r["gx"] - left] = r["band_1"]
+        assert (found == cells).all()
+    assert table.duplicates().isEmpty()
