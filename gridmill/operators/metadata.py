@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmill.functions.geo import tile_lat, tile_lon
+from gridmill.operators.arcs import arc_middle, enclosing_arc
 from gridmill.operators.stats import SAMPLE_SIZE, band_stats
 from gridmill.sources.pixels import measured
 from gridmill.spec import Band, Raster
@@ -247,9 +248,15 @@ def check(pairs: DataFrame, new: str = "new", old: str = "old") -> DataFrame:
 # -- merging -------------------------------------------------------------------
 
 
-def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> DataFrame:
+def merge(
+    documents: DataFrame, order: str, keys: list[str] | None = None, around: bool = False
+) -> DataFrame:
     """Merge documents ``metadata`` (per key) into one, however many there are.
 
+    ``around`` takes the smallest arc of longitudes around all extents, which may cross the
+    antimeridian (its west is then greater than its east); otherwise they span from the smallest to
+    the largest longitude.
+
     Extents grow, counts and sums add up, and moments follow from the sums of the documents that
     counted pixels. Only if none did, the mean is the mean of the means; then, and where the sums
     give no variance, the deviation is the root of the summed squares. So documents may be merged
@@ -281,6 +288,9 @@ def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> Da
         F.sum("d.num_pixels").alias("num_pixels"),
         F.count("*").alias("__docs"),
     )
+    if around:
+        edges = docs.select(*by, F.col("d.bounds")[0].alias("west"), F.col("d.bounds")[2].alias("east"))
+        top = _side_by_side(top.drop("west", "east"), enclosing_arc(edges, by), by)
     top = _tile_span(top)
 
     band = docs.select(*by, "__order", F.posexplode("d.bands").alias("position", "b"))
@@ -334,8 +344,9 @@ def merge(documents: DataFrame, order: str, keys: list[str] | None = None) -> Da
         F.raise_error(F.lit("Cannot merge metadata: a band is missing from a document"))
     )
     bounds = F.array("west", "south", "east", "north")
+    across = (F.col("west") + F.col("east")) / 2
     center = F.array(
-        (F.col("west") + F.col("east")) / 2,
+        arc_middle(F.col("west"), F.col("east")) if around else across,
         (F.col("south") + F.col("north")) / 2,
         F.col("block_resolution").cast("double"),
     )
@@ -359,9 +370,11 @@ def _tile_span(top: DataFrame) -> DataFrame:
             "__n": F.floor(_row_of(F.col("north"), F.col(z)) + EDGE_SLACK),
         }
     )
+    wrapped = F.when(F.col("east") < F.col("west"), F.pow(F.lit(2.0), F.col(z))).otherwise(0)
+    wide = (F.col("__e") - F.col("__w") + wrapped).cast("long")
     return top.withColumns(
         {
-            "width": (F.col("__e") - F.col("__w")) * F.col("block_width"),
+            "width": wide * F.col("block_width"),
             "height": (F.col("__s") - F.col("__n")) * F.col("block_height"),
         }
     ).drop("__w", "__e", "__s", "__n")

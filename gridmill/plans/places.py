@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridmill.functions import cells, geo
-from gridmill.operators import metadata, tiling
+from gridmill.operators import arcs, metadata, tiling
 from gridmill.plans import fixtures as fx
 from gridmill.plans.registry import query
 from gridmill.sources import pixels as px
@@ -283,3 +283,32 @@ def raster_extent(spark, sf):
         F.round(place["center"][1], 9).alias("center_lat"),
         place["center"][2].alias("center_z"),
     )
+
+
+# Rasters on both sides of the antimeridian, a handful per group.
+_ARCS = """SELECT c_custkey % 97 AS grp, ((150 + c_custkey * 7.3::DOUBLE + 180) % 360) - 180 AS west,
+    1 + c_custkey % 5 AS size FROM customer WHERE c_custkey * 37 % 11 < 3"""
+
+
+@query(
+    "enclosing_arc",
+    sql=f"""
+    WITH spans AS (SELECT DISTINCT grp, CAST(west AS DOUBLE) AS west, CAST(size AS DOUBLE) AS size
+        FROM ({_ARCS})),
+    lengths AS (SELECT s.grp, s.west, max((o.west - s.west + 720) % 360 + o.size) AS length
+        FROM spans s JOIN spans o ON s.grp = o.grp GROUP BY s.grp, s.west),
+    best AS (SELECT * FROM lengths
+        QUALIFY row_number() OVER (PARTITION BY grp ORDER BY round(length, 9), west) = 1)
+    SELECT grp, round(west, 6) AS west,
+        round(CASE WHEN west + length > 180 THEN west + length - 360 ELSE west + length END, 6)
+            AS east FROM best""",
+)
+def enclosing_arc(spark, sf):
+    """The smallest arc around the rasters of each group."""
+    key = F.col("c_custkey")
+    west = (150 + key * F.lit(7.3) + 180) % 360 - 180
+    spans = fx.table(spark, sf, "customer").where("c_custkey * 37 % 11 < 3").select(
+        (key % 97).alias("grp"), west.alias("west"), (west + 1 + key % 5).alias("east")
+    )
+    found = arcs.enclosing_arc(spans, ["grp"])
+    return found.select("grp", F.round("west", 6).alias("west"), F.round("east", 6).alias("east"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmill.functions import cells
@@ -19,7 +20,7 @@ from gridmill.plans.numbers import _values
 from gridmill.plans.registry import query
 from gridmill.plans.tiles import CELL, dense_sql, hex_sql
 from gridmill.sources import pixels as px
-from gridmill.sources.tables import BlockTable, CatalogTable, run_sql
+from gridmill.sources.tables import BlockTable, CatalogTable, quote_name, run_sql
 from gridmill.streaming.append import append_stream
 
 RASTER = fx.plane(fx.B1, levels=3)
@@ -400,3 +401,81 @@ def stream_tiles(spark, sf):
         source, RASTER, table, f"{folder}/progress", basic_stats=True
     ).awaitTermination()
     return table.data().select("block", F.hex("b1").alias("b1"))
+
+
+@query(
+    "drop_and_vacuum",
+    sql=f"""
+    SELECT step, n FROM (SELECT count(*) AS blocks FROM ({_STORED})),
+        LATERAL (VALUES ('blocks', blocks), ('after vacuum', blocks), ('folders before', 2),
+            ('folders after', 1), ('exists after drop', 0)) AS t(step, n)""",
+)
+def drop_and_vacuum(spark, sf):
+    """A table overwritten, cleaned up and dropped, with what is left after each step."""
+    table = loaded(spark, sf)
+    rows = table.data()
+    blocks = rows.count()
+    table.write(rows, json.dumps(table.metadata()), "overwrite")
+
+    def folders() -> int:
+        fs, root = table._fs(f"{table.path}/data")
+        return len(fs.listStatus(root))
+
+    before = folders()
+    table.vacuum()
+    steps = [("blocks", blocks), ("after vacuum", table.data().count())]
+    steps += [("folders before", before), ("folders after", folders())]
+    table.drop()
+    steps.append(("exists after drop", int(table.exists())))
+    return spark.createDataFrame(steps, "step string, n long")
+
+
+@query(
+    "write_parallelism",
+    sql=f"""
+    SELECT parts, parts AS files, (SELECT count(*) FROM ({_STORED})) AS blocks, 0 AS overlaps
+    FROM (SELECT unnest([1, 4]) AS parts)""",
+)
+def write_parallelism(spark, sf):
+    """Loads written by one and by four tasks: files, and files whose blocks overlap."""
+    found = []
+    for parts in (1, 4):
+        files = (
+            loaded(spark, sf, parallelism=parts)
+            .data()
+            .groupBy(F.input_file_name().alias("file"))
+            .agg(F.min("block").alias("lo"), F.max("block").alias("hi"), F.count("*").alias("n"))
+        )
+        last = F.max("hi").over(Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, -1))
+        # One row per file.
+        found.append(
+            files.withColumn("last", last).agg(
+                F.lit(parts).alias("parts"),
+                F.count("*").cast("int").alias("files"),
+                F.sum("n").alias("blocks"),
+                F.count_if(F.col("lo") <= F.col("last")).cast("int").alias("overlaps"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    "quoted_names",
+    sql="""
+    SELECT n_name AS nation, count(c_custkey) AS customers FROM nation
+    LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_name""",
+)
+def quoted_names(spark, sf):
+    """Views whose names hold blanks, signs and back-ticks, read by plain SQL."""
+    nations = fx.table(spark, sf, "nation").select("n_nationkey", "n_name").collect()  # 25 rows
+    customers = fx.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    mark = uuid.uuid4().hex
+    parts = []
+    for n in nations:
+        view = f"of `{n['n_name']}` -- 'x' {mark}"
+        customers.where(F.col("c_nationkey") == n["n_nationkey"]).createOrReplaceTempView(
+            quote_name(view)
+        )
+        text = f"SELECT :name AS nation, count(*) AS customers FROM {quote_name(view)}"
+        parts.append(run_sql(spark, text, name=n["n_name"]))
+    return reduce(DataFrame.unionByName, parts)

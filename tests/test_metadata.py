@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmill import Band, Raster
-from gridmill.operators import metadata, stats
+from gridmill.operators import arcs, metadata, stats
 
 DOCUMENT = {
     "compression": None, "block_resolution": 5, "minresolution": 5, "maxresolution": 5,
@@ -195,3 +195,32 @@ def test_value_labels(spark):
     bad = spark.createDataFrame([("{oops",)], "t string")
     with pytest.raises(Exception, match="(?i)malformed"):
         bad.select(metadata.value_labels(F.col("t"))).collect()
+
+
+def test_arcs(spark):
+    cases = {
+        "plain": ([(10, 20), (15, 40)], (10, 40)),
+        "across": ([(170, 180), (-180, -175)], (170, -175)),
+        "one that wraps": ([(175, 185), (-170, -160)], (175, -160)),
+        "east before west": ([(175, -178), (100, 110)], (100, -178)),
+        "all": ([(-180, 180), (3, 4)], (-180, 180)),
+        "inside one another": ([(-170, 100), (0, 1), (-20, 90)], (-170, 100)),
+        "closed ring": ([(-180, -50), (-60, 70), (60, 180)], (-180, 180)),
+        "equal gaps": ([(0, 10), (180, 190)], (-180, 10)),
+        "repeated": ([(5, 6)] * 3, (5, 6)),
+    }
+    rows = [(k, float(w), float(e)) for k, (spans, _) in cases.items() for w, e in spans]
+    frame = spark.createDataFrame([*rows, ("none", None, None)], "k string, west double, east double")
+    found = {r["k"]: (r["west"], r["east"]) for r in arcs.enclosing_arc(frame, ["k"]).collect()}
+    assert found == {k: tuple(map(float, arc)) for k, (_, arc) in cases.items()}
+
+
+def test_merge_around_the_antimeridian(spark):
+    left, right = [-180.0, 0.0, -168.75, 11.178401873711785], [168.75, 0.0, 180.0, 11.178401873711785]
+    docs = [(i, json.dumps(changed(bounds=b))) for i, b in enumerate((left, right))]
+    frame = spark.createDataFrame(docs, "at int, metadata string")
+    doc = json.loads(metadata.merge(frame, "at", around=True).first().metadata)
+    assert doc["bounds"][0] == 168.75 and doc["bounds"][2] == -168.75
+    assert doc["center"][0] == 180 and doc["width"] == 512
+    plain_ = json.loads(metadata.merge(frame, "at").first().metadata)
+    assert plain_["bounds"][0] == -180 and plain_["width"] == 32 * 256
