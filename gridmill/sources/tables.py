@@ -44,8 +44,13 @@ def clustered(blocks: DataFrame, parallelism: int | None = None) -> DataFrame:
 
 
 def quote_name(name: str) -> str:
-    """A dotted table name as a quoted SQL identifier."""
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+    """A dotted table name as a quoted SQL identifier. Parts may be quoted already; other back-ticks
+    belong to the name and are doubled."""
+    quoted = len(name) > 1 and all(
+        len(part) > 2 and part[0] == part[-1] == "`" for part in name.split(".")
+    )
+    parts = [part[1:-1] if quoted else part.replace("`", "``") for part in name.split(".")]
+    return ".".join(f"`{part}`" for part in parts)
 
 
 def run_sql(spark: SparkSession, query: str, views: dict | None = None, **values) -> DataFrame:

@@ -211,7 +211,8 @@ def test_sql(spark, pixels, table):
     assert tables.run_sql(spark, "SELECT :x AS x", x=text).first().x == text
     table.register("some_blocks")
     assert spark.sql("SELECT * FROM some_blocks WHERE block = 0").count() == 1
-    assert tables.quote_name("a.b`c.d") == "`a`.`bc`.`d`"
+    assert tables.quote_name("a.b`c.d") == "`a`.`b``c`.`d`"
+    assert tables.quote_name("`a`.`b c`") == "`a`.`b c`"
 
 
 def test_catalog_table(spark, pixels):
