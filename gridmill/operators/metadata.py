@@ -260,7 +260,8 @@ def merge(
     Extents grow, counts and sums add up, and moments follow from the sums of the documents that
     counted pixels. Only if none did, the mean is the mean of the means; then, and where the sums
     give no variance, the deviation is the root of the summed squares. So documents may be merged
-    in any grouping. Facts that are equal in all documents, and the descriptions of the bands, come
+    in any grouping, but for that mean of means: it is the same for all groupings only if at most
+    one step takes it. Facts that are equal in all documents, and the descriptions of the bands, come
     from the last one by ``order``. Quantiles and most common values cannot be merged and become
     null.
     """
