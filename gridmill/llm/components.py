@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from gridmill.llm.common import stage
 
-MOST_ROUNDS = 60
-
 
 def _pairs(edges: DataFrame) -> DataFrame:
     """Distinct edges from the larger node ``u`` to the smaller ``v``, without loops."""
@@ -45,18 +43,16 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of the edges ``u, v``: the smallest node it reaches.
 
     Rounds of linking to the smallest neighbour, first among the larger and then among the smaller
-    neighbours, until the edges form stars. Every round is written to the shared folder.
+    neighbours, until the edges form stars; each round at least brings nodes closer to their smallest,
+    so it ends. Every round is written to the shared folder.
     """
     held = stage(_pairs(edges), "components")
     before = _mark(held)
-    for _ in range(MOST_ROUNDS):
-        for both_ways in (True, False):
-            held = stage(_to_smallest(held, both_ways), "components")
+    while True:
+        held = stage(_to_smallest(_to_smallest(held, True), False), "components")
         after = _mark(held)
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError(f"The components did not settle in {MOST_ROUNDS} rounds")
     roots = held.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return held.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

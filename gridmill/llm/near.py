@@ -13,15 +13,17 @@ texts just at the threshold shares no key with a probability of at most MISSED.
 3. The components of these edges are groups outside of which no link can be. Each class is sent to
    its group once, with its full set, and links are confirmed exactly; again a forest of all
    confirmed links leaves the task.
-4. A group of more than GROUP classes is cut by a salt into parts. Some GROUP / 2 of its classes meet
-   every part and so are done with; the rest meet their part only, and a set is copied twice on
+4. From a group of more than GROUP classes go those that can have no partner in it, by the number
+   of their shingles that nobody else in it has. What is left is cut by a salt into parts. Some
+   GROUP / 2 of its classes meet every part and so are done with; the rest meet their part only, and a set is copied twice on
    average. What is linked by then is one, and only classes that still share a key with others, pass
    the screen with them and are apart go on to the next turn, in groups of their own. After TURNS
    turns all pairs of blocks of what is left are compared, so no link is lost.
 5. The components of the confirmed links are the result.
 
 A text with fewer words than a shingle is one shingle; one without words (null, empty) has none and
-is linked with nothing. Rows that share a doc_id are one document. A row without a doc_id takes part
+is linked with nothing. Rows that share a doc_id are one document, which
+links whatever any of them is linked with. A row without a doc_id takes part
 in no link: its component is null, and it stays. An empty table gives an empty result. Only the id
 and the text are read, so other columns cannot clash.
 """
@@ -260,16 +262,17 @@ def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
 
 
 def _forest(n: int, linked) -> list[tuple[int, int]]:
-    """A spanning forest of ``linked(i, others)``; each member looks once at those not reached."""
+    """Stars that join what ``linked(i, others)`` joins; each member looks once at those not reached."""
     left = np.arange(n)
     edges = []
     while len(left) > 1:
-        queue, left = [int(left[0])], left[1:]
+        hub, left = int(left[0]), left[1:]
+        queue = [hub]
         while queue and len(left):
             i = queue.pop()
             hit = linked(i, left)
             found = left[hit].tolist()
-            edges += [(i, j) for j in found]
+            edges += [(hub, j) for j in found]
             queue += found
             left = left[~hit]
     return edges
@@ -465,6 +468,97 @@ def compared(dealt: DataFrame, keys: list[str], match: Match, salt: str = "all")
     return sorted_.mapInArrow(confirm, "u long, v long")
 
 
+def _shingles(rows: DataFrame) -> DataFrame:
+    """``group, rep, shingle`` of rows with ``hashes``."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                raw = [x.as_py() for x in part.column(2)]
+                counts = [len(x) // 8 for x in raw]
+                columns = [
+                    pa.array(np.repeat(part.column(k).to_numpy(zero_copy_only=False), counts))
+                    for k in (0, 1)
+                ]
+                shingle = pa.array(np.frombuffer(b"".join(raw), np.int64))
+                yield pa.RecordBatch.from_arrays([*columns, shingle], ["group", "rep", "shingle"])
+
+    return rows.select("group", "rep", "hashes").mapInArrow(
+        spread, "group long, rep long, shingle long"
+    )
+
+
+def _coarse(size: Column) -> Column:
+    """A size, rounded down to ten leading bits, so that a group has few different ones."""
+    step = F.greatest(F.floor(F.log2(size)) - 9, F.lit(0))
+    unit = F.pow(F.lit(2), step).cast("long")
+    return size - size % unit
+
+
+def with_partners(rows: DataFrame, match: Match) -> DataFrame:
+    """The ``rows`` (group, rep, hashes) that may be linked with another of their group.
+
+    Shingles that no other row of the group has are in no intersection, so the others bound the
+    largest one, and this bounds the size of a partner. Rows for which the group has no other row
+    of such a size are linked with nothing. All is counted; no pairs are looked at.
+    """
+    p = match.percent
+    alone = (
+        _shingles(rows)
+        .groupBy("group", "shingle")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep"))
+        .where("n = 1")
+        .groupBy("group", "rep")
+        .agg(F.count(F.lit(1)).alias("alone"))
+    )
+    size = (F.octet_length("hashes") / 8).cast("long")
+    sized = rows.withColumn("size", size)
+    sizes = (
+        sized.groupBy("group", _coarse(F.col("size")).alias("size"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("group")
+        .agg(F.collect_list(F.struct("size", "n")).alias("sizes"))
+    )
+    most = F.floor((100 + p) * (F.col("size") - F.coalesce("alone", F.lit(0))) / p) - F.col("size")
+    low = _coarse(F.floor(F.col("size") * p / 100).cast("long"))
+    high = _coarse(F.greatest(most.cast("long"), F.lit(1)))
+    partner = F.exists(
+        "sizes",
+        lambda s: s["size"].between(low, high)
+        & ((s["size"] != _coarse(F.col("size"))) | (s["n"] > 1)),
+    )
+    return (
+        sized.join(alone, ["group", "rep"], "left")
+        .join(sizes, "group")
+        .where(partner)
+        .select(*rows.columns)
+    )
+
+
+def peeled(sets: DataFrame, match: Match) -> DataFrame:
+    """``sets`` (group, rep, hashes) without rows of large groups that are linked with nothing.
+
+    Rows that go may have been all that shared a shingle with others, so it is done again until a
+    round takes less than a sixteenth away; the work of all rounds is in proportion to the first.
+    """
+    count = F.count(F.lit(1))
+    sizes = sets.groupBy("group").agg(count.alias("n"))
+    large = stage(sizes.where(F.col("n") > GROUP).select("group"), "op6-peeled-groups")
+    if large.isEmpty():
+        return sets
+    large = _small(large)
+    held = stage(sets.join(large, "group", "left_semi"), "op6-peeled")
+    before = held.count()
+    while True:
+        held = stage(with_partners(held, match), "op6-peeled")
+        after = held.count()
+        if 16 * (before - after) <= before:
+            break
+        before = after
+    return stage(sets.join(large, "group", "left_anti").unionByName(held), "op6-sets")
+
+
 def _large_groups(left: DataFrame) -> DataFrame:
     """Groups of more than GROUP classes: ``parts`` to cut them into, their most common label
     ``top``, and of how many classes with other labels one meets all parts."""
@@ -475,11 +569,13 @@ def _large_groups(left: DataFrame) -> DataFrame:
         F.max_by("label", F.struct("n", "label")).alias("top"),
     )
     half = GROUP // 2
+    # Where one label holds most rows, copies are few, and more of the others can meet all parts.
+    meeting = F.when(2 * F.col("most") > F.col("n"), GROUP).otherwise(half)
     return groups.where(F.col("n") > GROUP).select(
         "group",
         F.ceil(F.col("n") / half).cast("int").alias("parts"),
         "top",
-        F.greatest(F.ceil((F.col("n") - F.col("most")) / half), F.lit(1)).cast("int").alias("deals"),
+        F.greatest(F.ceil((F.col("n") - F.col("most")) / meeting), F.lit(1)).cast("int").alias("deals"),
     )
 
 
@@ -556,7 +652,23 @@ def near_duplicates(
         .distinct(),
         "op6-sets",
     )
-    links = linked(sets, classes, match).withColumnRenamed("node", "rep")
+    links = linked(peeled(sets, match), classes, match)
+    # An id whose rows differ joins the classes of all its rows.
+    several = stage(
+        linkable.groupBy("doc_id")
+        .agg(F.min("set_id").alias("a"), F.max("set_id").alias("b"))
+        .where("a <> b")
+        .select("doc_id"),
+        "op6-several",
+    )
+    if not several.isEmpty():
+        of_ids = (
+            linkable.join(several, "doc_id", "left_semi")
+            .join(classes.select("set_id", "rep"), "set_id")
+            .select(F.col("doc_id").cast("long").alias("u"), F.col("rep").alias("v"))
+        )
+        links = components(_edges(links).unionByName(of_ids))
+    links = links.withColumnRenamed("node", "rep")
     found = classes.select("set_id", "rep").join(links, "rep", "left").select(
         F.col("set_id").alias("right_id"), F.coalesce("component", "rep").alias("component")
     )

@@ -153,6 +153,37 @@ def test_large_groups_are_compared_in_few_copies(spark, monkeypatch, turns):
     assert dealt[0][0] == ["group", "part"] and dealt[0][1] <= 3 * len(given)
 
 
+def test_rows_without_partners_leave_large_groups(spark, monkeypatch):
+    """What goes is linked with nothing, also where rows differ in size and share nearly all."""
+    monkeypatch.setattr(near, "GROUP", 4)
+    rng = np.random.default_rng(8)
+    base, given = [f"w{i}" for i in range(60)], []
+    for d in range(120):
+        own = base[: rng.integers(40, 60)]
+        for c in range(rng.integers(0, 8)):
+            own[rng.integers(len(own))] = f"x{d}x{c}" if c % 2 else f"y{c}"
+        given.append((d, " ".join(own)))
+    match = near.Match(3, 85)
+    docs = spark.createDataFrame(given, "rep long, text string").selectExpr("1L AS `group`", "*")
+    sets = near.shingle_rows(docs, match, ["group", "rep"])
+    left = {r["rep"] for r in near.peeled(sets, match).collect()}
+    wanted = plain_components(given, 3, 85)
+    sizes = Counter(wanted.values())
+    alone = {d for d, c in wanted.items() if sizes[c] == 1}
+    assert set(wanted) - left <= alone
+    assert 10 < len(set(wanted) - left)
+
+
+def test_rows_of_one_id_link_its_texts(spark):
+    rng = np.random.default_rng(9)
+    first, second = ([f"{k}{w}" for w in rng.integers(0, 10**6, 80)] for k in "ab")
+    other = [*second[:-1], "end"]
+    given = [(3, first), (7, first), (7, second), (9, other), (11, ["alone"])]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in given], "doc_id long, text string")
+    found = {(r["doc_id"], r["component_id"]) for r in near.near_duplicates(docs).collect()}
+    assert found == {(3, 3), (7, 3), (9, 3), (11, 11)}
+
+
 def test_forest_of_pairs_with_other_labels():
     rng = np.random.default_rng(1)
     for _ in range(50):
