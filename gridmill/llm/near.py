@@ -469,23 +469,25 @@ def compared(dealt: DataFrame, keys: list[str], match: Match, salt: str = "all")
 
 
 def _shingles(rows: DataFrame) -> DataFrame:
-    """``group, rep, shingle`` of rows with ``hashes``."""
+    """``group, rep, own, shingle`` of rows with ``hashes``; ``own`` tells sets of one id apart."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                raw = [x.as_py() for x in part.column(2)]
+                raw = [x.as_py() for x in part.column(3)]
                 counts = [len(x) // 8 for x in raw]
                 columns = [
                     pa.array(np.repeat(part.column(k).to_numpy(zero_copy_only=False), counts))
-                    for k in (0, 1)
+                    for k in (0, 1, 2)
                 ]
                 shingle = pa.array(np.frombuffer(b"".join(raw), np.int64))
-                yield pa.RecordBatch.from_arrays([*columns, shingle], ["group", "rep", "shingle"])
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, shingle], ["group", "rep", "own", "shingle"]
+                )
 
-    return rows.select("group", "rep", "hashes").mapInArrow(
-        spread, "group long, rep long, shingle long"
+    return rows.select("group", "rep", "own", "hashes").mapInArrow(
+        spread, "group long, rep long, own long, shingle long"
     )
 
 
@@ -504,16 +506,16 @@ def with_partners(rows: DataFrame, match: Match) -> DataFrame:
     of such a size are linked with nothing. All is counted; no pairs are looked at.
     """
     p = match.percent
+    size = (F.octet_length("hashes") / 8).cast("long")
+    sized = rows.withColumn("size", size).withColumn("own", F.xxhash64("hashes"))
     alone = (
-        _shingles(rows)
+        _shingles(sized)
         .groupBy("group", "shingle")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep"), F.min("own").alias("own"))
         .where("n = 1")
-        .groupBy("group", "rep")
+        .groupBy("group", "rep", "own")
         .agg(F.count(F.lit(1)).alias("alone"))
     )
-    size = (F.octet_length("hashes") / 8).cast("long")
-    sized = rows.withColumn("size", size)
     sizes = (
         sized.groupBy("group", _coarse(F.col("size")).alias("size"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -529,7 +531,7 @@ def with_partners(rows: DataFrame, match: Match) -> DataFrame:
         & ((s["size"] != _coarse(F.col("size"))) | (s["n"] > 1)),
     )
     return (
-        sized.join(alone, ["group", "rep"], "left")
+        sized.join(alone, ["group", "rep", "own"], "left")
         .join(sizes, "group")
         .where(partner)
         .select(*rows.columns)

@@ -172,6 +172,17 @@ def test_rows_without_partners_leave_large_groups(spark, monkeypatch):
     alone = {d for d, c in wanted.items() if sizes[c] == 1}
     assert set(wanted) - left <= alone
     assert 10 < len(set(wanted) - left)
+    # Another text of the same id, all its own, takes none of the id's linked texts away.
+    more = sets.unionByName(
+        near.shingle_rows(
+            docs.withColumn("text", F.expr("concat_ws(' ', transform(sequence(1, 90), i -> rep * 1000 + i))")),
+            match, ["group", "rep"],
+        )
+    )
+    both = near.peeled(more, match)
+    assert {r["rep"] for r in both.join(sets, ["rep", "hashes"], "left_semi").collect()} >= (
+        set(wanted) - alone
+    )
 
 
 def test_rows_of_one_id_link_its_texts(spark):
