@@ -18,13 +18,19 @@ def arc_length(west: Column, east: Column) -> Column:
 
 
 def enclosing_arc(
-    intervals: DataFrame, keys: list[str], west: str = "west", east: str = "east"
+    intervals: DataFrame,
+    keys: list[str],
+    west: str = "west",
+    east: str = "east",
+    full_circle: bool = True,
 ) -> DataFrame:
     """Per key the columns ``west, east`` of the smallest arc around all intervals.
 
     The arc leaves out the widest gap between intervals ordered by their west ends; of equal gaps the
     one whose eastern end comes first. If it crosses the antimeridian its east is less than its west.
-    Without a gap it is the whole circle, -180 to 180.
+    Without a gap it is the whole circle, -180 to 180; or else, if ``full_circle`` is false, the arc
+    that overlaps itself least: it begins with an interval and goes once around to where the last of
+    the others ends, past its own west.
     """
     start, length = normal_west(F.col(west)), arc_length(F.col(west), F.col(east))
     # Every interval once more a turn to the west, so that those that wrap cover what they reach.
@@ -45,7 +51,7 @@ def enclosing_arc(
     best = gaps.groupBy(*keys).agg(
         F.max(F.struct(F.round(gap, 9).alias("gap"), (-F.col("from")).alias("order"), "from", "end")).alias("g")
     )
-    open_ = F.col("g.gap") > 0
+    open_ = F.col("g.gap") > 0 if full_circle else F.lit(True)
     # The end lies up to a turn before the start.
     end = F.when(F.col("g.end") <= -180, F.col("g.end") + 360).otherwise(F.col("g.end"))
     return best.select(

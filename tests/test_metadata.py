@@ -1,11 +1,13 @@
 import json
 import math
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from gridmill import Band, Raster
 from gridmill.operators import arcs, metadata, stats
+from gridmill.plans import places, registry
 
 DOCUMENT = {
     "compression": None, "block_resolution": 5, "minresolution": 5, "maxresolution": 5,
@@ -215,6 +217,31 @@ def test_arcs(spark):
     assert found == {k: tuple(map(float, arc)) for k, (_, arc) in cases.items()}
 
 
+def test_arcs_around_the_earth(spark):
+    """Many rasters leave no gap: the arc that goes round begins where it overlaps itself least."""
+    cases = {
+        "round": ([(-100, 0), (-10, 100), (85, 265)], (-100, -95)),
+        "short": ([(170, 180), (-180, -175)], (170, -175)),
+    }
+    rows = [(k, float(w), float(e)) for k, (spans, _) in cases.items() for w, e in spans]
+    frame = spark.createDataFrame(rows, "k string, west double, east double")
+    arc = lambda **how: {
+        r["k"]: (r["west"], r["east"]) for r in arcs.enclosing_arc(frame, ["k"], **how).collect()
+    }
+    assert arc(full_circle=False) == {k: tuple(map(float, a)) for k, (_, a) in cases.items()}
+    assert arc()["round"] == (-180.0, 180.0)
+
+
+def test_enclosing_arc_of_many_customers(spark, tmp_path):
+    """So many that every group goes round the earth; the small tables leave gaps everywhere."""
+    spark.range(40_000).withColumnRenamed("id", "c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE customer AS SELECT range AS c_custkey FROM range(40000)")
+    theirs = con.execute(registry.CHECKS["enclosing_arc"]).fetchall()
+    found = places.enclosing_arc(spark, str(tmp_path)).collect()
+    assert sorted((r["grp"], r["west"], r["east"]) for r in found) == sorted(theirs)
+
+
 def test_merge_around_the_antimeridian(spark):
     left, right = [-180.0, 0.0, -168.75, 11.178401873711785], [168.75, 0.0, 180.0, 11.178401873711785]
     docs = [(i, json.dumps(changed(bounds=b))) for i, b in enumerate((left, right))]
