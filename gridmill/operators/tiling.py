@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gridmill.functions import codec
-from gridmill.functions.cells import cell_zoom, with_cell, with_parent, with_tile
+from gridmill.functions.cells import with_cell, with_tile
 from gridmill.functions.nodata import filled
+from gridmill.scratch import scratch
 from gridmill.spec import Raster, item_size
 
 # Cells a task fills at once; bounds its memory when pixels are sparse.
@@ -29,8 +30,8 @@ PACK_ROWS = 1 << 19
 # Cells, in bytes, of an output partition, and sampled ids per partition to find its range.
 PARTITION_BYTES = 64 << 20
 SPLIT_SAMPLES = 1000
-# Zoom levels between the counts from which ranks are summed.
-RANK_STEP = 8
+# Bits of Spark's increasing ids that number the rows of a partition.
+PLACE_BITS = 33
 
 
 # -- pixel coordinates -------------------------------------------------------
@@ -524,30 +525,28 @@ def missing_blocks(written: DataFrame, expected: int) -> DataFrame:
 def with_rank(blocks: DataFrame, cell: str = "block", out: str = "rank") -> DataFrame:
     """Zero-based position of each block in cell order.
 
-    Blocks are counted per ancestor RANK_STEP levels up, these counts per ancestor as many levels
-    further up, and a block's rank is the sum of its place among its siblings and what comes before
-    at either level. A task orders at most 4 ** RANK_STEP cells of a zoom; the last sum runs over
-    the topmost ancestors, of which there are at most 4 ** (26 - 2 * RANK_STEP) whatever the table.
+    The blocks are dealt out by ranges of the cell, sorted and written with their place in their
+    partition; a rank is that place and the count of the partitions before, of which there is one
+    row each. Blocks are stored first, as the ranges come from a look at them before they are dealt.
     """
-    zoom = cell_zoom(cell)
-    up = lambda steps: F.least(zoom, F.lit(steps * RANK_STEP))
-    sliced = blocks.withColumns({"__up": up(1), "__far": up(2)})
-    sliced = with_parent(sliced, cell, "__up", "__slice")
-    sliced = with_parent(sliced, cell, "__far", "__top").drop("__up", "__far")
-    earlier = lambda order: order.rowsBetween(Window.unboundedPreceding, -1)
-    before = lambda order: F.coalesce(F.sum("__n").over(earlier(order)), F.lit(0))
-    sizes = sliced.groupBy("__top", "__slice").agg(F.count("*").alias("__n"))
-    tops = sizes.groupBy("__top").agg(F.sum("__n").alias("__n"))
-    tops = tops.select("__top", before(Window.orderBy("__top")).alias("__base"))
-    inside = before(Window.partitionBy("__top").orderBy("__slice"))
-    offsets = sizes.select("__top", "__slice", inside.alias("__inside")).join(tops, "__top")
-    offsets = offsets.select("__slice", (F.col("__base") + F.col("__inside")).alias("__offset"))
-    place = F.row_number().over(Window.partitionBy("__slice").orderBy(cell)) - 1
+    spark = blocks.sparkSession
+    held, placed = scratch(spark, "ranked"), scratch(spark, "places")
+    blocks.write.parquet(held)
+    ordered = spark.read.schema(blocks.schema).parquet(held)
+    # Upper bits: the partition; the others: the row in it.
+    ordered = ordered.repartitionByRange(cell).sortWithinPartitions(cell)
+    ordered = ordered.withColumn("__place", F.monotonically_increasing_id())
+    ordered.write.parquet(placed)
+    found = spark.read.schema(ordered.schema).parquet(placed)
+    found = found.withColumn("__part", F.shiftright("__place", PLACE_BITS))
+    sizes = found.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first")
+    place = F.col("__place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     return (
-        sliced.withColumn("__place", place)
-        .join(offsets, "__slice", "left")  # an inner join would filter on a costly expression
-        .withColumn(out, F.col("__offset") + F.col("__place"))
-        .drop("__slice", "__top", "__place", "__offset")
+        found.join(F.broadcast(sizes.select("__part", first)), "__part")
+        .withColumn(out, F.col("__first") + place)
+        .drop("__part", "__place", "__first")
     )
 
 

@@ -69,6 +69,14 @@ def grid(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def places(spark: SparkSession, sf: str) -> DataFrame:
+    """The places ``px, py`` of the pixels, once per line item that lies there."""
+    k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return table(spark, sf, "lineitem").select(
+        (k % GRID_WIDTH).alias("px"), F.shiftright(k, GRID_BITS).alias("py")
+    )
+
+
 def staged(pixels: DataFrame) -> DataFrame:
     """The pixels as a stored table, so that the passes of a load scan files, not their origin."""
     folder = scratch(pixels.sparkSession)

@@ -187,7 +187,7 @@ def band_merge(spark, sf):
 def batch_assign(spark, sf):
     """Blocks numbered into batches of a thousand."""
     raster = fx.plane(fx.B1, edge=2)
-    placed = tiling.with_position(tiling.on_levels(fx.grid(spark, sf), raster), raster)
+    placed = tiling.with_position(tiling.on_levels(fx.places(spark, sf), raster), raster)
     placed = placed.select("tile_x", "tile_y").distinct()
     blocks = with_cell(placed, "tile_x", "tile_y", raster.zoom)
     return tiling.with_batch(blocks.select("block"), 1000).select("block", "batch")

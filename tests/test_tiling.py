@@ -211,6 +211,24 @@ def test_batches(spark):
         tiling.with_batch(blocks, 0)
 
 
+def test_batches_take_the_blocks_once(spark):
+    """Where the blocks come from is read once, whatever ranks need to know beforehand."""
+    taken = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            taken.add(batch.num_rows)
+            yield batch
+
+    cells = spark.range(5000).repartition(7).selectExpr("5188146770730811392 + id * 7 AS block")
+    rows = tiling.with_batch(cells.mapInArrow(counted, "block long"), 300).collect()
+    assert taken.value == 5000
+    assert sorted((r.block, r["rank"], r.batch) for r in rows) == [
+        (5188146770730811392 + i * 7, i, i // 300) for i in range(5000)
+    ]
+    assert tiling.with_batch(cells.limit(0), 300).count() == 0
+
+
 def test_one_shuffle_for_the_whole_pyramid(spark):
     raster = Raster((Band("v"),), 10, 0, 0, 2, 2, overviews=(2, 4))
     pixels = spark.range(100).selectExpr("id AS px", "id AS py", "CAST(1 AS short) AS v")
