@@ -37,34 +37,23 @@ class Memory:
 
 
 class Joined(dict):
-    """The bytes of each piece, as :class:`Memory`, by one plain look-up of all pieces of a text,
-    which also finds out what is missing."""
+    """The bytes of each piece, as :class:`Memory`, by one plain look-up of all pieces of a text;
+    ``make`` gives the bytes of one piece."""
 
-    def __init__(self, make: Callable[[list], list], most: int = MOST_REMEMBERED) -> None:
+    def __init__(self, make: Callable[[str], bytes], most: int = MOST_REMEMBERED) -> None:
         super().__init__()
         self.make, self.most = make, most
         self.older: dict = {}
-        self.missing: dict = {}
 
     def __missing__(self, piece):
         value = self.older.get(piece)
         if value is None:
-            self.missing[piece] = None
-        else:
-            self[piece] = value
+            value = self.make(piece)
+        self[piece] = value
         return value
 
     def bytes_of(self, pieces: list) -> bytes:
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
-        found = list(map(self.__getitem__, pieces))
-        if self.missing:
-            new = list(self.missing)
-            self.missing.clear()
-            self.update(zip(new, self.make(new), strict=True))
-            at = -1
-            for _ in range(found.count(None)):
-                at = found.index(None, at + 1)
-                found[at] = self[pieces[at]]
-        return b"".join(found)
+        return b"".join(map(self.__getitem__, pieces))

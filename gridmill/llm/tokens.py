@@ -22,11 +22,13 @@ empty files. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,6 @@ END_ID = 2
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 18
 LEVEL = 1
-PIECES_AT_ONCE = 10_000
 
 # Places where the byte-level splitting rule always cuts: before a single space, around other
 # spaces, and between a word of Latin letters and punctuation, unless an apostrophe is near.
@@ -52,6 +53,23 @@ _PIECES = re.compile(
     rf" ?[{_LATIN}]+(?=[{_SIGNS}{_SPACES}]|\Z)| ?[{_SIGNS}]+(?=[{_SPACES}]|\Z)"
     rf"| ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 )
+_WORD = re.compile(rf" ?[{_LATIN}]+").fullmatch
+_ID = attrgetter("id")
+_BYTE_LEVEL = {
+    "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True,
+}
+
+
+def _byte_signs() -> dict[int, str]:
+    """For code points below 256, the signs that byte-level models write their UTF-8 bytes with."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    signs = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {c: "".join(signs[b] for b in chr(c).encode()) for c in range(256)}
+
+
+_BYTES = _byte_signs()
+
 # Spaces beyond ASCII and added tokens are rare: such texts are encoded as they are.
 _UNUSUAL = re.compile(
     r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
@@ -70,26 +88,19 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memory = Joined(self.encode_pieces)
-        self.line = np.frombuffer(self.encode(["\n"])[0], "<u4")
-
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece. Line breaks part the pieces of one call, as the splitting rule cuts
-        around them; pieces of white space are encoded one by one."""
-        words = [p for p in pieces if not p.isspace()]
-        found = {}
-        for at in range(0, len(words), PIECES_AT_ONCE):
-            some = words[at : at + PIECES_AT_ONCE]
-            ids = np.frombuffer(self.encode(["\n".join(some)])[0], "<u4")
-            ends = np.append(np.flatnonzero(ids == self.line[0]), len(ids))
-            if len(self.line) == 1 and len(ends) == len(some):
-                begins = np.append(0, ends[:-1] + 1)
-                raw = ids.tobytes()
-                cuts = zip((4 * begins).tolist(), (4 * ends).tolist(), strict=True)
-                found.update(zip(some, (raw[b:e] for b, e in cuts), strict=True))
-        rest = [p for p in pieces if p not in found]
-        found.update(zip(rest, self.encode(rest), strict=True))
-        return [found[p] for p in pieces]
+        self.model = self.tokenizer.model
+        splitter = self.tokenizer.pre_tokenizer
+        rules = json.loads(splitter.__getstate__()) if splitter else None
+        # Nothing but the splitting rule and the bytes' signs comes before the model.
+        self.plain = self.tokenizer.normalizer is None and rules == _BYTE_LEVEL
+        self.memory = Joined(self.encode_piece)
+
+    def encode_piece(self, piece: str) -> bytes:
+        """Ids of one piece. The splitting rule leaves a word of Latin letters whole, so the model
+        can be asked for it at once."""
+        if self.plain and _WORD(piece):
+            return array("I", map(_ID, self.model.tokenize(piece.translate(_BYTES)))).tobytes()
+        return self.encode([piece])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)

@@ -69,6 +69,19 @@ def test_no_tokens(spark, empty, tmp_path):
     assert tokens.read_tokens(spark, out).count() == 0
 
 
+def test_words_go_to_the_model_at_once(monkeypatch):
+    """Words of Latin letters take no splitting; anything else still goes through the tokenizer."""
+    words = ["a", " a", "Straße", " MENTEÓ", " ÿÀ", "ÑMENTEÓ", " lichstheit", "x" * 300, " aª"]
+    words += [" ×", "can't", " 12", "漢字", ".96@mail5.example", " \n"]
+    own, whole = tokens.Encoder(BYTE_BPE), tokens.Encoder(BYTE_BPE)
+    assert [own.ids(w) for w in words] == whole.encode(words)
+    assert [own.encode_piece(w) for w in words] == whole.encode(words)
+    text = "".join(f" {w.strip()}" for w in words[:8])
+    ids, own = whole.encode([text])[0], tokens.Encoder(BYTE_BPE)
+    monkeypatch.setattr(own, "encode", lambda texts: pytest.fail("split again"))
+    assert own.ids(text) == ids
+
+
 def test_byte_pieces_are_cut_where_the_library_cuts():
     tool = tokens.Encoder(BYTE_BPE)
     rng = random.Random(1)
